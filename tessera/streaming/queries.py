@@ -1,4 +1,61 @@
-"""Streaming forms of the item-stream queries (filled in below)."""
+"""Streaming twins of the item queries: the events table read as a file stream.
 
-STREAM_QUERIES: dict = {}
-STREAM_ORACLE_KEYS: dict = {}
+Each query starts a Structured Streaming job over the data folder's ``events.parquet`` with
+``trigger(availableNow=True)``, a fresh checkpoint and sink under ``spark.checkpoint.dir``, waits
+for it, and returns the batch view of the sink. Results equal the batch queries named in
+``STREAM_ORACLE_KEYS``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.plans.catalog import item_params
+from tessera.streaming import items as S
+
+
+def _stream(spark: SparkSession, d: str) -> DataFrame:
+    return S.item_stream(spark, d, glob="events.parquet")
+
+
+def q_stream_distinct_items(spark: SparkSession, d: str) -> DataFrame:
+    return S.distinct_items(S.StreamRun(spark, "distinct"), _stream(spark, d), item_params(spark, d))
+
+
+def q_stream_distinct_summary(spark: SparkSession, d: str) -> DataFrame:
+    return S.distinct_summary(S.StreamRun(spark, "summary"), _stream(spark, d), item_params(spark, d))
+
+
+def q_stream_item_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return S.histogram(S.StreamRun(spark, "histogram"), _stream(spark, d), item_params(spark, d))
+
+
+def q_stream_reservoir(spark: SparkSession, d: str) -> DataFrame:
+    return S.reservoir(S.StreamRun(spark, "reservoir"), _stream(spark, d), item_params(spark, d))
+
+
+def q_stream_sticky(spark: SparkSession, d: str) -> DataFrame:
+    return S.sticky(S.StreamRun(spark, "sticky"), _stream(spark, d), item_params(spark, d))
+
+
+def q_stream_batch_sizes(spark: SparkSession, d: str) -> DataFrame:
+    return S.batch_sizes(S.StreamRun(spark, "sizes"), _stream(spark, d))
+
+
+STREAM_QUERIES = {
+    "stream_distinct_items": q_stream_distinct_items,
+    "stream_distinct_summary": q_stream_distinct_summary,
+    "stream_item_histogram": q_stream_item_histogram,
+    "stream_reservoir": q_stream_reservoir,
+    "stream_sticky": q_stream_sticky,
+    "stream_batch_sizes": q_stream_batch_sizes,
+}
+
+# streaming query -> batch query with the same result (and oracle SQL)
+STREAM_ORACLE_KEYS = {
+    "stream_distinct_items": "distinct_items",
+    "stream_distinct_summary": "distinct_items_summary",
+    "stream_item_histogram": "item_histogram",
+    "stream_reservoir": "reservoir_sample",
+    "stream_sticky": "sticky_counts",
+}
