@@ -6,8 +6,8 @@ included -- holds at most M points.
 Approximate method (grid of side lambda = D / (2*sqrt(2))): each occupied cell gets N3, the points
 in its 3x3 block, and N7, the points in its 7x7 block. Cells with N7 <= M hold sure outliers, cells
 with N3 <= M < N7 hold uncertain points. The 7x7 sums are one aggregation: every occupied cell
-sends its count to the 49 cells around it (a literal offset array, no join), and partial
-aggregation merges the contributions before the shuffle.
+sends its count to the cells around it -- as two separable passes, along i then along j, each a
+partially aggregated shuffle (no join).
 
 Exact method: a theta self-join (distance <= D) rewritten as an equi-join on a private grid whose
 3x3 block has diameter 0.97*D. All points of the 3x3 block are inside the ball, so they are counted
@@ -25,21 +25,22 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.floats import f32, f32_lit, require_positive_finite
-from tessera.functions.geometry import (
-    SQRT8,
-    cell_index,
-    cell_side,
-    cell_side_col,
-    distance,
-    exact_cell_index,
-    offsets_column,
-)
+from tessera.functions.floats import f32, require_positive_finite
+from tessera.functions.geometry import SQRT8, cell_side, cell_side_col, offsets_sql, sql_distance
 
 # fixed values of the method
 EXACT_GRID_SLACK = 0.97  # private grid: 3x3 block diameter is 0.97*D, 7x7 reach is 1.029*D
 HOT_CELL_ROWS = 1 << 17  # build rows per join key before a cell is split into salt buckets
 HOT_CELL_LIMIT = 1 << 20  # most hot cells broadcast; R grows until the hot list is within it
+BROADCAST_CELLS = 1 << 20  # most probe / needed cells broadcast (about 24 bytes each)
+
+
+def _double(v: float) -> str:
+    return f"CAST('{float(v)!r}' AS DOUBLE)"
+
+
+def _float(v: float) -> str:
+    return f"CAST({_double(f32(v))} AS FLOAT)"
 
 
 def with_weight(points: DataFrame) -> DataFrame:
@@ -49,55 +50,70 @@ def with_weight(points: DataFrame) -> DataFrame:
     return points.withColumn("w", F.lit(1).cast("bigint"))
 
 
-def _side(distance_d: float | Column) -> Column | float:
-    if isinstance(distance_d, Column):
-        return cell_side_col(distance_d)
-    return cell_side(require_positive_finite("D", distance_d))
-
-
 # --------------------------------------------------------------------------------------------
 # approximate method
 # --------------------------------------------------------------------------------------------
 
 
 def grid_cells(points: DataFrame, distance_d: float | Column) -> DataFrame:
-    """``(id, x, y, w, i, j)``: the cell of every point on the grid of side D/(2*sqrt(2))."""
-    side = _side(distance_d)
-    return with_weight(points).select(
-        "id", "x", "y", "w", cell_index(F.col("x"), side).alias("i"), cell_index(F.col("y"), side).alias("j")
+    """``(id, x, y, w, i, j)``: the cell of every point on the grid of side D/(2*sqrt(2)).
+
+    The quotient is float32 (Spark divides in double; rounding it to float gives the float32
+    quotient), then floored, as in the reference.
+    """
+    pts = with_weight(points)
+    if isinstance(distance_d, Column):
+        side = F.when(
+            (distance_d > 0) & (distance_d < float("inf")), cell_side_col(distance_d)
+        ).otherwise(F.raise_error(F.lit("D must be a positive finite number")).cast("float"))
+        return pts.select(
+            "id", "x", "y", "w",
+            F.floor((F.col("x") / side).cast("float")).cast("bigint").alias("i"),
+            F.floor((F.col("y") / side).cast("float")).cast("bigint").alias("j"),
+        )
+    side = _float(cell_side(require_positive_finite("D", distance_d)))
+    return pts.selectExpr(
+        "id", "x", "y", "w",
+        f"CAST(floor(CAST(x / {side} AS FLOAT)) AS BIGINT) AS i",
+        f"CAST(floor(CAST(y / {side} AS FLOAT)) AS BIGINT) AS j",
     )
 
 
 def cell_counts(points: DataFrame, distance_d: float | Column) -> DataFrame:
     """``(i, j, n)``: points per occupied cell (partial aggregation before the shuffle)."""
-    return (
-        grid_cells(points, distance_d)
-        .groupBy("i", "j")
-        .agg(F.sum("w").cast("bigint").alias("n"))
-    )
-
-
-def cell_regions(cells: DataFrame, i: str = "i", j: str = "j", n: str = "n") -> DataFrame:
-    """``(i, j, n, n3, n7)`` for every occupied cell, from ``(i, j, n)``.
-
-    Each cell sends its count to the 49 cells of its 7x7 block; the target sums are N7, the sums of
-    the senders within the 3x3 block are N3, and the sender at offset (0, 0) marks the target as
-    occupied. One shuffle of at most 49 rows per occupied cell, merged map-side.
+    return grid_cells(points, distance_d).groupBy("i", "j").agg(F.expr("CAST(sum(w) AS BIGINT) AS n"))
+
+
+def _spread(df: DataFrame, axis: str, reach: int, sums: dict[str, tuple[str, bool]]) -> DataFrame:
+    """One pass of a separable box sum: every row sends its sums to the rows within ``reach``
+    along ``axis`` (``_i`` or ``_j``); ``sums`` maps output -> (input, inner 3-wide only?); the
+    own count ``_own`` is kept at offset 0 only."""
+    sent = df.selectExpr("*", f"explode(sequence({-reach}, {reach})) AS _d")
+    other = "_j" if axis == "_i" else "_i"
+    aggs = [
+        (f"CAST(sum(CASE WHEN abs(_d) <= 1 THEN {src} ELSE 0 END) AS BIGINT) AS {out}" if inner
+         else f"CAST(sum({src}) AS BIGINT) AS {out}")
+        for out, (src, inner) in sums.items()
+    ]
+    aggs.append("max(CASE WHEN _d = 0 THEN _own END) AS _own")
+    return sent.groupBy(F.expr(f"{axis} + _d AS {axis}"), F.col(other)).agg(*[F.expr(a) for a in aggs])
+
+
+def cell_regions(cells: DataFrame, i: str = "i", j: str = "j", n: str = "n", reach: int = 3) -> DataFrame:
+    """``(i, j, n, n3, n7)`` for every occupied cell, from ``(i, j, n)`` (``reach=1``: no n7).
+
+    N3 and N7 are box sums, and box sums are separable: a row pass sends each cell's count to the
+    cells within ``reach`` along i, a column pass sends those row sums within ``reach`` along j.
+    That is 2 * (2*reach+1) rows per cell through two partially aggregated shuffles instead of
+    (2*reach+1)^2 through one. The count at offset (0, 0) carries through both passes and marks
+    the occupied cells (the result keeps only those).
     """
-    sent = cells.select(
-        F.col(i).alias("_i"), F.col(j).alias("_j"), F.col(n).alias("_n"), F.inline(offsets_column(3))
-    )
-    inner = (F.abs("di") <= 1) & (F.abs("dj") <= 1)
-    own = (F.col("di") == 0) & (F.col("dj") == 0)
-    return (
-        sent.groupBy((F.col("_i") + F.col("di")).alias(i), (F.col("_j") + F.col("dj")).alias(j))
-        .agg(
-            F.max(F.when(own, F.col("_n"))).alias(n),
-            F.sum(F.when(inner, F.col("_n")).otherwise(F.lit(0))).cast("bigint").alias("n3"),
-            F.sum("_n").cast("bigint").alias("n7"),
-        )
-        .filter(F.col(n).isNotNull())
-    )
+    base = cells.selectExpr(f"{i} AS _i", f"{j} AS _j", f"{n} AS _own", f"{n} AS _v")
+    wide = {"_s3": ("_v", True)} | ({"_s7": ("_v", False)} if reach >= 3 else {})
+    narrow = {"n3": ("_s3", True)} | ({"n7": ("_s7", False)} if reach >= 3 else {})
+    cols = _spread(_spread(base, "_i", reach, wide), "_j", reach, narrow)
+    out = [f"_i AS {i}", f"_j AS {j}", f"_own AS {n}", "n3"] + (["n7"] if reach >= 3 else [])
+    return cols.filter("_own IS NOT NULL").selectExpr(*out)
 
 
 def cell_class(n3: Column, n7: Column, m: int) -> Column:
@@ -115,12 +131,10 @@ def approx_regions(points: DataFrame, distance_d: float | Column) -> DataFrame:
 
 def approx_outlier_counts(points: DataFrame, distance_d: float | Column, m: int) -> DataFrame:
     """One row ``(sure_outliers, uncertain_points)``: totals of points in sure / uncertain cells."""
-    regions = approx_regions(points, distance_d)
-    sure = F.col("n7") <= F.lit(int(m))
-    uncertain = (F.col("n3") <= F.lit(int(m))) & (F.col("n7") > F.lit(int(m)))
-    return regions.agg(
-        F.coalesce(F.sum(F.when(sure, F.col("n"))), F.lit(0)).cast("bigint").alias("sure_outliers"),
-        F.coalesce(F.sum(F.when(uncertain, F.col("n"))), F.lit(0)).cast("bigint").alias("uncertain_points"),
+    m = int(m)
+    return approx_regions(points, distance_d).agg(
+        F.expr(f"CAST(coalesce(sum(CASE WHEN n7 <= {m} THEN n END), 0) AS BIGINT) AS sure_outliers"),
+        F.expr(f"CAST(coalesce(sum(CASE WHEN n3 <= {m} AND n7 > {m} THEN n END), 0) AS BIGINT) AS uncertain_points"),
     )
 
 
@@ -131,7 +145,7 @@ def point_labels(points: DataFrame, distance_d: float | Column, m: int) -> DataF
     by AQE's skew-join handling (the statistics side has one row per cell).
     """
     cells = grid_cells(points, distance_d)
-    regions = cell_regions(cells.groupBy("i", "j").agg(F.sum("w").cast("bigint").alias("n")))
+    regions = cell_regions(cells.groupBy("i", "j").agg(F.expr("CAST(sum(w) AS BIGINT) AS n")))
     return cells.join(regions, ["i", "j"]).select("id", cell_class(F.col("n3"), F.col("n7"), m).alias("label"))
 
 
@@ -150,98 +164,132 @@ def exact_cell_side(distance_d: float) -> float:
 
 
 def _private_grid(points: DataFrame, distance_d: float) -> DataFrame:
-    side = exact_cell_side(distance_d)
-    return with_weight(points).select(
-        "id",
-        "x",
-        "y",
-        "w",
-        exact_cell_index(F.col("x"), side).alias("ci"),
-        exact_cell_index(F.col("y"), side).alias("cj"),
+    side = _double(exact_cell_side(distance_d))
+    return with_weight(points).selectExpr(
+        "id", "x", "y", "w",
+        f"CAST(floor(CAST(x AS DOUBLE) / {side}) AS BIGINT) AS ci",
+        f"CAST(floor(CAST(y AS DOUBLE) / {side}) AS BIGINT) AS cj",
     )
 
 
-class _ExactGrid:
-    """Private-grid statistics shared by the exact operators.
+RING = offsets_sql(3, 1)  # the 40 cells of the 7x7 block outside the 3x3 block
+PROBE_KEY = ["id", "x", "y", "w", "n3"]
+
 
-    ``cells`` (one row per occupied cell, with its distinct-coordinate count) is persisted because
-    three plans read it; the hot-cell list is counted on it and broadcast only within its bound.
+class _RingJoin:
+    """The exact ring join on the private grid.
+
+    Full data is read twice and shuffled once: ``cells`` (points per private cell, a partial
+    aggregation) is persisted; every other table of cells (regions, probe cells, needed ring cells)
+    derives from it. Probe cells and needed cells are broadcast when bounded by ``BROADCAST_CELLS``;
+    then the build side is filtered map-side to the needed cells and only probe and needed rows
+    reach the one shuffle of the join. Beyond the bound the joins shuffle, with hot cells salted
+    first so that no task receives a hot cell whole.
     """
 
     def __init__(self, points: DataFrame, distance_d: float):
         self.d = require_positive_finite("D", distance_d)
         self.grid = _private_grid(points, self.d)
-        self.coords = self.grid.groupBy("ci", "cj", "x", "y").agg(F.sum("w").cast("bigint").alias("w"))
         self.cells = (
-            self.coords.groupBy("ci", "cj")
-            .agg(F.sum("w").cast("bigint").alias("n"), F.count(F.lit(1)).alias("k"))
+            self.grid.groupBy("ci", "cj")
+            .agg(F.expr("CAST(sum(w) AS BIGINT) AS n"), F.expr("count(1) AS rows"))
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
-        self.regions = cell_regions(self.cells, "ci", "cj", "n")
-        self.hot = self._hot_cells()
+        self.regions = cell_regions(self.cells.select("ci", "cj", "n"), "ci", "cj", "n", reach=1)
+
+    @staticmethod
+    def _buckets(rows_per_key: int) -> str:
+        return f"CAST(floor((rows - 1) / {int(rows_per_key)}) + 1 AS BIGINT) AS buckets"
+
+    def counts(self, probe_cells: DataFrame) -> DataFrame:
+        """``(id, x, y, w, n3, ring)`` for every point of ``probe_cells (ci, cj, n3)``; ring is the
+        weight of the points of the 40 ring cells within distance D.
+
+        Probe cells and needed ring cells are subsets of the occupied cells, so when the occupied
+        cells are within ``BROADCAST_CELLS`` both broadcasts are bounded without counting them;
+        otherwise they are counted (small jobs on persisted cell tables) before broadcasting.
+        """
+        stats = self.cells.agg(F.expr("count(1) AS n"), F.expr("max(rows) AS top")).first()
+        n_cells, top_rows = int(stats.n), int(stats.top or 0)
+        rows_per_key = HOT_CELL_ROWS
+        salted = top_rows > rows_per_key
+        probe_cells = probe_cells.persist(StorageLevel.MEMORY_AND_DISK)
+        needed = (
+            probe_cells.selectExpr(f"inline({RING})", "ci", "cj")
+            .selectExpr("ci + di AS ci", "cj + dj AS cj")
+            .distinct()
+            .join(self.cells, ["ci", "cj"])
+            .selectExpr("ci", "cj", self._buckets(rows_per_key))
+            .persist(StorageLevel.MEMORY_AND_DISK)
+        )
+        if n_cells <= BROADCAST_CELLS or (
+            probe_cells.count() <= BROADCAST_CELLS and needed.count() <= BROADCAST_CELLS
+        ):
+            return self._broadcast_plan(F.broadcast(probe_cells), F.broadcast(needed), salted)
+        return self._shuffle_plan(probe_cells, rows_per_key)
+
+    def _pairs(
+        self, probes: DataFrame, build: DataFrame, lookup: DataFrame | None, how: str, salted: bool
+    ) -> DataFrame:
+        """Ring pairs within D, summed per probe. ``lookup (ci, cj, buckets)`` gives the bucket
+        count of target cells: joined inner (needed cells -- unoccupied targets drop out) or left
+        (hot cells only)."""
+        targets = probes.selectExpr(*PROBE_KEY, "ci", "cj", f"inline({RING})").selectExpr(
+            *PROBE_KEY, "ci + di AS ti", "cj + dj AS tj"
+        )
+        if lookup is not None:
+            targets = targets.join(lookup.selectExpr("ci AS ti", "cj AS tj", "buckets"), ["ti", "tj"], how)
+        s = "explode(sequence(CAST(0 AS BIGINT), coalesce(buckets, CAST(1 AS BIGINT)) - 1))" if salted else "CAST(0 AS BIGINT)"
+        targets = targets.selectExpr(*PROBE_KEY, "ti", "tj", f"{s} AS s")
+        near = f"{sql_distance('x', 'y', 'qx', 'qy')} <= {_float(self.d)}"
+        matched = targets.join(build.hint("shuffle_hash"), ["ti", "tj", "s"]).filter(near).selectExpr(*PROBE_KEY, "qw AS ring")
+        zero = probes.selectExpr(*PROBE_KEY, "CAST(0 AS BIGINT) AS ring")
+        return matched.unionByName(zero).groupBy(*PROBE_KEY).agg(F.expr("CAST(sum(ring) AS BIGINT) AS ring"))
+
+    @staticmethod
+    def _salt(salted: bool) -> str:
+        if not salted:
+            return "CAST(0 AS BIGINT) AS s"
+        return "coalesce(pmod(xxhash64(id, x, y), buckets), CAST(0 AS BIGINT)) AS s"
+
+    def _broadcast_plan(self, probe_cells: DataFrame, needed: DataFrame, salted: bool) -> DataFrame:
+        probes = self.grid.join(probe_cells, ["ci", "cj"]).select(*PROBE_KEY, "ci", "cj")
+        build = self.grid.join(needed, ["ci", "cj"]).selectExpr(
+            "ci AS ti", "cj AS tj", self._salt(salted), "x AS qx", "y AS qy", "w AS qw"
+        )
+        return self._pairs(probes, build, needed, "inner", salted)
 
-    def _hot_cells(self) -> DataFrame | None:
-        rows = HOT_CELL_ROWS
+    def _shuffle_plan(self, probe_cells: DataFrame, rows_per_key: int) -> DataFrame:
+        # hot cells: at most (rows / rows_per_key) of them; grow the bucket size until they fit
         while True:
-            hot = self.cells.filter(F.col("k") > F.lit(rows)).select(
-                "ci", "cj", (F.floor((F.col("k") - 1) / F.lit(rows)) + 1).cast("bigint").alias("buckets")
-            )
+            hot = self.cells.filter(f"rows > {rows_per_key}").selectExpr("ci", "cj", self._buckets(rows_per_key))
             n_hot = hot.count()
-            if n_hot == 0:
-                return None
             if n_hot <= HOT_CELL_LIMIT:
-                return F.broadcast(hot)
-            rows *= 2 * math.ceil(n_hot / HOT_CELL_LIMIT)
-
-    def salted(self, df: DataFrame) -> DataFrame:
-        """Add the salt bucket ``s`` of each row's own cell (0 outside hot cells)."""
-        if self.hot is None:
-            return df.withColumn("s", F.lit(0).cast("bigint"))
-        return (
-            df.join(self.hot, ["ci", "cj"], "left")
-            .withColumn("s", F.coalesce(F.pmod(F.xxhash64("x", "y"), F.col("buckets")), F.lit(0).cast("bigint")))
-            .drop("buckets")
-        )
-
-    def probe_targets(self, probes: DataFrame) -> DataFrame:
-        """Explode probes ``(..., ci, cj)`` to their 40 ring cells ``(ti, tj, s)``."""
-        ring = probes.select("*", F.inline(offsets_column(3, skip_inner=1))).select(
-            "*", (F.col("ci") + F.col("di")).alias("ti"), (F.col("cj") + F.col("dj")).alias("tj")
-        ).drop("di", "dj")
-        if self.hot is None:
-            return ring.withColumn("s", F.lit(0).cast("bigint"))
-        hot = self.hot.withColumnRenamed("ci", "ti").withColumnRenamed("cj", "tj")
-        return (
-            ring.join(hot, ["ti", "tj"], "left")
-            .withColumn("s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("buckets"), F.lit(1)) - 1)))
-            .drop("buckets")
-        )
-
-    def ring_counts(self, probes: DataFrame, key: list[str]) -> DataFrame:
-        """``(*key, ring)``: weight of the ring points within D of each probe (0 when none)."""
-        build = self.salted(self.coords).select(
-            F.col("ci").alias("ti"), F.col("cj").alias("tj"), "s", F.col("x").alias("qx"),
-            F.col("y").alias("qy"), F.col("w").alias("qw"),
-        )
-        targets = self.probe_targets(probes.select(*key, "ci", "cj").dropDuplicates(key))
-        near = distance(F.col("x"), F.col("y"), F.col("qx"), F.col("qy")) <= f32_lit(self.d)
-        matched = targets.join(build, ["ti", "tj", "s"]).filter(near).select(*key, F.col("qw").alias("ring"))
-        zero = probes.select(*key).dropDuplicates(key).withColumn("ring", F.lit(0).cast("bigint"))
-        return matched.unionByName(zero).groupBy(*key).agg(F.sum("ring").cast("bigint").alias("ring"))
+                break
+            rows_per_key *= 2 * math.ceil(n_hot / HOT_CELL_LIMIT)
+        hot_b = F.broadcast(hot) if n_hot else None
+        if hot_b is not None:
+            grid = self.grid.join(hot_b, ["ci", "cj"], "left").selectExpr("*", self._salt(True)).drop("buckets")
+            # a probe cell that is hot (possible for ball counts of all points) meets its rows in every bucket
+            probe_keys = probe_cells.join(hot_b, ["ci", "cj"], "left").selectExpr(
+                "ci", "cj", "n3", "explode(sequence(CAST(0 AS BIGINT), coalesce(buckets, CAST(1 AS BIGINT)) - 1)) AS s"
+            )
+        else:
+            grid = self.grid.selectExpr("*", self._salt(False))
+            probe_keys = probe_cells.selectExpr("*", "CAST(0 AS BIGINT) AS s")
+        probes = grid.join(probe_keys, ["ci", "cj", "s"]).select(*PROBE_KEY, "ci", "cj")
+        build = grid.selectExpr("ci AS ti", "cj AS tj", "s", "x AS qx", "y AS qy", "w AS qw")
+        return self._pairs(probes, build, hot_b, "left", hot_b is not None)
 
 
 def ball_counts(points: DataFrame, distance_d: float) -> DataFrame:
     """``(id, x, y, ball)``: |B(p, D)| for every point, the point and its duplicates included.
 
-    Computed once per distinct coordinate and joined back to the points by (cell, salt, x, y).
+    Rows are distinct points (``w`` carries multiplicity). Every cell probes its ring.
     """
-    eg = _ExactGrid(points, distance_d)
-    coords = eg.salted(eg.coords).join(eg.regions.select("ci", "cj", "n3"), ["ci", "cj"])
-    ring = eg.ring_counts(coords, ["x", "y"])
-    balls = coords.join(ring, ["x", "y"]).select("ci", "cj", "s", "x", "y", (F.col("n3") + F.col("ring")).alias("ball"))
-    return eg.salted(eg.grid).join(balls, ["ci", "cj", "s", "x", "y"]).select(
-        "id", "x", "y", F.col("ball").cast("bigint").alias("ball")
-    )
+    rj = _RingJoin(points, distance_d)
+    probe_cells = rj.regions.select("ci", "cj", "n3")
+    return rj.counts(probe_cells).selectExpr("id", "x", "y", "CAST(n3 + ring AS BIGINT) AS ball")
 
 
 def exact_outliers(points: DataFrame, distance_d: float, m: int, keep_weight: bool = False) -> DataFrame:
@@ -250,22 +298,17 @@ def exact_outliers(points: DataFrame, distance_d: float, m: int, keep_weight: bo
     Only points in private cells with N3' <= M probe the ring (a cell with N3' > M holds no
     outlier); such a cell holds at most M points, so the probe side never concentrates.
     """
-    eg = _ExactGrid(points, distance_d)
-    cand_cells = eg.regions.filter(F.col("n3") <= F.lit(int(m))).select(
-        "ci", "cj", "n3", F.lit(0).cast("bigint").alias("s")
-    )
-    cand = eg.salted(eg.grid).join(cand_cells, ["ci", "cj", "s"])
-    # a candidate cell holds at most M rows, so probing per point (not per coordinate) is bounded
-    ring = eg.ring_counts(cand, ["id", "x", "y", "w", "n3"])
-    out = ring.select("id", "x", "y", "w", (F.col("n3") + F.col("ring")).cast("bigint").alias("ball"))
-    out = out.filter(F.col("ball") <= F.lit(int(m)))
+    rj = _RingJoin(points, distance_d)
+    probe_cells = rj.regions.filter(f"n3 <= {int(m)}").select("ci", "cj", "n3")
+    out = rj.counts(probe_cells).selectExpr("id", "x", "y", "w", "CAST(n3 + ring AS BIGINT) AS ball")
+    out = out.filter(f"ball <= {int(m)}")
     return out if keep_weight else out.drop("w")
 
 
 def exact_outlier_count(points: DataFrame, distance_d: float, m: int) -> DataFrame:
     """One row ``(n_outliers)``; weighted points count with their multiplicity."""
     return exact_outliers(points, distance_d, m, keep_weight=True).agg(
-        F.coalesce(F.sum("w"), F.lit(0)).cast("bigint").alias("n_outliers")
+        F.expr("CAST(coalesce(sum(w), 0) AS BIGINT) AS n_outliers")
     )
 
 

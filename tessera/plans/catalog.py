@@ -32,7 +32,7 @@ from tessera.sources.points import (
     points_from_lineitem,
     points_from_orders,
 )
-from tessera.sources.tables import table
+from tessera.sources.tables import balanced, table
 from tessera.sources.text import doc_lines
 
 # fixed values of the query bindings
@@ -50,23 +50,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def pts(spark: SparkSession, d: str) -> DataFrame:
-    return points_from_embeddings(table(spark, d, "embeddings"))
+    return balanced(points_from_embeddings(table(spark, d, "embeddings")))
 
 
 def ord_points(spark: SparkSession, d: str) -> DataFrame:
-    return points_from_orders(table(spark, d, "orders"))
+    return balanced(points_from_orders(table(spark, d, "orders")))
 
 
 def li_points(spark: SparkSession, d: str) -> DataFrame:
-    return points_from_lineitem(table(spark, d, "lineitem"))
+    return balanced(points_from_lineitem(table(spark, d, "lineitem")))
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return doc_lines(table(spark, d, "documents"))
+    return doc_lines(balanced(table(spark, d, "documents")))
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
-    return items_from_events(table(spark, d, "events"))
+    return balanced(items_from_events(table(spark, d, "events")))
 
 
 def item_params(spark: SparkSession, d: str) -> FQ.FrequencyParams:

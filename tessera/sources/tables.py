@@ -15,3 +15,16 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+
+
+def balanced(df: DataFrame) -> DataFrame:
+    """Spread rows over the session's cores when the scan yields fewer partitions than cores.
+
+    A small input (here a single parquet row group) is read by one task, and every map-side step
+    after it -- tokenising, the grid fan-out, hashing -- would run on one core. Large inputs have
+    at least as many splits as cores and pass through unchanged, so this adds no shuffle at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.rdd().getNumPartitions() < target:
+        return df.repartition(target)
+    return df

@@ -67,13 +67,19 @@ def test_weighted_points_count_multiplicity(spark):
     assert O.exact_outlier_count(pts, 1.0, 2).first().n_outliers == 1
 
 
-def test_hot_cell_is_salted(spark, monkeypatch):
-    # force tiny salt buckets: results must not change
-    monkeypatch.setattr(O, "HOT_CELL_ROWS", 4)
+@pytest.mark.parametrize(
+    "rows_per_key,hot_limit,broadcast_cells",
+    [(4, 1 << 20, 1 << 20), (1 << 17, 1 << 20, 0), (4, 1 << 20, 0), (4, 2, 0)],
+    ids=["broadcast-salted", "shuffle", "shuffle-salted", "shuffle-salted-regrown"],
+)
+def test_every_ring_join_plan_agrees(spark, monkeypatch, rows_per_key, hot_limit, broadcast_cells):
     pts = points_from_embeddings(spark.read.parquet(f"{SF001}/embeddings.parquet"))
+    want = {r.id: r.ball for r in O.ball_counts(pts, 0.05).collect()}
+    monkeypatch.setattr(O, "HOT_CELL_ROWS", rows_per_key)
+    monkeypatch.setattr(O, "HOT_CELL_LIMIT", hot_limit)
+    monkeypatch.setattr(O, "BROADCAST_CELLS", broadcast_cells)
     assert O.exact_outlier_count(pts, 0.05, 5).first().n_outliers == 64
-    monkeypatch.setattr(O, "HOT_CELL_LIMIT", 2)
-    assert O.exact_outlier_count(pts, 0.05, 5).first().n_outliers == 64
+    assert {r.id: r.ball for r in O.ball_counts(pts, 0.05).collect()} == want
 
 
 @pytest.mark.parametrize("d", [0.0, -1.0, float("nan"), float("inf")])
