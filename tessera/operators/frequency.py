@@ -111,7 +111,12 @@ def distinct_items_summary(items: DataFrame) -> DataFrame:
 
 
 def frequent_items(items: DataFrame, params: FrequencyParams) -> DataFrame:
-    """``(item, n)``: items with float(count) >= phi * n. At most 1/phi rows."""
+    """``(item, n)``: items with float(count) >= phi * n, ascending by item. At most 1/phi rows."""
+    return true_frequent(items, params).orderBy("item")
+
+
+def true_frequent(items: DataFrame, params: FrequencyParams) -> DataFrame:
+    """The true frequent items, unordered (at most 1/phi rows)."""
     return item_histogram(prefix(items, params)).filter(
         F.col("n").cast("float") >= F.lit(params.true_threshold).cast("float")
     )
@@ -139,14 +144,16 @@ def reservoir_sample(items: DataFrame, params: FrequencyParams, textbook: bool =
 def _flag_true(estimated: DataFrame, items: DataFrame, params: FrequencyParams) -> DataFrame:
     """Add ``flag`` '+' when the item is truly frequent. The true set has at most 1/phi rows (a
     proven bound: at most n / (phi n) items reach phi n), so it is broadcast."""
-    true_set = frequent_items(items, params).select("item", F.lit(True).alias("_true"))
-    return estimated.join(F.broadcast(true_set), "item", "left").select(
-        "item", F.when(F.col("_true"), F.lit("+")).otherwise(F.lit("-")).alias("flag")
+    true_set = true_frequent(items, params).select("item", F.lit(True).alias("_true"))
+    return (
+        estimated.join(F.broadcast(true_set), "item", "left")
+        .select("item", F.when(F.col("_true"), F.lit("+")).otherwise(F.lit("-")).alias("flag"))
+        .orderBy("item")
     )
 
 
 def reservoir_frequent_items(items: DataFrame, params: FrequencyParams) -> DataFrame:
-    """``(item, flag)``: the distinct items of the reservoir, flagged against the true set."""
+    """``(item, flag)``: the distinct items of the reservoir, flagged against the true set, by item."""
     est = reservoir_sample(items, params).select("item").distinct()
     return _flag_true(est, items, params)
 
@@ -176,7 +183,8 @@ def sticky_counts(items: DataFrame, params: FrequencyParams) -> DataFrame:
 
 
 def sticky_frequent_items(items: DataFrame, params: FrequencyParams) -> DataFrame:
-    """``(item, flag)``: sticky counts >= (long)((phi - epsilon) n), flagged against the true set."""
+    """``(item, flag)``: sticky counts >= (long)((phi - epsilon) n), flagged against the true set,
+    by item."""
     est = sticky_counts(items, params).filter(F.col("n") >= F.lit(params.sticky_threshold)).select("item")
     return _flag_true(est, items, params)
 

@@ -17,6 +17,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
@@ -28,6 +30,7 @@ from tessera.functions.geometry import distance
 
 FLOAT_MAX = float(np.finfo(np.float32).max)
 CHECKPOINT_EVERY = 8  # rounds between reliable checkpoints of the distance column
+MAX_PART_ROWS = 4_000_000  # rows of one pandas group when L is chosen automatically
 
 CENTER_SCHEMA = T.StructType(
     [
@@ -80,9 +83,15 @@ def _fft_frame(pdf: pd.DataFrame, k: int, order: list[str]) -> pd.DataFrame:
     return out
 
 
-def coreset(points: DataFrame, k: int, parts: int) -> DataFrame:
-    """``(part, pick, id, x, y)``: K farthest-first centers of every part, part = pmod(id, L)."""
+def coreset(points: DataFrame, k: int, parts: int | None = None, max_part_rows: int = MAX_PART_ROWS) -> DataFrame:
+    """``(part, pick, id, x, y)``: K farthest-first centers of every part, part = pmod(id, L).
+
+    Each part is one pandas group, so it must fit one task: with ``parts=None`` L is chosen as
+    ceil(N / max_part_rows) (one count job); an explicit L is used as given.
+    """
     k = _require_k(k)
+    if parts is None:
+        parts = max(1, math.ceil(points.count() / max_part_rows))
     if int(parts) < 1:
         raise ValueError("L must be at least 1")
 
@@ -108,7 +117,7 @@ def centers_from_coreset(core: DataFrame, k: int) -> DataFrame:
     return core.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(merge, CENTER_SCHEMA)
 
 
-def mr_centers(points: DataFrame, k: int, parts: int) -> DataFrame:
+def mr_centers(points: DataFrame, k: int, parts: int | None = None) -> DataFrame:
     """The three-round MapReduce k-center: coreset per part, then centers of the coreset."""
     return centers_from_coreset(coreset(points, k, parts), k)
 

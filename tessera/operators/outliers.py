@@ -141,11 +141,16 @@ def approx_outlier_counts(points: DataFrame, distance_d: float | Column, m: int)
 def point_labels(points: DataFrame, distance_d: float | Column, m: int) -> DataFrame:
     """``(id, label)``: the class of each point's cell.
 
-    The join of points to cell statistics shuffles points by cell; a hot cell is split at run time
-    by AQE's skew-join handling (the statistics side has one row per cell).
+    The cell statistics are broadcast when the occupied cells are within ``BROADCAST_CELLS``
+    (checked on the persisted cell counts), so points are labelled map-side without a shuffle.
+    Beyond that the join shuffles points by cell, and a hot cell is split at run time by AQE's
+    skew-join handling (the statistics side has one row per cell).
     """
     cells = grid_cells(points, distance_d)
-    regions = cell_regions(cells.groupBy("i", "j").agg(F.expr("CAST(sum(w) AS BIGINT) AS n")))
+    counts = cells.groupBy("i", "j").agg(F.expr("CAST(sum(w) AS BIGINT) AS n")).persist(StorageLevel.MEMORY_AND_DISK)
+    regions = cell_regions(counts)
+    if counts.count() <= BROADCAST_CELLS:
+        regions = F.broadcast(regions)
     return cells.join(regions, ["i", "j"]).select("id", cell_class(F.col("n3"), F.col("n7"), m).alias("label"))
 
 

@@ -38,6 +38,11 @@ def q_stream_sticky(spark: SparkSession, d: str) -> DataFrame:
     return S.sticky(S.StreamRun(spark, "sticky"), _stream(spark, d), item_params(spark, d))
 
 
+def q_stream_prefix_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Micro-batches taken while the length so far is below n; the crossing batch is taken whole."""
+    return S.prefix_whole_batches(S.StreamRun(spark, "prefix"), _stream(spark, d), item_params(spark, d).n)
+
+
 def q_stream_batch_sizes(spark: SparkSession, d: str) -> DataFrame:
     return S.batch_sizes(S.StreamRun(spark, "sizes"), _stream(spark, d))
 
@@ -49,6 +54,7 @@ STREAM_QUERIES = {
     "stream_reservoir": q_stream_reservoir,
     "stream_sticky": q_stream_sticky,
     "stream_batch_sizes": q_stream_batch_sizes,
+    "stream_prefix_batches": q_stream_prefix_batches,
 }
 
 # streaming query -> batch query with the same result (and oracle SQL)

@@ -64,3 +64,10 @@ def test_coreset_matches_numpy_and_radius_bound(spark):
     # both are 2-approximations of the optimum on their inputs: the coreset radius is within 4x of
     # the optimum, so within 4x of the sequential radius (which is >= the optimum)
     assert mr <= 4 * seq + 1e-6
+
+
+def test_automatic_parts_bound_group_size(spark):
+    pts = points_from_embeddings(spark.read.parquet(f"{SF001}/embeddings.parquet"))
+    core = K.coreset(pts, 3, max_part_rows=100)  # 500 points -> 5 parts
+    assert sorted({r.part for r in core.collect()}) == [0, 1, 2, 3, 4]
+    assert K.mr_centers(pts, 3).count() == 3

@@ -17,7 +17,7 @@ def con():
 
 def test_every_query_has_an_oracle_or_is_rows_only():
     assert set(SQL) <= set(E.queries())
-    assert set(E.queries()) - set(SQL) == {"stream_batch_sizes"}
+    assert set(E.queries()) - set(SQL) == {"stream_batch_sizes", "stream_prefix_batches"}
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
