@@ -8,8 +8,8 @@
   short and a lost executor recomputes little.
 * ``coreset``: the traversal inside each part (``part = pmod(id, L)``), one pandas group per part.
   Parts are balanced by construction; a part must fit one task's memory (choose L >= N / rows).
-* ``centers_from_coreset``: the traversal on the coreset, at most L*K rows (bounded by the
-  parameters, not the data), in one group.
+* ``centers_from_coreset``: the traversal on the coreset, at most L*K rows, in one group;
+  ``mr_centers`` reduces a coreset that would exceed the group bound by another coreset round.
 * ``nearest_center_distance`` / ``radius``: each point's distance to the nearest center. The K
   centers (K rows) come to the driver and become literals of one ``least`` expression, so this is
   a map-only, whole-stage-codegen pass with a global max -- no join, no per-point shuffle.
@@ -83,8 +83,26 @@ def _fft_frame(pdf: pd.DataFrame, k: int, order: list[str]) -> pd.DataFrame:
     return out
 
 
-def coreset(points: DataFrame, k: int, parts: int | None = None, max_part_rows: int = MAX_PART_ROWS) -> DataFrame:
-    """``(part, pick, id, x, y)``: K farthest-first centers of every part, part = pmod(id, L).
+def part_of(ids: Column, parts: int, assign: str = "hash") -> Column:
+    """The part of each point: ``hash`` (default) spreads any id pattern evenly --
+    pmod(first 32 bits of md5(id), L), reproducible in SQL -- while ``mod`` is pmod(id, L)."""
+    if assign == "mod":
+        key = ids
+    elif assign == "hash":
+        key = F.conv(F.substring(F.md5(ids.cast("string")), 1, 8), 16, 10).cast("bigint")
+    else:
+        raise ValueError("assign must be 'hash' or 'mod'")
+    return F.pmod(key, F.lit(int(parts))).cast("bigint")
+
+
+def coreset(
+    points: DataFrame,
+    k: int,
+    parts: int | None = None,
+    max_part_rows: int = MAX_PART_ROWS,
+    assign: str = "hash",
+) -> DataFrame:
+    """``(part, pick, id, x, y)``: K farthest-first centers of every part.
 
     Each part is one pandas group, so it must fit one task: with ``parts=None`` L is chosen as
     ceil(N / max_part_rows) (one count job); an explicit L is used as given.
@@ -101,7 +119,7 @@ def coreset(points: DataFrame, k: int, parts: int | None = None, max_part_rows:
         return out
 
     return (
-        points.select(F.pmod(F.col("id"), F.lit(int(parts))).cast("bigint").alias("part"), "id", "x", "y")
+        points.select(part_of(F.col("id"), parts, assign).alias("part"), "id", "x", "y")
         .groupBy("part")
         .applyInPandas(per_part, CORESET_SCHEMA)
     )
@@ -117,9 +135,29 @@ def centers_from_coreset(core: DataFrame, k: int) -> DataFrame:
     return core.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(merge, CENTER_SCHEMA)
 
 
-def mr_centers(points: DataFrame, k: int, parts: int | None = None) -> DataFrame:
-    """The three-round MapReduce k-center: coreset per part, then centers of the coreset."""
-    return centers_from_coreset(coreset(points, k, parts), k)
+def mr_centers(
+    points: DataFrame,
+    k: int,
+    parts: int | None = None,
+    max_part_rows: int = MAX_PART_ROWS,
+    assign: str = "hash",
+) -> DataFrame:
+    """The MapReduce k-center: coreset per part, then farthest-first on the coreset.
+
+    The coreset has at most L*K rows. When that exceeds ``max_part_rows`` (L chosen for a very
+    large input), the coreset is itself reduced by the same step -- a coreset of coresets -- until
+    it fits one group, so no group ever holds more than ``max_part_rows`` rows.
+    """
+    k = _require_k(k)
+    if parts is None:
+        parts = max(1, math.ceil(points.count() / max_part_rows))
+    core = coreset(points, k, parts, max_part_rows, assign)
+    rows = int(parts) * k
+    while rows > max_part_rows:
+        parts = math.ceil(rows / max_part_rows)
+        core = coreset(core.select("id", "x", "y"), k, parts, max_part_rows, "hash")
+        rows = parts * k
+    return centers_from_coreset(core, k)
 
 
 def farthest_first(points: DataFrame, k: int) -> DataFrame:

@@ -123,7 +123,8 @@ def _fft(src: str, k: int, order: str, part: str | None, name: str) -> str:
 
 
 def _kc_centers() -> str:
-    core = _fft("pts", C.KC_K, "id", f"(((id % {C.KC_L}) + {C.KC_L}) % {C.KC_L})", "core")
+    part = f"(CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8)) AS BIGINT) % {C.KC_L})"
+    core = _fft("pts", C.KC_K, "id", part, "core")
     cen = _fft("(SELECT part AS cpart, pick AS cpick, id, x, y FROM core)", C.KC_K, "cpart, cpick", None, "cen")
     near = (
         "ncd AS (SELECT p.id, min(" + sql_distance("p.x", "p.y", "c.x", "c.y") + ") AS d FROM pts p, cen c GROUP BY p.id)"

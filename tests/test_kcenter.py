@@ -21,14 +21,14 @@ def test_n15_global_fft(n15):
 
 
 def test_n15_three_rounds(n15):
-    centers = K.mr_centers(n15, 3, 2)
+    centers = K.mr_centers(n15, 3, 2, assign="mod")
     assert _xy(centers) == [(0.4, 0.9), (4.32, 4.3), (1.1, 5.0)]
     assert K.radius(n15, centers).first().radius == pytest.approx(1.8461039, abs=1e-6)
 
 
 @pytest.mark.parametrize("k,expected", [(2, (0, 2)), (3, (2, 7)), (4, (7, 4))])
 def test_n15_radius_then_outliers(n15, k, expected):
-    r = K.radius(n15, K.mr_centers(n15, k, 2)).first().radius
+    r = K.radius(n15, K.mr_centers(n15, k, 2, assign="mod")).first().radius
     got = O.approx_outlier_counts(n15, r, 3).first()
     assert (got.sure_outliers, got.uncertain_points) == expected
 
@@ -41,7 +41,7 @@ def test_fewer_distinct_points_than_k(spark):
 
 def test_empty_part_emits_nothing(spark):
     pts = spark.createDataFrame([(0, 0.0, 0.0), (3, 1.0, 1.0)], "id bigint, x float, y float")
-    core = K.coreset(pts, 2, 3).collect()
+    core = K.coreset(pts, 2, 3, assign="mod").collect()
     assert {r.part for r in core} == {0}
 
 
@@ -53,7 +53,7 @@ def test_k_must_be_positive(n15):
 def test_coreset_matches_numpy_and_radius_bound(spark):
     pts = points_from_embeddings(spark.read.parquet(f"{SF001}/embeddings.parquet"))
     pdf = pts.toPandas().sort_values("id")
-    core = K.coreset(pts, 4, 3).toPandas()
+    core = K.coreset(pts, 4, 3, assign="mod").toPandas()
     for part, grp in pdf.groupby(pdf["id"] % 3):
         picks = K.fft_indices(grp["x"].to_numpy(), grp["y"].to_numpy(), 4)
         want = grp.iloc[picks]["id"].tolist()
@@ -71,3 +71,15 @@ def test_automatic_parts_bound_group_size(spark):
     core = K.coreset(pts, 3, max_part_rows=100)  # 500 points -> 5 parts
     assert sorted({r.part for r in core.collect()}) == [0, 1, 2, 3, 4]
     assert K.mr_centers(pts, 3).count() == 3
+
+
+def test_hash_parts_are_balanced_and_hierarchy_bounds_groups(spark):
+    # ids that are all multiples of L would put every point in one part under pmod(id, L)
+    pts = spark.createDataFrame([(3 * i, float(i % 17), float(i % 23)) for i in range(300)], "id bigint, x float, y float")
+    sizes = [r["count"] for r in pts.groupBy(K.part_of(pts["id"], 3).alias("p")).count().collect()]
+    assert len(sizes) == 3 and min(sizes) > 60
+    # 300 points, parts of <= 40 rows: 8 parts * 4 centers = 32 rows fits; with <= 20 rows, a second
+    # coreset round is needed and the result still has K centers drawn from the points
+    for bound in (40, 20):
+        centers = K.mr_centers(pts, 4, max_part_rows=bound).collect()
+        assert len(centers) == 4 and {r.id for r in centers} <= {3 * i for i in range(300)}
