@@ -19,11 +19,6 @@ def f32(value: float) -> float:
     return float(np.float32(value))
 
 
-def f32_lit(value: float) -> Column:
-    """A float32 literal column."""
-    return F.lit(f32(value)).cast("float")
-
-
 def f32_col(col: Column) -> Column:
     return col.cast("float")
 

@@ -30,17 +30,6 @@ def cell_side_col(distance: Column) -> Column:
     return (distance.cast("float").cast("double") / F.lit(SQRT8)).cast("float")
 
 
-def cell_index(coord: Column, side: Column | float) -> Column:
-    """``floor(coord / side)`` with a float32 quotient, as bigint."""
-    side_col = side if isinstance(side, Column) else F.lit(f32(side)).cast("float")
-    return F.floor((coord.cast("float") / side_col).cast("float")).cast("bigint")
-
-
-def exact_cell_index(coord: Column, side: float) -> Column:
-    """``floor(coord / side)`` in double, for the private grid of the exact join."""
-    return F.floor(coord.cast("double") / F.lit(float(side))).cast("bigint")
-
-
 def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """Euclidean distance of two float32 points, rounded to float32."""
     dx = (x1.cast("float") - x2.cast("float")).cast("double")
@@ -63,12 +52,6 @@ def offsets(reach: int) -> Iterator[tuple[int, int]]:
             yield di, dj
 
 
-def offsets_column(reach: int, skip_inner: int | None = None) -> Column:
-    """A literal array<struct<di bigint, dj bigint>> of offsets; ``skip_inner`` leaves out the
-    inner square. Built from one SQL expression string (one driver round trip)."""
-    return F.expr(offsets_sql(reach, skip_inner))
-
-
 @lru_cache(maxsize=None)
 def offsets_sql(reach: int, skip_inner: int | None = None) -> str:
     items = ", ".join(

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,7 +52,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the checkpoint root."""
     return "/".join([checkpoint_root(spark), "tessera", *parts, uuid.uuid4().hex])
-
-
-def in_local_mode(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local") or os.environ.get("TESSERA_LOCAL") == "1"

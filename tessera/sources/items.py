@@ -15,8 +15,3 @@ def parse_items(lines: DataFrame, line_col: str = "value", pos_col: str | None =
     """One integer per line; a malformed line fails the job (ANSI cast)."""
     pos = F.col(pos_col).cast("bigint") if pos_col else F.monotonically_increasing_id()
     return lines.select(pos.alias("pos"), F.trim(F.col(line_col)).cast("bigint").alias("item"))
-
-
-def stream_prefix(items: DataFrame, n: int) -> DataFrame:
-    """The first n items of the stream (pos < n); the filter reaches the parquet scan."""
-    return items.filter(F.col("pos") < F.lit(int(n)))

@@ -2,7 +2,7 @@
 
 Sources: any streaming DataFrame of ``(pos, item)``; ``item_stream`` reads parquet files of a folder
 as they arrive (``maxFilesPerTrigger`` sets the micro-batch size), ``line_stream`` reads text files
-with one integer per line.
+with one integer per line (items without positions).
 
 State lives in Spark's state store (checkpointed, partitioned by key), never on the driver:
 
@@ -37,7 +37,6 @@ from tessera.operators.frequency import (
     FrequencyParams,
 )
 from tessera.session import scratch_path
-from tessera.sources.items import parse_items
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -65,11 +64,16 @@ def item_stream(
 
 
 def line_stream(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """``(pos, item)`` from text files of one integer per line (pos numbers the lines of a batch)."""
+    """``(item)`` from text files of one integer per line (a malformed line fails the query).
+
+    A text stream carries no stream position, so it feeds the position-free operators (distinct
+    items, histogram, batch sizes) and is taken whole; reservoir and sticky sampling and the
+    length-n prefix need a positioned source such as ``item_stream``.
+    """
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return parse_items(reader.text(folder))
+    return reader.text(folder).select(F.trim(F.col("value")).cast("bigint").alias("item"))
 
 
 # ---- sinks -----------------------------------------------------------------------------------
@@ -147,6 +151,9 @@ class StreamRun:
 
 
 def _prefix(stream: DataFrame, params: FrequencyParams) -> DataFrame:
+    """The first n items; a stream without positions is taken whole."""
+    if "pos" not in stream.columns:
+        return stream
     return stream.filter(F.col("pos") < F.lit(int(params.n)))
 
 
