@@ -63,7 +63,7 @@ def li_points(spark: SparkSession, d: str) -> DataFrame:
 
 
 def docs(spark: SparkSession, d: str) -> DataFrame:
-    return doc_lines(balanced(table(spark, d, "documents")))
+    return doc_lines(balanced(table(spark, d, "documents"), "doc_id"))
 
 
 def items(spark: SparkSession, d: str) -> DataFrame:
