@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.geometry import distance
+from tessera.session import checkpoint_root
 
 FLOAT_MAX = float(np.finfo(np.float32).max)
 CHECKPOINT_EVERY = 8  # rounds between reliable checkpoints of the distance column
@@ -164,6 +165,8 @@ def farthest_first(points: DataFrame, k: int) -> DataFrame:
     """``(pick, id, x, y)``: sequential farthest-first traversal over all points, in id order."""
     k = _require_k(k)
     spark = points.sparkSession
+    if k > CHECKPOINT_EVERY:
+        checkpoint_root(spark)  # the shared folder named by spark.checkpoint.dir
     base = points.select("id", "x", "y")
     first = base.agg(F.min_by(F.struct("id", "x", "y"), F.col("id")).alias("c")).first()
     if first is None or first.c is None:

@@ -21,12 +21,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.floats import f32, require_positive_finite
 from tessera.functions.geometry import SQRT8, cell_side, cell_side_col, offsets_sql, sql_distance
+from tessera.session import persist_in_scope, release_scope
 
 # fixed values of the method
 EXACT_GRID_SLACK = 0.97  # private grid: 3x3 block diameter is 0.97*D, 7x7 reach is 1.029*D
@@ -146,8 +146,9 @@ def point_labels(points: DataFrame, distance_d: float | Column, m: int) -> DataF
     Beyond that the join shuffles points by cell, and a hot cell is split at run time by AQE's
     skew-join handling (the statistics side has one row per cell).
     """
+    release_scope("point-labels")
     cells = grid_cells(points, distance_d)
-    counts = cells.groupBy("i", "j").agg(F.expr("CAST(sum(w) AS BIGINT) AS n")).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = persist_in_scope(cells.groupBy("i", "j").agg(F.expr("CAST(sum(w) AS BIGINT) AS n")), "point-labels")
     regions = cell_regions(counts)
     if counts.count() <= BROADCAST_CELLS:
         regions = F.broadcast(regions)
@@ -194,11 +195,11 @@ class _RingJoin:
 
     def __init__(self, points: DataFrame, distance_d: float):
         self.d = require_positive_finite("D", distance_d)
+        release_scope("ring-join")
         self.grid = _private_grid(points, self.d)
-        self.cells = (
-            self.grid.groupBy("ci", "cj")
-            .agg(F.expr("CAST(sum(w) AS BIGINT) AS n"), F.expr("count(1) AS rows"))
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        self.cells = persist_in_scope(
+            self.grid.groupBy("ci", "cj").agg(F.expr("CAST(sum(w) AS BIGINT) AS n"), F.expr("count(1) AS rows")),
+            "ring-join",
         )
         self.regions = cell_regions(self.cells.select("ci", "cj", "n"), "ci", "cj", "n", reach=1)
 
@@ -218,14 +219,14 @@ class _RingJoin:
         n_cells, top_rows = int(stats.n), int(stats.top or 0)
         rows_per_key = HOT_CELL_ROWS
         salted = top_rows > rows_per_key
-        probe_cells = probe_cells.persist(StorageLevel.MEMORY_AND_DISK)
-        needed = (
+        probe_cells = persist_in_scope(probe_cells, "ring-join")
+        needed = persist_in_scope(
             probe_cells.selectExpr(f"inline({RING})", "ci", "cj")
             .selectExpr("ci + di AS ci", "cj + dj AS cj")
             .distinct()
             .join(self.cells, ["ci", "cj"])
-            .selectExpr("ci", "cj", self._buckets(rows_per_key))
-            .persist(StorageLevel.MEMORY_AND_DISK)
+            .selectExpr("ci", "cj", self._buckets(rows_per_key)),
+            "ring-join",
         )
         if n_cells <= BROADCAST_CELLS or (
             probe_cells.count() <= BROADCAST_CELLS and needed.count() <= BROADCAST_CELLS

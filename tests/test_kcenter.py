@@ -83,3 +83,12 @@ def test_hash_parts_are_balanced_and_hierarchy_bounds_groups(spark):
     for bound in (40, 20):
         centers = K.mr_centers(pts, 4, max_part_rows=bound).collect()
         assert len(centers) == 4 and {r.id for r in centers} <= {3 * i for i in range(300)}
+
+
+def test_many_rounds_cross_checkpoints(spark):
+    # more rounds than CHECKPOINT_EVERY: the distance column is checkpointed mid-way
+    pts = points_from_embeddings(spark.read.parquet(f"{SF001}/embeddings.parquet"))
+    pdf = pts.toPandas().sort_values("id").reset_index(drop=True)
+    want = pdf.iloc[K.fft_indices(pdf["x"].to_numpy(), pdf["y"].to_numpy(), 12)]["id"].tolist()
+    got = [r.id for r in K.farthest_first(pts, 12).orderBy("pick").collect()]
+    assert got == want
