@@ -100,9 +100,20 @@ def item_histogram(items: DataFrame) -> DataFrame:
     return items.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
 
 
-def distinct_items_summary(items: DataFrame) -> DataFrame:
+def distinct_items_summary(items: DataFrame, approx_rsd: float | None = None) -> DataFrame:
     """``(n_items, n_distinct, largest_item)``; the largest item is floored at 0 as in the
-    reference (it starts its maximum at 0)."""
+    reference (it starts its maximum at 0).
+
+    Exact by default (one partially aggregated shuffle by item). With ``approx_rsd`` the distinct
+    count is a HyperLogLog++ estimate of that relative error: no shuffle by item at all, only a
+    global merge of fixed-size sketches.
+    """
+    if approx_rsd is not None:
+        return items.agg(
+            F.count(F.lit(1)).alias("n_items"),
+            F.approx_count_distinct("item", rsd=float(approx_rsd)).cast("bigint").alias("n_distinct"),
+            F.greatest(F.coalesce(F.max("item"), F.lit(0)), F.lit(0)).cast("bigint").alias("largest_item"),
+        )
     return item_histogram(items).agg(
         F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_items"),
         F.count(F.lit(1)).alias("n_distinct"),

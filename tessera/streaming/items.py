@@ -264,22 +264,35 @@ def sticky(run: StreamRun, stream: DataFrame, params: FrequencyParams) -> DataFr
     return log.latest(["item"])
 
 
+PROGRESS_SCHEMA = T.StructType([T.StructField("total", T.LongType())])
+
+
 def prefix_whole_batches(run: StreamRun, stream: DataFrame, n: int) -> DataFrame:
     """``(pos, item)``: micro-batches taken while the length so far is below n; the batch that
-    crosses n is taken whole (the reference's stopping rule)."""
-    sizes = BatchLog(run.spark, run.sink("prefix_sizes"), BATCH_SCHEMA)
+    crosses n is taken whole (the reference's stopping rule).
+
+    Each batch records the running length after it (``progress/batch_id=<id>``) and reads only the
+    record of the batch before it, so a long stream costs O(1) per micro-batch; a replayed batch
+    rewrites the same records.
+    """
+    progress = BatchLog(run.spark, run.sink("prefix_progress"), PROGRESS_SCHEMA)
     rows = BatchLog(run.spark, run.sink("prefix_rows"), T.StructType(
         [T.StructField("pos", T.LongType()), T.StructField("item", T.LongType())]
     ))
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
-        seen = sizes.read().filter(F.col("batch_id") < F.lit(batch_id)).agg(F.sum("n_rows")).first()[0] or 0
-        if seen >= n:
-            return
-        size = df.count()
-        if size:
-            rows.write(df.select("pos", "item"), batch_id)
-            sizes.write(run.spark.createDataFrame([(size,)], BATCH_SCHEMA), batch_id)
+        seen = 0
+        if batch_id > 0:
+            before = f"{progress.path}/batch_id={int(batch_id) - 1}"
+            if _exists(run.spark, before):
+                seen = run.spark.read.schema(PROGRESS_SCHEMA).parquet(before).first().total
+        total = seen
+        if seen < n:
+            size = df.count()
+            if size:
+                rows.write(df.select("pos", "item"), batch_id)
+            total = seen + size
+        progress.write(run.spark.createDataFrame([(total,)], PROGRESS_SCHEMA), batch_id)
 
     run_until_caught_up(stream, "prefix", "append", on_batch, run.checkpoint("prefix"))
     return rows.read().select("pos", "item")

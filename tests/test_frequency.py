@@ -88,3 +88,11 @@ def test_summary_sizes(spark):
     rows = {r.method: (r.n_held, r.n_estimated) for r in Q.frequent_items_summary(items, p).collect()}
     assert rows["reservoir"][0] == min(p.m, p.n)
     assert rows["exact"][1] == Q.frequent_items(items, p).count()
+
+
+def test_approximate_distinct_count_is_close(spark):
+    items = _items(spark)
+    exact = Q.distinct_items_summary(items).first()
+    approx = Q.distinct_items_summary(items, approx_rsd=0.02).first()
+    assert (approx.n_items, approx.largest_item) == (exact.n_items, exact.largest_item)
+    assert abs(approx.n_distinct - exact.n_distinct) <= 0.1 * exact.n_distinct
