@@ -183,12 +183,11 @@ def sticky_counts(items: DataFrame, params: FrequencyParams) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("c"),
             F.sum("seen").cast("bigint").alias("a"),
-            F.max(F.col("acc").cast("int")).alias("any_acc"),
         )
     )
-    first_block = (
-        blocks.filter(F.col("any_acc") == 1).groupBy("item").agg(F.min("b").alias("b0"))
-    )
+    # first block holding an accepted occurrence: a partial aggregate of the raw rows, so the
+    # windowed block table is computed once
+    first_block = rows.filter(F.col("acc")).groupBy("item").agg(F.min("b").alias("b0"))
     n = F.when(F.col("b") == F.col("b0"), F.col("a")).when(F.col("b") > F.col("b0"), F.col("c")).otherwise(0)
     return blocks.join(first_block, "item").groupBy("item").agg(F.sum(n).cast("bigint").alias("n"))
 
