@@ -248,7 +248,7 @@ class _RingJoin:
         s = "explode(sequence(CAST(0 AS BIGINT), coalesce(buckets, CAST(1 AS BIGINT)) - 1))" if salted else "CAST(0 AS BIGINT)"
         targets = targets.selectExpr(*PROBE_KEY, "ti", "tj", f"{s} AS s")
         near = f"{sql_distance('x', 'y', 'qx', 'qy')} <= {_float(self.d)}"
-        matched = targets.join(build.hint("shuffle_hash"), ["ti", "tj", "s"]).filter(near).selectExpr(*PROBE_KEY, "qw AS ring")
+        matched = targets.join(build, ["ti", "tj", "s"]).filter(near).selectExpr(*PROBE_KEY, "qw AS ring")
         zero = probes.selectExpr(*PROBE_KEY, "CAST(0 AS BIGINT) AS ring")
         return matched.unionByName(zero).groupBy(*PROBE_KEY).agg(F.expr("CAST(sum(ring) AS BIGINT) AS ring"))
 
