@@ -203,7 +203,7 @@ def center_rows(centers: DataFrame) -> list[tuple[float, float]]:
 def nearest_center_expr(x: Column, y: Column, centers: list[tuple[float, float]]) -> Column:
     """``least`` of the distances to K literal centers: one codegen'd expression per row."""
     if not centers:
-        raise ValueError("no centers")
+        return F.lit(None).cast("float")  # no points, no centers: no distance
     terms = [distance(x, y, F.lit(cx).cast("float"), F.lit(cy).cast("float")) for cx, cy in centers]
     return terms[0] if len(terms) == 1 else F.least(*terms)
 

@@ -81,5 +81,5 @@ def avg_distinct_word_length(lines: DataFrame) -> DataFrame:
     ).select(
         "n_words",
         "total_length",
-        (F.col("total_length").cast("double") / F.col("n_words").cast("double")).alias("avg_length"),
+        F.try_divide(F.col("total_length").cast("double"), F.col("n_words").cast("double")).alias("avg_length"),
     )
