@@ -106,3 +106,10 @@ def test_parse_errors(spark):
 def test_grid_plan_has_no_join(n15):
     plan = O.approx_outlier_counts(n15, 1.0, 3)._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_ring_join_plan_broadcasts_cell_tables(spark):
+    pts = points_from_embeddings(spark.read.parquet(f"{SF001}/embeddings.parquet"))
+    plan = O.exact_outlier_count(pts, 0.05, 5)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastExchange") >= 2  # probe cells and needed ring cells
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
