@@ -6,8 +6,9 @@
   ``max_by``. Only the chosen center row reaches the driver each round. The ``d`` column is
   persisted per round and checkpointed to the shared folder every few rounds, so the lineage stays
   short and a lost executor recomputes little.
-* ``coreset``: the traversal inside each part (``part = pmod(id, L)``), one pandas group per part.
-  Parts are balanced by construction; a part must fit one task's memory (choose L >= N / rows).
+* ``coreset``: the traversal inside each part, one pandas group per part. Parts come from an md5
+  hash of the id (balanced whatever the id pattern; ``assign="mod"`` gives pmod(id, L)); a part
+  must fit one task, so L defaults to ceil(N / MAX_PART_ROWS).
 * ``centers_from_coreset``: the traversal on the coreset, at most L*K rows, in one group;
   ``mr_centers`` reduces a coreset that would exceed the group bound by another coreset round.
 * ``nearest_center_distance`` / ``radius``: each point's distance to the nearest center. The K
