@@ -30,13 +30,24 @@ def cell_side_col(distance: Column) -> Column:
     return (distance.cast("float").cast("double") / F.lit(SQRT8)).cast("float")
 
 
-def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
-    """Euclidean distance of two float32 points, rounded to float32."""
+def distance(x1: Column | str, y1: Column | str, x2: Column | str, y2: Column | str) -> Column:
+    """Euclidean distance of two float32 points, rounded to float32.
+
+    Given column names (or SQL expressions) it is built as one SQL expression (one driver round
+    trip); given Column objects it is composed from them.
+    """
+    if all(isinstance(c, str) for c in (x1, y1, x2, y2)):
+        return F.expr(sql_distance(x1, y1, x2, y2))
     dx = (x1.cast("float") - x2.cast("float")).cast("double")
     dy = (y1.cast("float") - y2.cast("float")).cast("double")
     return F.sqrt(dx * dx + dy * dy).cast("float")
 
 
+def sql_float_literal(v: float) -> str:
+    """An exact float32 literal in Spark SQL text."""
+    return f"CAST(CAST('{f32(v)!r}' AS DOUBLE) AS FLOAT)"
+
+
 def sql_distance(x1: str, y1: str, x2: str, y2: str) -> str:
     """The same distance in SQL text."""
     return (

@@ -141,8 +141,8 @@ def reservoir_sample(items: DataFrame, params: FrequencyParams, textbook: bool =
     m = params.m
     pos = F.col("pos")
     t = pos + 1 if textbook else pos
-    u1 = uniform(pos, TAG_RESERVOIR_ACCEPT, params.seed)
-    u2 = uniform(pos, TAG_RESERVOIR_SLOT, params.seed)
+    u1 = uniform("pos", TAG_RESERVOIR_ACCEPT, params.seed)
+    u2 = uniform("pos", TAG_RESERVOIR_SLOT, params.seed)
     accepted = prefix(items, params).filter((pos < F.lit(m)) | (u1 * t.cast("double") <= F.lit(float(m))))
     slotted = accepted.select(
         F.when(pos < F.lit(m), pos).otherwise(F.floor(u2 * F.lit(float(m)))).cast("bigint").alias("slot"),
@@ -172,7 +172,7 @@ def reservoir_frequent_items(items: DataFrame, params: FrequencyParams) -> DataF
 def sticky_counts(items: DataFrame, params: FrequencyParams) -> DataFrame:
     """``(item, n)``: the sticky-sampling hash table at the end of the stream prefix."""
     pos = F.col("pos")
-    accept = uniform(pos, TAG_STICKY_ACCEPT, params.seed) <= F.lit(params.sticky_p)
+    accept = uniform("pos", TAG_STICKY_ACCEPT, params.seed) <= F.lit(params.sticky_p)
     rows = prefix(items, params).select(
         "item", "pos", F.floor(pos / F.lit(STICKY_BLOCK)).cast("bigint").alias("b"), accept.alias("acc")
     )

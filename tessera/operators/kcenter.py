@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.geometry import distance
+from tessera.functions.geometry import distance, sql_distance, sql_float_literal
 from tessera.session import checkpoint_root
 
 FLOAT_MAX = float(np.finfo(np.float32).max)
@@ -201,17 +201,18 @@ def center_rows(centers: DataFrame) -> list[tuple[float, float]]:
     return [(r.x, r.y) for r in centers.select("x", "y").collect()]
 
 
-def nearest_center_expr(x: Column, y: Column, centers: list[tuple[float, float]]) -> Column:
-    """``least`` of the distances to K literal centers: one codegen'd expression per row."""
+def nearest_center_expr(x: str, y: str, centers: list[tuple[float, float]]) -> Column:
+    """``least`` of the distances to K literal centers: one codegen'd expression per row, built as
+    one SQL expression."""
     if not centers:
         return F.lit(None).cast("float")  # no points, no centers: no distance
-    terms = [distance(x, y, F.lit(cx).cast("float"), F.lit(cy).cast("float")) for cx, cy in centers]
-    return terms[0] if len(terms) == 1 else F.least(*terms)
+    terms = [sql_distance(x, y, sql_float_literal(cx), sql_float_literal(cy)) for cx, cy in centers]
+    return F.expr(terms[0] if len(terms) == 1 else f"least({', '.join(terms)})")
 
 
 def nearest_center_distance(points: DataFrame, centers: DataFrame) -> DataFrame:
     """``(id, d)``: distance of each point to its nearest center (map-only, no join)."""
-    return points.select("id", nearest_center_expr(F.col("x"), F.col("y"), center_rows(centers)).alias("d"))
+    return points.select("id", nearest_center_expr("x", "y", center_rows(centers)).alias("d"))
 
 
 def radius(points: DataFrame, centers: DataFrame) -> DataFrame:

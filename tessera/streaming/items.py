@@ -208,8 +208,8 @@ def reservoir(run: StreamRun, stream: DataFrame, params: FrequencyParams) -> Dat
     """``(slot, pos, item)``: the reservoir as a native streaming aggregation per slot."""
     m = params.m
     pos = F.col("pos")
-    u1 = uniform(pos, TAG_RESERVOIR_ACCEPT, params.seed)
-    u2 = uniform(pos, TAG_RESERVOIR_SLOT, params.seed)
+    u1 = uniform("pos", TAG_RESERVOIR_ACCEPT, params.seed)
+    u2 = uniform("pos", TAG_RESERVOIR_SLOT, params.seed)
     accepted = _prefix(stream, params).filter((pos < F.lit(m)) | (u1 * pos.cast("double") <= F.lit(float(m))))
     slots = (
         accepted.select(
@@ -250,7 +250,7 @@ def sticky(run: StreamRun, stream: DataFrame, params: FrequencyParams) -> DataFr
     The acceptance draw is computed in the JVM (a pure function of pos); the pandas function only
     applies the rule, so the result equals the batch form for any split into micro-batches.
     """
-    acc = uniform(F.col("pos"), TAG_STICKY_ACCEPT, params.seed) <= F.lit(params.sticky_p)
+    acc = uniform("pos", TAG_STICKY_ACCEPT, params.seed) <= F.lit(params.sticky_p)
     rows = _prefix(stream, params).select("item", "pos", acc.alias("acc"))
     counts = rows.groupBy("item").applyInPandasWithState(
         _sticky_update,
