@@ -150,11 +150,13 @@ class StreamRun:
 # ---- operators -------------------------------------------------------------------------------
 
 
-def _prefix(stream: DataFrame, params: FrequencyParams) -> DataFrame:
-    """The first n items; a stream without positions is taken whole."""
-    if "pos" not in stream.columns:
+def _prefix(stream: DataFrame, params: FrequencyParams | int | None) -> DataFrame:
+    """The first n items (n from the parameters, or given); a stream without positions, or no n,
+    is taken whole."""
+    n = params.n if isinstance(params, FrequencyParams) else params
+    if n is None or "pos" not in stream.columns:
         return stream
-    return stream.filter(F.col("pos") < F.lit(int(params.n)))
+    return stream.filter(F.col("pos") < F.lit(int(n)))
 
 
 BATCH_SCHEMA = T.StructType([T.StructField("n_rows", T.LongType())])
@@ -178,7 +180,7 @@ def batch_sizes(run: StreamRun, stream: DataFrame) -> DataFrame:
     return log.read().select("batch_id", "n_rows")
 
 
-def distinct_items(run: StreamRun, stream: DataFrame, params: FrequencyParams) -> DataFrame:
+def distinct_items(run: StreamRun, stream: DataFrame, params: FrequencyParams | int | None = None) -> DataFrame:
     """``(item)``: insert-if-absent state via streaming dedup; each item is written once."""
     log = BatchLog(run.spark, run.sink("distinct"), ITEM_SCHEMA)
     dedup = _prefix(stream, params).select("item").dropDuplicates(["item"])
@@ -186,7 +188,7 @@ def distinct_items(run: StreamRun, stream: DataFrame, params: FrequencyParams) -
     return log.read().select("item")
 
 
-def distinct_summary(run: StreamRun, stream: DataFrame, params: FrequencyParams) -> DataFrame:
+def distinct_summary(run: StreamRun, stream: DataFrame, params: FrequencyParams | int | None = None) -> DataFrame:
     """``(n_items, n_distinct, largest_item)``: stream length, distinct items, largest item (>= 0),
     read from the streamed histogram state."""
     return histogram(run, stream, params).agg(
@@ -196,7 +198,7 @@ def distinct_summary(run: StreamRun, stream: DataFrame, params: FrequencyParams)
     )
 
 
-def histogram(run: StreamRun, stream: DataFrame, params: FrequencyParams) -> DataFrame:
+def histogram(run: StreamRun, stream: DataFrame, params: FrequencyParams | int | None = None) -> DataFrame:
     """``(item, n)``: exact counts, a streaming aggregation in update mode."""
     log = BatchLog(run.spark, run.sink("histogram"), COUNT_SCHEMA)
     counts = _prefix(stream, params).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
