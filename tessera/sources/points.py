@@ -1,7 +1,9 @@
 """Point sources: text lines ``x,y`` and adapters from the driver tables.
 
 A point set is a DataFrame ``(id bigint, x float, y float)``, optionally with ``w bigint``, the
-multiplicity of the point (default 1). Non-finite coordinates are rejected on ingestion.
+multiplicity of the point (default 1). Rows are distinct points: a point repeated many times is one
+row with its multiplicity in ``w`` (``fold_duplicates`` does that with a partial aggregation, so a
+hot repeated point never lands whole in one task). Non-finite coordinates are rejected on ingestion.
 """
 
 from __future__ import annotations
@@ -77,3 +79,11 @@ def points_from_lineitem(lineitem: DataFrame) -> DataFrame:
     )
     folded = pts.groupBy("x", "y").agg(F.count(F.lit(1)).alias("w"))
     return _reject_non_finite(folded.select(F.xxhash64("x", "y").alias("id"), "x", "y", "w"))
+
+
+def fold_duplicates(points: DataFrame) -> DataFrame:
+    """One row per distinct (x, y): ``w`` sums the multiplicities, ``id`` is the smallest id."""
+    w = F.col("w").cast("bigint") if "w" in points.columns else F.lit(1).cast("bigint")
+    return points.groupBy("x", "y").agg(F.min("id").alias("id"), F.sum(w).cast("bigint").alias("w")).select(
+        "id", "x", "y", "w"
+    )

@@ -113,3 +113,14 @@ def test_ring_join_plan_broadcasts_cell_tables(spark):
     plan = O.exact_outlier_count(pts, 0.05, 5)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("BroadcastExchange") >= 2  # probe cells and needed ring cells
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_fold_duplicates_gives_multiplicities(spark):
+    from tessera.sources.points import fold_duplicates
+
+    raw = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 0.0), (3, 0.0, 0.0), (4, 0.5, 0.0), (5, 9.0, 9.0)],
+                                "id bigint, x float, y float")
+    folded = fold_duplicates(raw)
+    assert sorted((r.id, r.w) for r in folded.collect()) == [(1, 3), (4, 1), (5, 1)]
+    balls = {r.id: r.ball for r in O.ball_counts(folded, 1.0).collect()}
+    assert balls == {1: 4, 4: 4, 5: 1}
