@@ -202,6 +202,7 @@ class _RingJoin:
             "ring-join",
         )
         self.regions = cell_regions(self.cells.select("ci", "cj", "n"), "ci", "cj", "n", reach=1)
+        self.plan = ""  # which plan ``counts`` chose, for inspection
 
     @staticmethod
     def _buckets(rows_per_key: int) -> str:
@@ -211,15 +212,22 @@ class _RingJoin:
         """``(id, x, y, w, n3, ring)`` for every point of ``probe_cells (ci, cj, n3)``; ring is the
         weight of the points of the 40 ring cells within distance D.
 
-        Probe cells and needed ring cells are subsets of the occupied cells, so when the occupied
-        cells are within ``BROADCAST_CELLS`` both broadcasts are bounded without counting them;
-        otherwise they are counted (small jobs on persisted cell tables) before broadcasting.
+        Probe cells are a subset of the occupied cells, so when the occupied cells are within
+        ``BROADCAST_CELLS`` the probe cells and the occupied cells are broadcast without further
+        counting. Otherwise the probes' ring cells are computed and both tables are counted (small
+        jobs on persisted cell tables) before broadcasting; beyond the bound the joins shuffle.
         """
         stats = self.cells.agg(F.expr("count(1) AS n"), F.expr("max(rows) AS top")).first()
         n_cells, top_rows = int(stats.n), int(stats.top or 0)
         rows_per_key = HOT_CELL_ROWS
         salted = top_rows > rows_per_key
         probe_cells = persist_in_scope(probe_cells, "ring-join")
+        if n_cells <= BROADCAST_CELLS:
+            # few occupied cells: they are the lookup of ring targets and the build filter, no
+            # separate pass over the probes' ring cells
+            self.plan = "broadcast-cells"
+            needed = self.cells.selectExpr("ci", "cj", self._buckets(rows_per_key))
+            return self._broadcast_plan(F.broadcast(probe_cells), F.broadcast(needed), salted)
         needed = persist_in_scope(
             probe_cells.selectExpr(f"inline({RING})", "ci", "cj")
             .selectExpr("ci + di AS ci", "cj + dj AS cj")
@@ -228,10 +236,11 @@ class _RingJoin:
             .selectExpr("ci", "cj", self._buckets(rows_per_key)),
             "ring-join",
         )
-        if n_cells <= BROADCAST_CELLS or (
-            probe_cells.count() <= BROADCAST_CELLS and needed.count() <= BROADCAST_CELLS
-        ):
+        if probe_cells.count() <= BROADCAST_CELLS and needed.count() <= BROADCAST_CELLS:
+            # many cells but few candidates: the build side is filtered map-side to their rings
+            self.plan = "broadcast-rings"
             return self._broadcast_plan(F.broadcast(probe_cells), F.broadcast(needed), salted)
+        self.plan = "shuffle"
         return self._shuffle_plan(probe_cells, rows_per_key)
 
     def _pairs(

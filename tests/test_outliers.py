@@ -68,18 +68,37 @@ def test_weighted_points_count_multiplicity(spark):
 
 
 @pytest.mark.parametrize(
-    "rows_per_key,hot_limit,broadcast_cells",
-    [(4, 1 << 20, 1 << 20), (1 << 17, 1 << 20, 0), (4, 1 << 20, 0), (4, 2, 0)],
-    ids=["broadcast-salted", "shuffle", "shuffle-salted", "shuffle-salted-regrown"],
+    "rows_per_key,hot_limit,limit,plan",
+    [
+        (1 << 17, 1 << 20, "big", "broadcast-cells"),
+        (4, 1 << 20, "big", "broadcast-cells"),
+        (1 << 17, 1 << 20, "between", "broadcast-rings"),
+        (4, 1 << 20, "between", "broadcast-rings"),
+        (1 << 17, 1 << 20, 0, "shuffle"),
+        (4, 1 << 20, 0, "shuffle"),
+        (4, 2, 0, "shuffle"),
+    ],
+    ids=["cells", "cells-salted", "rings", "rings-salted", "shuffle", "shuffle-salted", "shuffle-salted-regrown"],
 )
-def test_every_ring_join_plan_agrees(spark, monkeypatch, rows_per_key, hot_limit, broadcast_cells):
+def test_every_ring_join_plan_agrees(spark, monkeypatch, rows_per_key, hot_limit, limit, plan):
     pts = points_from_embeddings(spark.read.parquet(f"{SF001}/embeddings.parquet"))
-    want = {r.id: r.ball for r in O.ball_counts(pts, 0.05).collect()}
+    want_balls = {r.id: r.ball for r in O.ball_counts(pts, 0.05).collect()}
+    want_out = {i for i, b in want_balls.items() if b <= 5}
+    rj = O._RingJoin(pts, 0.05)
+    n_cells = rj.cells.count()
+    probe_cells = rj.regions.filter("n3 <= 5").select("ci", "cj", "n3")
+    if limit == "big":
+        limit = 1 << 20
+    elif limit == "between":  # more cells than the bound, but few enough probe and ring cells
+        limit = n_cells - 1
     monkeypatch.setattr(O, "HOT_CELL_ROWS", rows_per_key)
     monkeypatch.setattr(O, "HOT_CELL_LIMIT", hot_limit)
-    monkeypatch.setattr(O, "BROADCAST_CELLS", broadcast_cells)
-    assert O.exact_outlier_count(pts, 0.05, 5).first().n_outliers == 64
-    assert {r.id: r.ball for r in O.ball_counts(pts, 0.05).collect()} == want
+    monkeypatch.setattr(O, "BROADCAST_CELLS", limit)
+    got = {r.id for r in rj.counts(probe_cells).filter("n3 + ring <= 5").collect()}
+    assert rj.plan == plan
+    assert got == want_out and len(got) == 64
+    if plan != "broadcast-rings":  # ball counts probe every cell: no "few candidates" case
+        assert {r.id: r.ball for r in O.ball_counts(pts, 0.05).collect()} == want_balls
 
 
 @pytest.mark.parametrize("d", [0.0, -1.0, float("nan"), float("inf")])
