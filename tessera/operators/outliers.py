@@ -32,7 +32,7 @@ from tessera.session import persist_in_scope, release_scope
 EXACT_GRID_SLACK = 0.97  # private grid: 3x3 block diameter is 0.97*D, 7x7 reach is 1.029*D
 HOT_CELL_ROWS = 1 << 17  # build rows per join key before a cell is split into salt buckets
 HOT_CELL_LIMIT = 1 << 20  # most hot cells broadcast; R grows until the hot list is within it
-BROADCAST_CELLS = 1 << 20  # most probe / needed cells broadcast (about 24 bytes each)
+BROADCAST_CELLS = 1 << 14  # most cells broadcast as a lookup (about 24 bytes each); beyond, shuffle
 
 
 def _double(v: float) -> str:
