@@ -241,7 +241,7 @@ class _RingJoin:
             self.plan = "broadcast-rings"
             return self._broadcast_plan(F.broadcast(probe_cells), F.broadcast(needed), salted)
         self.plan = "shuffle"
-        return self._shuffle_plan(probe_cells, rows_per_key)
+        return self._shuffle_plan(probe_cells, rows_per_key, salted)
 
     def _pairs(
         self, probes: DataFrame, build: DataFrame, lookup: DataFrame | None, how: str, salted: bool
@@ -274,9 +274,10 @@ class _RingJoin:
         )
         return self._pairs(probes, build, needed, "inner", salted)
 
-    def _shuffle_plan(self, probe_cells: DataFrame, rows_per_key: int) -> DataFrame:
+    def _shuffle_plan(self, probe_cells: DataFrame, rows_per_key: int, any_hot: bool = True) -> DataFrame:
         # hot cells: at most (rows / rows_per_key) of them; grow the bucket size until they fit
-        while True:
+        n_hot = 0
+        while any_hot:
             hot = self.cells.filter(f"rows > {rows_per_key}").selectExpr("ci", "cj", self._buckets(rows_per_key))
             n_hot = hot.count()
             if n_hot <= HOT_CELL_LIMIT:
