@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -29,23 +28,19 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "tesse
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``.
+    """The shared folder for checkpoints and written intermediate tables.
 
-    On a cluster that folder must be set by the deployment (a shared file system); only a local
-    master without one gets a private temporary folder, as in tests.
+    ``spark.checkpoint.dir`` of the session names it; else the folder set on the context, if any.
+    Only a local master may have neither, as in tests: there, and only there, driver and executors
+    are one process, and a folder beside the warehouse is set on the context.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        sc = spark.sparkContext
-        current = sc.getCheckpointDir()
-        if current:
-            return current.rstrip("/")
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}-checkpoints"
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
