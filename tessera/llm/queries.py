@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, kd_shards, mixing, radix_dedup
+from tessera.llm import bpe, kd_shards, mixing, radix_dedup, toxicity
 from tessera.sources.tables import table
 
 SHARDS = 16
@@ -38,9 +38,14 @@ def op5_mixing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    return toxicity.score_documents(spark, table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 QUERIES = {
     "op2_kd_shards": op2_kd_shards,
     "op3_radix_dedup": op3_radix_dedup,
     "op4_bpe": op4_bpe,
     "op5_mixing": op5_mixing,
+    "op10_toxicity": op10_toxicity,
 }
