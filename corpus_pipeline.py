@@ -14,17 +14,27 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 
-from tessera.llm import bpe, mixing, radix_dedup  # noqa: E402
+from tessera.llm import bag_minhash, bpe, mixing, radix_dedup, toxicity  # noqa: E402
 from tessera.llm.queries import vocabulary_path  # noqa: E402
 from tessera.llm.scratch import Scratch  # noqa: E402
 from tessera.sources.tables import table  # noqa: E402
 
 
+def clean_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model doesn't reject stay; its labels are those of ``sf_dir``."""
+    return toxicity.clean_rows(spark, docs, table(spark, sf_dir, "labels"))
+
+
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each normalised text stays, that of the smallest doc_id."""
     return radix_dedup.distinct_rows(spark, docs)
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, that of the smallest doc_id."""
+    return bag_minhash.distinct_rows(spark, docs)
+
+
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sources in the proportion of their weights; a document taken twice is two rows."""
     return mixing.mixed_rows(spark, docs)
@@ -36,7 +46,9 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", clean_texts),
     ("exact_dedup", distinct_texts),
+    ("minhash_near_dedup", without_near_copies),
     ("mixing", mixed_sources),
     ("bpe", encoded),
 ]
