@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bag_minhash, bpe, kd_shards, mixing, radix_dedup, toxicity
+from tessera.llm import bag_minhash, bpe, kd_shards, mixing, multi_index, radix_dedup, toxicity
 from tessera.sources.tables import table
 
 SHARDS = 16
@@ -38,6 +38,10 @@ def op5_mixing(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def op6_multi_index(spark: SparkSession, d: str) -> DataFrame:
+    return multi_index.search(spark, table(spark, d, "embeddings"), lambda i: i % 20 == 0, k=20)
+
+
 def op8_bag_minhash(spark: SparkSession, d: str) -> DataFrame:
     return bag_minhash.near_groups(spark, table(spark, d, "documents")).drop("key")
 
@@ -51,6 +55,7 @@ QUERIES = {
     "op3_radix_dedup": op3_radix_dedup,
     "op4_bpe": op4_bpe,
     "op5_mixing": op5_mixing,
+    "op6_multi_index": op6_multi_index,
     "op8_bag_minhash": op8_bag_minhash,
     "op10_toxicity": op10_toxicity,
 }
