@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bag_minhash, bpe, kd_shards, mixing, multi_index, radix_dedup, toxicity
+from tessera.llm import bag_minhash, bpe, kd_shards, mixing, multi_index, radix_dedup, toxicity, url_filter
 from tessera.sources.tables import table
 
 SHARDS = 16
@@ -17,6 +17,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "pages").select("page_id", "url")
+    out = url_filter.judge(spark, url_filter.fetched_pages(pages), url_filter.dated_list(pages))
+    # -1: no entry, or one that still holds
+    return out.withColumns({c: F.coalesce(c, F.lit(-1).cast("bigint")) for c in ("valid_from", "valid_to")})
+
+
 def op2_kd_shards(spark: SparkSession, d: str) -> DataFrame:
     out = kd_shards.shard_documents(spark, table(spark, d, "documents"), leaves=SHARDS)
     return out.select(
@@ -51,6 +58,7 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_kd_shards": op2_kd_shards,
     "op3_radix_dedup": op3_radix_dedup,
     "op4_bpe": op4_bpe,

@@ -54,4 +54,50 @@ SELECT doc_id, size, source_size, target, source,
 FROM c
 """
 
-ORACLE_SQL = {"op3_radix_dedup": OP3, "op5_mixing": OP5}
+HASH = "('0x' || substr(md5({}), 1, 8))::BIGINT"
+AT_HASH = HASH.format("'at:' || k || ':' || pattern")
+
+# a list derived from the pages: see url_filter.dated_list
+OP1 = rf"""
+WITH p AS (
+    SELECT page_id, url, 1704067200 + {HASH.format("'fetch:' || coalesce(page_id::VARCHAR, '')")} % 63072000 AS fetched_at,
+           regexp_replace(regexp_extract(lower(coalesce(url, '')), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '\\.$', '') AS host,
+           list_filter(string_split(regexp_extract(coalesce(url, ''), '^[^/?#]*://[^/?#]*(/[^?#]*)', 1), '/'), lambda x: x <> '') AS seg
+    FROM pages
+), hosts AS (
+    SELECT DISTINCT host AS pattern FROM p WHERE host <> ''
+), domains AS (
+    SELECT DISTINCT array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS pattern FROM p WHERE len(string_split(host, '.')) > 2
+), paths AS (
+    SELECT DISTINCT host || '/' || array_to_string(seg, '/') AS pattern FROM p
+    WHERE host <> '' AND len(seg) > 0 AND {HASH.format("'path:' || coalesce(url, '')")} % 8 = 0
+), picked AS (
+    SELECT pattern, 5 AS n FROM hosts WHERE {HASH.format("'host:' || pattern")} % 3 = 0
+    UNION ALL SELECT pattern, 3 FROM domains WHERE {HASH.format("'domain:' || pattern")} % 2 = 0
+    UNION ALL SELECT pattern, 2 FROM paths
+), entries AS (
+    SELECT pattern, 1704067200 + {AT_HASH} % 63072000 AS since, k::VARCHAR AS entry_id, ['block', 'lift', 'allow', 'block', 'lift'][k + 1] AS action
+    FROM picked, range(5) r(k) WHERE k < n
+    UNION ALL SELECT pattern, 1704067200, 'bad', 'block' FROM hosts WHERE regexp_matches(pattern, 'casino|pills|bets')
+), once AS (
+    SELECT pattern, since, action FROM entries QUALIFY row_number() OVER (PARTITION BY pattern, since ORDER BY entry_id DESC, action DESC) = 1
+), spans AS (
+    SELECT pattern, action, since AS valid_from, lead(since) OVER (PARTITION BY pattern ORDER BY since) AS valid_to FROM once
+), caps AS (
+    SELECT *, row_number() OVER () AS cap FROM p
+), keys AS (
+    SELECT cap, fetched_at, unnest(list_distinct(list_concat(
+        list_transform(range(1, len(string_split(host, '.')) + 1), lambda i: array_to_string(list_slice(string_split(host, '.'), -i, -1), '.')),
+        list_transform(range(1, len(seg) + 1), lambda i: host || '/' || array_to_string(list_slice(seg, 1, i), '/'))))) AS pattern
+    FROM caps WHERE host <> ''
+), best AS (
+    SELECT cap, pattern, action, valid_from, valid_to FROM keys JOIN spans USING (pattern)
+    WHERE action <> 'lift' AND fetched_at >= valid_from AND (valid_to IS NULL OR fetched_at < valid_to)
+    QUALIFY row_number() OVER (PARTITION BY cap ORDER BY length(pattern) DESC) = 1
+)
+SELECT page_id, host, fetched_at, coalesce(action = 'block', false) AS blocked, pattern, action,
+       coalesce(valid_from, -1) AS valid_from, coalesce(valid_to, -1) AS valid_to
+FROM caps LEFT JOIN best USING (cap)
+"""
+
+ORACLE_SQL = {"op1_url_filter": OP1, "op3_radix_dedup": OP3, "op5_mixing": OP5}
