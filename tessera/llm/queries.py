@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bag_minhash, bpe, kd_shards, mixing, multi_index, radix_dedup, toxicity, url_filter
+from tessera.llm import bag_minhash, bpe, kd_shards, line_dedup, mixing, multi_index, radix_dedup, toxicity, url_filter
 from tessera.sources.tables import table
 
 SHARDS = 16
@@ -49,6 +49,11 @@ def op6_multi_index(spark: SparkSession, d: str) -> DataFrame:
     return multi_index.search(spark, table(spark, d, "embeddings"), lambda i: i % 20 == 0, k=20)
 
 
+def op7_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    out = line_dedup.dedup_lines(spark, table(spark, d, "documents"))
+    return out.withColumn("kept_sha256", F.sha2(F.col("kept_text").cast("binary"), 256)).drop("kept_text")
+
+
 def op8_bag_minhash(spark: SparkSession, d: str) -> DataFrame:
     return bag_minhash.near_groups(spark, table(spark, d, "documents")).drop("key")
 
@@ -64,6 +69,7 @@ QUERIES = {
     "op4_bpe": op4_bpe,
     "op5_mixing": op5_mixing,
     "op6_multi_index": op6_multi_index,
+    "op7_line_dedup": op7_line_dedup,
     "op8_bag_minhash": op8_bag_minhash,
     "op10_toxicity": op10_toxicity,
 }
