@@ -14,9 +14,9 @@ together in numpy.
 
 Search. Texts of equal words are one class, and only classes go on. Signatures are cut into bands;
 classes that agree in a band share a bucket. Buckets of up to ``PAIR_BUCKET`` classes give all their
-pairs. Larger ones are first probed in rounds, each from one member: what verifies joins that
-member's component, so a group of thousands of near copies collapses after a few probes of linear
-size. Then each member outside its bucket's largest component is compared with all members of other
+pairs. Larger ones are first probed in rounds, each from one of the members that no probe has reached
+yet: what verifies is linked, so a group of thousands of near copies collapses after a few probes of
+linear size. Then each member outside its bucket's largest component is compared with all members of other
 components, so that no link between components is missed. Pairs are verified on the whole texts.
 """
 
@@ -190,12 +190,13 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     sizes = s.keep(in_bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("pivot")).filter("size > 1"))
     shared = s.keep(in_bucket.join(sizes, "bucket"))
     s.drop(in_bucket, sizes)
-    # whole texts of the classes that share a bucket, one row each
+    # whole texts of the classes that share a bucket, one row each; a merge join at every size, as what
+    # is wanted grows with the documents
     wanted = shared.select("c").distinct().join(classes.select("c", "key", "text_id"), "c")
     holders = s.keep(wanted)
     docs = documents.select(F.col("doc_id"), text_column(documents).alias("text"))
     texts = s.keep(
-        docs.join(holders, F.col("doc_id").eqNullSafe(F.col("text_id"))).select("c", "key", "text")
+        docs.join(holders.hint("merge"), F.col("doc_id").eqNullSafe(F.col("text_id"))).select("c", "key", "text")
     )
     # an id may belong to several texts: only the one with the class's words stands for it
     repeated = texts.groupBy("c").count().filter("count > 1").limit(1).count() > 0
@@ -208,21 +209,21 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     pairs = one.join(two, "bucket").filter("a < b").select("a", "b").distinct()
     links = s.keep(verified(pairs, texts))
     if not big.isEmpty():
-        tried = None
+        left, tried = big, None
         for probe in range(PROBES):
-            if probe:
-                big, found = _repivot(s, big, links, probe)
-                if not found:
-                    break
-            asked = big.filter("c <> pivot").select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
-            if tried is not None:
-                asked = asked.join(tried, ["a", "b"], "left_anti")
-            asked = s.keep(asked)
+            asked = left.filter("c <> pivot").select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
+            asked = s.keep(asked if tried is None else asked.join(tried, ["a", "b"], "left_anti"))
             tried = asked if tried is None else s.keep(tried.unionByName(asked))
-            links = s.keep(links.unionByName(verified(asked, texts)))
-        members, _ = _labelled(s, big, links)
-        rest = _across(members).join(tried, ["a", "b"], "left_anti")
-        links = s.keep(links.unionByName(verified(s.keep(rest), texts)))
+            new = s.keep(verified(asked, texts))
+            links = s.keep(links.unionByName(new))
+            if probe + 1 < PROBES:
+                left = s.keep(_unreached(left, new, probe + 1))
+                if left.isEmpty():
+                    break
+        rest = _across(_labelled(s, big, links)).join(tried, ["a", "b"], "left_anti")
+        rest = s.keep(rest)
+        if not rest.isEmpty():
+            links = s.keep(links.unionByName(verified(rest, texts)))
     group = components(s, links, "a", "b")
     per_class = classes.select("key", "c", "text_id", "n").join(group.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "component", F.coalesce("component", "c")
@@ -246,7 +247,16 @@ def _of_key(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, texts.schema)
 
 
-def _labelled(s: Scratch, big: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _unreached(left: DataFrame, new: DataFrame, probe: int) -> DataFrame:
+    """Members that their bucket's pivot isn't linked to, with a new pivot among them."""
+    ends = new.unionByName(new.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(
+        F.col("a").alias("pivot"), F.col("b").alias("c"), F.lit(True).alias("linked"))
+    rest = left.filter("c <> pivot").join(ends, ["pivot", "c"], "left").filter("linked is null").select("bucket", "c")
+    pivots = rest.groupBy("bucket").agg(F.min_by("c", F.xxhash64("c", F.lit(probe))).alias("pivot"))
+    return rest.join(pivots, "bucket")
+
+
+def _labelled(s: Scratch, big: DataFrame, links: DataFrame) -> DataFrame:
     """Members of large buckets with their component, and with ``main``, the component that most
     members of the bucket are in; only buckets of several components."""
     group = s.keep(components(s, links, "a", "b"))
@@ -256,17 +266,7 @@ def _labelled(s: Scratch, big: DataFrame, links: DataFrame) -> tuple[DataFrame,
     mains = s.keep(
         count.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
     )
-    return s.keep(rows.join(mains, "bucket")), mains
-
-
-def _repivot(s: Scratch, big: DataFrame, links: DataFrame, probe: int) -> tuple[DataFrame, bool]:
-    """The large buckets that still have several components, probed next from some member outside
-    the largest one."""
-    members, _ = _labelled(s, big, links)
-    out = members.filter("component <> main")
-    pivots = s.keep(out.groupBy("bucket").agg(F.min_by("c", F.xxhash64("c", F.lit(probe))).alias("pivot")))
-    new = s.keep(members.select("bucket", "c").join(pivots, "bucket"))
-    return new, not new.isEmpty()
+    return rows.join(mains, "bucket")
 
 
 def _across(members: DataFrame) -> DataFrame:

@@ -17,11 +17,13 @@ def _minima(s: Scratch, both: DataFrame) -> DataFrame:
     return s.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    r = edges.agg(
-        F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-    ).first()
-    return tuple(r)
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node has one parent at most and no parent has a parent."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    per_node = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per_node.filter("down > 1 or (down = 1 and up = 1)").isEmpty()
 
 
 def components(s: Scratch, edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -31,9 +33,7 @@ def components(s: Scratch, edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     u, v = F.greatest(a, b).cast("bigint"), F.least(a, b).cast("bigint")
     e = s.keep(edges.select(u.alias("u"), v.alias("v")).filter("u <> v").distinct())
-    seen = None
-    while (now := _fingerprint(e)) != seen:
-        seen = now
+    while not _is_forest_of_stars(e):
         # large star: each larger neighbour of u is linked to the least of u's neighbourhood
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         mins = _minima(s, both)
