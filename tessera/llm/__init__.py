@@ -5,7 +5,6 @@ workers don't have this package installed runs them all the same.
 """
 
 import importlib
-import importlib.util
 
 from pyspark import cloudpickle
 
@@ -15,5 +14,4 @@ MODULES = (
 )
 
 for _name in MODULES:
-    if importlib.util.find_spec(f"{__name__}.{_name}") is None: continue  # TEMP
     cloudpickle.register_pickle_by_value(importlib.import_module(f"{__name__}.{_name}"))

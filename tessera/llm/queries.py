@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bag_minhash, bpe, kd_shards, line_dedup, mixing, multi_index, radix_dedup, toxicity, url_filter
+from tessera.llm import bag_minhash, bpe, kd_shards, line_dedup, mixing, multi_index, radix_dedup, suffix_dedup, toxicity, url_filter
 from tessera.sources.tables import table
 
 SHARDS = 16
@@ -58,6 +58,10 @@ def op8_bag_minhash(spark: SparkSession, d: str) -> DataFrame:
     return bag_minhash.near_groups(spark, table(spark, d, "documents")).drop("key")
 
 
+def op9_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.dedup_passages(spark, table(spark, d, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score_documents(spark, table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -71,5 +75,6 @@ QUERIES = {
     "op6_multi_index": op6_multi_index,
     "op7_line_dedup": op7_line_dedup,
     "op8_bag_minhash": op8_bag_minhash,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
 }
