@@ -70,8 +70,8 @@ def assign(s: Scratch, points: DataFrame, dims: list[str], size: str, leaves: in
             n.span = (r[f"lo_{n.dim}"], r[f"hi_{n.dim}"])
             n.left = n.size * (n.leaves // 2) / n.leaves
         for n in nodes.values():
-            if not n.size:
-                n.cut = ()
+            if not n.size:  # no rows: nothing to cut
+                n.dim, n.cut = dims[0], ()
         target = whole / leaves
         while open_ := [n for n in nodes.values() if n.cut is None]:
             _refine(rows, open_, size, target)
