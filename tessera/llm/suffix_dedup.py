@@ -39,8 +39,8 @@ LENGTH = 50  # bytes of a repeated string
 GRAM = 16  # bytes of an anchor
 SPAN = LENGTH - GRAM + 1  # anchors' places in a window
 GROUP_BYTES = 1 << 20  # bytes of texts worked on together
-PART_BYTES = 4 << 20  # packed anchors, and segments, dealt to one group
-SHARD_BYTES = 4 << 20
+PART_BYTES = 4 << 20  # packed anchors dealt to one group
+SHARD_BYTES = 2 << 20  # segments dealt to one group, and in one suffix array
 HOT, MAX_HOT = 1 << 14, 1 << 22
 LAST = (1 << 63) - 1  # the order of a null id
 
@@ -360,7 +360,9 @@ def covered(segments: list[bytes], orders: np.ndarray, shard_bytes: int = SHARD_
 
 def _spans(s: Scratch, docs: DataFrame, reps: DataFrame, shared: DataFrame, parts: int, groups: int, hot_keys: np.ndarray) -> DataFrame:
     """``(th, spans)``: covered ranges of the texts, as start * 128 + length."""
-    texts = docs.join(reps.join(shared.filter("th is not null"), "th"), ["th", "doc_id"]).select("th", "ord", "text", "keys")
+    # what is known of the texts grows with them: a merge join at every size
+    lists = reps.join(shared.filter("th is not null"), "th").hint("merge")
+    texts = docs.join(lists, ["th", "doc_id"]).select("th", "ord", "text", "keys")
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -407,7 +409,8 @@ def _spans(s: Scratch, docs: DataFrame, reps: DataFrame, shared: DataFrame, part
                         "ord": order[doc], "th": th[doc], "at": at - t.starts[doc],
                     })
 
-        found = s.keep(docs.join(reps, ["th", "doc_id"]).select("th", "ord", "text").mapInPandas(windows, "digest binary, ord bigint, th bigint, at bigint"))
+        every = docs.select("th", "ord", "text").mapInPandas(windows, "digest binary, ord bigint, th bigint, at bigint")
+        found = s.keep(every.join(reps.select("th", F.col("doc_id").cast("bigint").alias("ord")), ["th", "ord"]))
         least = s.keep(found.groupBy("digest").agg(F.min("ord").alias("least")))
         more = found.join(least, "digest").filter("ord > least").select("th", (F.col("at") * 128 + LENGTH).alias("span"))
         spans = spans.unionByName(more)
@@ -452,7 +455,7 @@ def dedup_passages(spark, documents: DataFrame, hot: int | None = None) -> DataF
     shared = shared_anchors(s, docs, parts, most)
     top = shared.filter("th is null").first()
     n = shared.filter("th is not null").agg(F.sum(F.size("keys"))).first()[0] or 0
-    groups = max(4, -(-n * (LENGTH + SPAN) // PART_BYTES))
+    groups = max(4, -(-n * (LENGTH + SPAN) // SHARD_BYTES))
     known = reps.filter("doc_id is not null").select("th", "doc_id")  # all-null classes can't cover or be told apart
     spans = _spans(s, docs, known, shared, parts, groups, np.array(top["keys"] if top else [], np.int64))
     s.drop(shared)
@@ -465,7 +468,7 @@ def dedup_passages(spark, documents: DataFrame, hot: int | None = None) -> DataF
             })
 
     lost = s.keep(
-        docs.select("th", "doc_id", "text").join(spans.join(known, "th"), ["th", "doc_id"]).select("th", "text", "spans")
+        docs.select("th", "doc_id", "text").join(spans.join(known, "th").hint("merge"), ["th", "doc_id"]).select("th", "text", "spans")
         .mapInPandas(rebuild, "th bigint, gone bigint, runs bigint, kept string").dropDuplicates(["th"])
     )
     out = rows.join(reps.select("th", "o"), "th", "left").join(lost, "th", "left")
