@@ -1,7 +1,8 @@
-"""Command-line front end: the five jobs of the reference as ``python -m tessera <job> ...``.
+"""Command-line front end: five jobs as ``python -m tessera <job> ... [--out FOLDER]``.
 
-Each job reads its input with Spark, runs the library's operators and shows the report
-DataFrames; nothing is collected beyond the shown rows.
+Each job reads its input with Spark and runs the library's operators. Every report is printed whole,
+row by row, or written as ``FOLDER/<report>`` (CSV with a header) when ``--out`` is given, which is
+the way for reports that grow with the input.
 
     python -m tessera outliers  POINTS D M K L     exact (D, M) outliers, top K, and grid totals
     python -m tessera kcenter   POINTS M K L       MapReduce k-center radius, then grid totals
@@ -10,14 +11,15 @@ DataFrames; nothing is collected beyond the shown rows.
     python -m tessera distinct  n FOLDER           distinct items of a stream
 
 POINTS is a text file of ``x,y`` lines, DOCS a text file with one document per line, FOLDER a
-folder of event parquet files (``event_id``, ``user_id``) read as a stream.
+folder read as a stream: event parquet files (``event_id``, ``user_id``), or with ``--lines`` text
+files of one integer per line.
 """
 
 from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tessera.operators import frequency, kcenter, outliers, words
 from tessera.session import checkpoint_root
@@ -32,52 +34,67 @@ def _session() -> SparkSession:
     return spark
 
 
+def report(a: argparse.Namespace, name: str, df: DataFrame) -> None:
+    """All rows of a report: into the output folder, or printed."""
+    if a.out:
+        df.write.mode("overwrite").option("header", True).csv(f"{a.out.rstrip('/')}/{name}")
+        return
+    print(f"{name}: {', '.join(df.columns)}")
+    for row in df.toLocalIterator():
+        print(*row, sep=", ")
+
+
 def run_outliers(spark: SparkSession, a: argparse.Namespace) -> None:
     pts = read_points(spark, a.points).repartition(a.L)
-    pts.groupBy().count().withColumnRenamed("count", "n_points").show()
-    outliers.exact_outlier_count(pts, a.D, a.M).show()
-    outliers.exact_outliers_topk(pts, a.D, a.M, a.K).show(a.K, truncate=False)
-    outliers.approx_outlier_counts(pts, a.D, a.M).show()
-    outliers.smallest_cells(pts, a.D, a.K).show(a.K)
+    report(a, "points", pts.groupBy().count().withColumnRenamed("count", "n_points"))
+    report(a, "exact_outliers", outliers.exact_outlier_count(pts, a.D, a.M))
+    report(a, "top_outliers", outliers.exact_outliers_topk(pts, a.D, a.M, a.K))
+    report(a, "grid_outliers", outliers.approx_outlier_counts(pts, a.D, a.M))
+    report(a, "smallest_cells", outliers.smallest_cells(pts, a.D, a.K))
 
 
 def run_kcenter(spark: SparkSession, a: argparse.Namespace) -> None:
     pts = read_points(spark, a.points)
-    pts.groupBy().count().withColumnRenamed("count", "n_points").show()
+    report(a, "points", pts.groupBy().count().withColumnRenamed("count", "n_points"))
     r = kcenter.radius(pts, kcenter.mr_centers(pts, a.K, a.L)).select("radius").scalar()
-    outliers.approx_outlier_counts(pts, r, a.M).select(r.alias("radius"), "*").show()
+    report(a, "radius_then_outliers", outliers.approx_outlier_counts(pts, r, a.M).select(r.alias("radius"), "*"))
 
 
 def run_wordcount(spark: SparkSession, a: argparse.Namespace) -> None:
     lines = read_lines(spark, a.docs).repartition(a.K)
-    words.doc_count(lines).show()
+    report(a, "documents", words.doc_count(lines))
     for name, wc in (
-        ("one round", words.word_counts(lines)),
+        ("one_round", words.word_counts(lines)),
         ("salted", words.word_counts_salted(lines, a.K)),
-        ("salted pairs", words.word_counts_salted_pairs(lines, a.K)),
-        ("per partition", words.word_counts_partitioned(lines)),
+        ("salted_pairs", words.word_counts_salted_pairs(lines, a.K)),
+        ("per_partition", words.word_counts_partitioned(lines)),
     ):
-        print(name)
-        wc.groupBy().count().withColumnRenamed("count", "n_words").show()
-    words.avg_distinct_word_length(lines).show()
+        report(a, name, wc.groupBy().count().withColumnRenamed("count", "n_words"))
+    report(a, "distinct_words", words.avg_distinct_word_length(lines))
+
+
+def _item_stream(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """The folder as a stream with positions; lines are numbered as they arrive."""
+    if not a.lines:
+        return streams.item_stream(spark, a.folder)
+    run = streams.StreamRun(spark, "cli-positions")
+    return streams.numbered_stream(spark, streams.positioned(run, streams.line_stream(spark, a.folder)))
 
 
 def run_frequent(spark: SparkSession, a: argparse.Namespace) -> None:
     p = frequency.FrequencyParams(n=a.n, phi=a.phi, epsilon=a.eps, delta=a.delta)
-    stream = streams.item_stream(spark, a.folder)
-    hist = streams.histogram(streams.StreamRun(spark, "cli-histogram"), stream, p)
-    res = streams.reservoir(streams.StreamRun(spark, "cli-reservoir"), stream, p)
-    sticky = streams.sticky(streams.StreamRun(spark, "cli-sticky"), stream, p)
-    true_set = hist.filter(hist["n"].cast("float") >= p.true_threshold)
-    true_set.orderBy("item").show(truncate=False)
-    for est in (res.select("item").distinct(), sticky.filter(sticky["n"] >= p.sticky_threshold).select("item")):
-        est.join(true_set.selectExpr("item", "'+' AS flag"), "item", "left").fillna("-", ["flag"]).orderBy("item").show()
+    stream = _item_stream(spark, a)
+    run = lambda name: streams.StreamRun(spark, f"cli-{name}")
+    report(a, "methods", streams.frequent_items_summary(run("methods"), stream, p))
+    report(a, "frequent_items", streams.frequent_items(run("frequent"), stream, p))
+    report(a, "reservoir_frequent_items", streams.reservoir_frequent_items(run("reservoir"), stream, p))
+    report(a, "sticky_frequent_items", streams.sticky_frequent_items(run("sticky"), stream, p))
 
 
 def run_distinct(spark: SparkSession, a: argparse.Namespace) -> None:
-    stream = streams.item_stream(spark, a.folder)
-    streams.batch_sizes(streams.StreamRun(spark, "cli-sizes"), stream).orderBy("batch_id").show()
-    streams.distinct_summary(streams.StreamRun(spark, "cli-distinct"), stream, a.n).show()
+    stream = _item_stream(spark, a)
+    report(a, "batches", streams.batch_sizes(streams.StreamRun(spark, "cli-sizes"), stream).orderBy("batch_id"))
+    report(a, "distinct_items", streams.distinct_summary(streams.StreamRun(spark, "cli-distinct"), stream, a.n))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -106,6 +123,10 @@ def main(argv: list[str] | None = None) -> None:
     d = sub.add_parser("distinct")
     d.add_argument("n", type=int)
     d.add_argument("folder")
+    for job in (f, d):
+        job.add_argument("--lines", action="store_true")
+    for job in (o, k, w, f, d):
+        job.add_argument("--out")
     a = parser.parse_args(argv)
     spark = _session()
     {"outliers": run_outliers, "kcenter": run_kcenter, "wordcount": run_wordcount,

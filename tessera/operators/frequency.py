@@ -7,10 +7,10 @@
   exactly the sequential loop's final content, for any split of the stream into batches;
 * sticky sampling: a tracked item counts every later occurrence, an untracked one starts at 1
   with probability r/n. With a per-position uniform u, an item's count is the number of its
-  occurrences at or after its first position with u <= r/n. The stream is cut into (item, block)
-  groups of at most ``STICKY_BLOCK`` positions, a running "accepted so far" flag is computed inside
-  each bounded group, and the per-block sums are merged per item -- a hot item never lands in a
-  single task.
+  occurrences at or after its first position with u <= r/n. Positions are cut into blocks of
+  ``STICKY_BLOCK``: counts per (item, block) and first accepted positions per item are partial
+  aggregates, blocks after the first accepted position count whole, and single rows are looked at
+  only in that position's own block -- a hot item never lands in a single task.
 
 Uniforms are pure functions of (tag, seed, pos) (``tessera.functions.hashing``).
 """
@@ -21,7 +21,7 @@ import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.floats import f32
@@ -55,8 +55,8 @@ class FrequencyParams:
 
     @classmethod
     def for_length(cls, total: int, seed: int = 42) -> FrequencyParams:
-        """The ITEMS binding: n = 0.8 N, phi = 75/N, epsilon = 15/N (phi/5), delta = 0.1."""
-        return cls(n=total * 4 // 5, phi=75.0 / total, epsilon=15.0 / total, delta=0.1, seed=seed)
+        """The ITEMS binding: n = N, phi = 75/N, epsilon = 15/N (phi/5), delta = 0.1."""
+        return cls(n=total, phi=75.0 / total, epsilon=15.0 / total, delta=0.1, seed=seed)
 
     @property
     def m(self) -> int:
@@ -85,9 +85,10 @@ class FrequencyParams:
         return int(float((np.float32(self.phi) - np.float32(self.epsilon)) * np.float32(self.n)))
 
 
-def prefix(items: DataFrame, params: FrequencyParams) -> DataFrame:
-    """The first n items."""
-    return items.filter(F.col("pos") < F.lit(int(params.n)))
+def prefix(items: DataFrame, params: FrequencyParams | int) -> DataFrame:
+    """The first n items (n from the parameters, or given)."""
+    n = params.n if isinstance(params, FrequencyParams) else params
+    return items.filter(F.col("pos") < F.lit(int(n)))
 
 
 def distinct_items(items: DataFrame) -> DataFrame:
@@ -128,9 +129,17 @@ def frequent_items(items: DataFrame, params: FrequencyParams) -> DataFrame:
 
 def true_frequent(items: DataFrame, params: FrequencyParams) -> DataFrame:
     """The true frequent items, unordered (at most 1/phi rows)."""
-    return item_histogram(prefix(items, params)).filter(
-        F.col("n").cast("float") >= F.lit(params.true_threshold).cast("float")
-    )
+    return frequent_of(item_histogram(prefix(items, params)), params)
+
+
+def frequent_of(counts: DataFrame, params: FrequencyParams) -> DataFrame:
+    """The rows of ``(item, n)`` with float(n) >= phi * n."""
+    return counts.filter(F.col("n").cast("float") >= F.lit(params.true_threshold).cast("float"))
+
+
+def sticky_estimates(counts: DataFrame, params: FrequencyParams) -> DataFrame:
+    """``(item)``: the items that sticky counts report."""
+    return counts.filter(F.col("n") >= F.lit(params.sticky_threshold)).select("item")
 
 
 def reservoir_sample(items: DataFrame, params: FrequencyParams, textbook: bool = False) -> DataFrame:
@@ -152,12 +161,12 @@ def reservoir_sample(items: DataFrame, params: FrequencyParams, textbook: bool =
     return slotted.groupBy("slot").agg(F.max("pos").alias("pos"), F.max_by("item", "pos").alias("item"))
 
 
-def _flag_true(estimated: DataFrame, items: DataFrame, params: FrequencyParams) -> DataFrame:
-    """Add ``flag`` '+' when the item is truly frequent. The true set has at most 1/phi rows (a
-    proven bound: at most n / (phi n) items reach phi n), so it is broadcast."""
-    true_set = true_frequent(items, params).select("item", F.lit(True).alias("_true"))
+def flag_true(estimated: DataFrame, true_set: DataFrame) -> DataFrame:
+    """Add ``flag`` '+' when the item is truly frequent. The true set has at most 1/phi rows, which
+    may grow with the stream: Spark broadcasts it when it is small."""
+    flagged = true_set.select("item", F.lit(True).alias("_true"))
     return (
-        estimated.join(F.broadcast(true_set), "item", "left")
+        estimated.join(flagged, "item", "left")
         .select("item", F.when(F.col("_true"), F.lit("+")).otherwise(F.lit("-")).alias("flag"))
         .orderBy("item")
     )
@@ -166,56 +175,67 @@ def _flag_true(estimated: DataFrame, items: DataFrame, params: FrequencyParams)
 def reservoir_frequent_items(items: DataFrame, params: FrequencyParams) -> DataFrame:
     """``(item, flag)``: the distinct items of the reservoir, flagged against the true set, by item."""
     est = reservoir_sample(items, params).select("item").distinct()
-    return _flag_true(est, items, params)
+    return flag_true(est, true_frequent(items, params))
 
 
-def sticky_counts(items: DataFrame, params: FrequencyParams) -> DataFrame:
-    """``(item, n)``: the sticky-sampling hash table at the end of the stream prefix."""
-    pos = F.col("pos")
+def sticky_rows(items: DataFrame, params: FrequencyParams) -> DataFrame:
+    """``(item, pos, b, acc)``: the block of each row, and whether it would start its item's count."""
     accept = uniform("pos", TAG_STICKY_ACCEPT, params.seed) <= F.lit(params.sticky_p)
-    rows = prefix(items, params).select(
-        "item", "pos", F.floor(pos / F.lit(STICKY_BLOCK)).cast("bigint").alias("b"), accept.alias("acc")
+    block = F.floor(F.col("pos") / F.lit(STICKY_BLOCK)).cast("bigint")
+    return items.select("item", "pos", block.alias("b"), accept.alias("acc"))
+
+
+def sticky_merge(blocks: DataFrame, rows: DataFrame) -> DataFrame:
+    """``(item, n)`` from ``blocks`` ``(item, b, c, p)`` -- counts and first accepted positions per
+    item and block, repeated keys allowed -- and ``rows`` ``(item, pos, b)``."""
+    first = blocks.groupBy("item").agg(F.min("p").alias("p0")).filter("p0 is not null").withColumn(
+        "b0", F.floor(F.col("p0") / F.lit(STICKY_BLOCK)).cast("bigint")
     )
-    running = Window.partitionBy("item", "b").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    blocks = (
-        rows.withColumn("seen", F.max(F.col("acc").cast("int")).over(running))
-        .groupBy("item", "b")
-        .agg(
-            F.count(F.lit(1)).alias("c"),
-            F.sum("seen").cast("bigint").alias("a"),
-        )
+    whole = blocks.join(first, "item").filter("b > b0").groupBy("item").agg(F.sum("c").alias("n"))
+    part = (
+        rows.join(first.withColumnRenamed("b0", "b"), ["item", "b"]).filter("pos >= p0")
+        .groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    )
+    return whole.unionByName(part).groupBy("item").agg(F.sum("n").cast("bigint").alias("n"))
+
+
+def sticky_blocks(rows: DataFrame) -> DataFrame:
+    """``(item, b, c, p)`` of ``sticky_rows``: partial aggregates."""
+    return rows.groupBy("item", "b").agg(
+        F.count(F.lit(1)).alias("c"), F.min(F.when(F.col("acc"), F.col("pos"))).alias("p")
     )
-    # first block holding an accepted occurrence: a partial aggregate of the raw rows, so the
-    # windowed block table is computed once
-    first_block = rows.filter(F.col("acc")).groupBy("item").agg(F.min("b").alias("b0"))
-    n = F.when(F.col("b") == F.col("b0"), F.col("a")).when(F.col("b") > F.col("b0"), F.col("c")).otherwise(0)
-    return blocks.join(first_block, "item").groupBy("item").agg(F.sum(n).cast("bigint").alias("n"))
+
+
+def sticky_counts(items: DataFrame, params: FrequencyParams) -> DataFrame:
+    """``(item, n)``: the sticky-sampling hash table at the end of the first n items."""
+    rows = sticky_rows(prefix(items, params), params)
+    return sticky_merge(sticky_blocks(rows), rows.select("item", "pos", "b"))
 
 
 def sticky_frequent_items(items: DataFrame, params: FrequencyParams) -> DataFrame:
     """``(item, flag)``: sticky counts >= (long)((phi - epsilon) n), flagged against the true set,
     by item."""
-    est = sticky_counts(items, params).filter(F.col("n") >= F.lit(params.sticky_threshold)).select("item")
-    return _flag_true(est, items, params)
+    est = sticky_estimates(sticky_counts(items, params), params)
+    return flag_true(est, true_frequent(items, params))
 
 
 def frequent_items_summary(items: DataFrame, params: FrequencyParams) -> DataFrame:
     """``(method, n_held, n_estimated)``: per method, the items it holds and the items it reports."""
-    exact = item_histogram(prefix(items, params)).agg(
-        F.lit("exact").alias("method"),
-        F.count(F.lit(1)).alias("n_held"),
-        F.count(F.when(F.col("n").cast("float") >= F.lit(params.true_threshold).cast("float"), True)).alias(
-            "n_estimated"
-        ),
-    )
-    res = reservoir_sample(items, params).agg(
-        F.lit("reservoir").alias("method"),
-        F.count(F.lit(1)).alias("n_held"),
-        F.count_distinct("item").alias("n_estimated"),
+    return method_sizes(
+        item_histogram(prefix(items, params)), reservoir_sample(items, params), sticky_counts(items, params), params
     )
-    sticky = sticky_counts(items, params).agg(
-        F.lit("sticky").alias("method"),
-        F.count(F.lit(1)).alias("n_held"),
-        F.count(F.when(F.col("n") >= F.lit(params.sticky_threshold), True)).alias("n_estimated"),
+
+
+def method_sizes(exact: DataFrame, reservoir: DataFrame, sticky: DataFrame, params: FrequencyParams) -> DataFrame:
+    """The summary from ``(item, n)``, ``(slot, item)`` and ``(item, n)`` of the three methods."""
+    true = F.col("n").cast("float") >= F.lit(params.true_threshold).cast("float")
+    rows = (
+        ("exact", exact, F.count(F.when(true, True))),
+        ("reservoir", reservoir, F.count_distinct("item")),
+        ("sticky", sticky, F.count(F.when(F.col("n") >= F.lit(params.sticky_threshold), True))),
     )
-    return exact.unionByName(res).unionByName(sticky)
+    out = [
+        df.agg(F.lit(name).alias("method"), F.count(F.lit(1)).alias("n_held"), estimated.alias("n_estimated"))
+        for name, df, estimated in rows
+    ]
+    return out[0].unionByName(out[1]).unionByName(out[2])

@@ -1,38 +1,33 @@
 """k-center clustering by farthest-first traversal (Gonzalez) and its MapReduce coreset form.
 
-* ``farthest_first``: the sequential traversal over a whole point set, one Spark job per round:
-  every point carries ``d``, its distance to the nearest chosen center, updated with the last
-  center; the next center is the arg-max of ``d`` (first by id on ties) found by a global
-  ``max_by``. Only the chosen center row reaches the driver each round. The ``d`` column is
-  persisted per round and checkpointed to the shared folder every few rounds, so the lineage stays
-  short and a lost executor recomputes little.
-* ``coreset``: the traversal inside each part, one pandas group per part. Parts come from an md5
-  hash of the id (balanced whatever the id pattern; ``assign="mod"`` gives pmod(id, L)); a part
-  must fit one task, so L defaults to ceil(N / MAX_PART_ROWS).
-* ``centers_from_coreset``: the traversal on the coreset, at most L*K rows, in one group;
-  ``mr_centers`` reduces a coreset that would exceed the group bound by another coreset round.
-* ``nearest_center_distance`` / ``radius``: each point's distance to the nearest center. The K
-  centers (K rows) come to the driver and become literals of one ``least`` expression, so this is
-  a map-only, whole-stage-codegen pass with a global max -- no join, no per-point shuffle.
+* ``traverse``: the traversal inside each part of a point set, one Spark job per round for all parts
+  together. Every point carries ``d``, its distance to the nearest center of its part, updated with
+  the part's last center; the next center is the part's arg-max of ``d`` (first in list order on
+  ties), a partially aggregated ``max_by`` per part. No point is shuffled and no part is ever
+  gathered, so a part may be of any size; the driver sees a row per part and round (L * K in all).
+  ``d`` is persisted per round and written out every few rounds, so the lineage stays short.
+* ``farthest_first``: one part, in id order. ``coreset``: L parts, by an md5 hash of the id (balanced
+  whatever the id pattern; ``assign="mod"`` gives pmod(id, L)). ``mr_centers``: the traversal of the
+  coreset, as one part in (part, pick) order.
+* ``nearest_center_distance`` / ``radius``: each point's distance to the nearest center, a map with
+  the K centers as one array (a scalar subquery), and a global max.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.functions.geometry import distance, sql_distance, sql_float_literal
-from tessera.session import checkpoint_root
+from tessera.functions.geometry import distance
+from tessera.scratch import Scratch
 
 FLOAT_MAX = float(np.finfo(np.float32).max)
-CHECKPOINT_EVERY = 8  # rounds between reliable checkpoints of the distance column
-MAX_PART_ROWS = 4_000_000  # rows of one pandas group when L is chosen automatically
+CHECKPOINT_EVERY = 8  # rounds between written copies of the distance column
+DEFAULT_PARTS = 8
+MAX_PARTS = 1 << 16  # a row per part is broadcast each round
 
 CENTER_SCHEMA = T.StructType(
     [
@@ -45,44 +40,10 @@ CENTER_SCHEMA = T.StructType(
 CORESET_SCHEMA = T.StructType([T.StructField("part", T.LongType())] + list(CENTER_SCHEMA.fields))
 
 
-def _require_k(k: int) -> int:
-    if int(k) < 1:
-        raise ValueError("K must be at least 1")
-    return int(k)
-
-
-def fft_indices(xs: np.ndarray, ys: np.ndarray, k: int) -> list[int]:
-    """Farthest-first traversal on arrays in list order; returns the chosen row positions.
-
-    The first row is the first center; each round picks the first row with the largest distance
-    to its nearest center. When every remaining distance is 0 (fewer than K distinct points) the
-    traversal stops with fewer centers.
-    """
-    n = len(xs)
-    if n == 0:
-        return []
-    xs = xs.astype(np.float32)
-    ys = ys.astype(np.float32)
-    nearest = np.full(n, np.float32(FLOAT_MAX), dtype=np.float32)
-    picks = [0]
-    for _ in range(1, k):
-        c = picks[-1]
-        dx = (xs - xs[c]).astype(np.float64)
-        dy = (ys - ys[c]).astype(np.float64)
-        nearest = np.minimum(nearest, np.sqrt(dx * dx + dy * dy).astype(np.float32))
-        far = int(np.argmax(nearest))
-        if not nearest[far] > 0:
-            break
-        picks.append(far)
-    return picks
-
-
-def _fft_frame(pdf: pd.DataFrame, k: int, order: list[str]) -> pd.DataFrame:
-    pdf = pdf.sort_values(order, kind="mergesort").reset_index(drop=True)
-    picks = fft_indices(pdf["x"].to_numpy(), pdf["y"].to_numpy(), k)
-    out = pdf.iloc[picks][["id", "x", "y"]].reset_index(drop=True)
-    out.insert(0, "pick", np.arange(len(picks), dtype=np.int32))
-    return out
+def _require(name: str, value: int, most: int | None = None) -> int:
+    if int(value) < 1 or most is not None and int(value) > most:
+        raise ValueError(f"{name} must be at least 1" + (f" and at most {most}" if most else ""))
+    return int(value)
 
 
 def part_of(ids: Column, parts: int, assign: str = "hash") -> Column:
@@ -97,122 +58,78 @@ def part_of(ids: Column, parts: int, assign: str = "hash") -> Column:
     return F.pmod(key, F.lit(int(parts))).cast("bigint")
 
 
-def coreset(
-    points: DataFrame,
-    k: int,
-    parts: int | None = None,
-    max_part_rows: int = MAX_PART_ROWS,
-    assign: str = "hash",
-) -> DataFrame:
-    """``(part, pick, id, x, y)``: K farthest-first centers of every part.
+def traverse(points: DataFrame, k: int, order: list[str]) -> DataFrame:
+    """``(part, pick, id, x, y)``: up to K centers of each part of ``points`` (part, id, x, y, ...).
 
-    Each part is one pandas group, so it must fit one task: with ``parts=None`` L is chosen as
-    ceil(N / max_part_rows) (one count job); an explicit L is used as given.
+    The first center of a part is its first row by ``order`` (integer columns). A part whose points
+    all lie on its centers gets no further ones.
     """
-    k = _require_k(k)
-    if parts is None:
-        parts = max(1, math.ceil(points.count() / max_part_rows))
-    if int(parts) < 1:
-        raise ValueError("L must be at least 1")
-
-    def per_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = _fft_frame(pdf, k, ["id"])
-        out.insert(0, "part", pdf["part"].iloc[0] if len(pdf) else 0)
-        return out
-
-    return (
-        points.select(part_of(F.col("id"), parts, assign).alias("part"), "id", "x", "y")
-        .groupBy("part")
-        .applyInPandas(per_part, CORESET_SCHEMA)
-    )
+    k = _require("K", k)
+    spark = points.sparkSession
+    scratch = Scratch(spark, "kcenter") if k > CHECKPOINT_EVERY else None
+    base = points.select("part", *{c: 0 for c in ("id", "x", "y", *order) if c != "part"})
+    point = F.struct("id", "x", "y")
+    picks = [
+        (r.part, 0, r.c.id, r.c.x, r.c.y)
+        for r in base.groupBy("part").agg(F.min_by(point, F.struct(*order)).alias("c")).collect()
+    ]
+    last, cur = picks, base.withColumn("d", F.lit(FLOAT_MAX).cast("float"))
+    held, written = None, None
+    farthest = F.struct(F.col("d"), *[-F.col(c) for c in order])
+    for rnd in range(1, k):
+        if not last:
+            break
+        latest = F.broadcast(  # at most a row per part
+            spark.createDataFrame([(p, x, y) for p, _, _, x, y in last], "part bigint, cx float, cy float")
+        )
+        cur = cur.join(latest, "part").withColumn("d", F.least("d", distance("x", "y", "cx", "cy"))).drop("cx", "cy")
+        if rnd % CHECKPOINT_EVERY == 0 and scratch is not None:
+            cur = scratch.keep(cur)
+            scratch.drop(written)
+            written = cur
+        cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
+        far = cur.filter("d > 0").groupBy("part").agg(F.max_by(point, farthest).alias("c")).collect()
+        if held is not None:
+            held.unpersist()
+        held = cur
+        last = [(r.part, rnd, r.c.id, r.c.x, r.c.y) for r in far]
+        picks += last
+    if held is not None:
+        held.unpersist()
+    if scratch is not None:
+        scratch.drop(written)
+    return spark.createDataFrame(picks, CORESET_SCHEMA)
+
+
+def coreset(points: DataFrame, k: int, parts: int | None = None, assign: str = "hash") -> DataFrame:
+    """``(part, pick, id, x, y)``: K farthest-first centers of every part."""
+    parts = _require("L", DEFAULT_PARTS if parts is None else parts, MAX_PARTS)
+    return traverse(points.withColumn("part", part_of(F.col("id"), parts, assign)), k, ["id"])
 
 
 def centers_from_coreset(core: DataFrame, k: int) -> DataFrame:
     """``(pick, id, x, y)``: farthest-first on the coreset in (part, pick) order (L*K rows)."""
-    k = _require_k(k)
+    rows = core.select(F.lit(0).cast("bigint").alias("part"), "id", "x", "y", F.col("part").alias("o1"), F.col("pick").alias("o2"))
+    return traverse(rows, k, ["o1", "o2"]).drop("part")
 
-    def merge(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _fft_frame(pdf, k, ["part", "pick"])
 
-    return core.withColumn("_one", F.lit(0)).groupBy("_one").applyInPandas(merge, CENTER_SCHEMA)
-
-
-def mr_centers(
-    points: DataFrame,
-    k: int,
-    parts: int | None = None,
-    max_part_rows: int = MAX_PART_ROWS,
-    assign: str = "hash",
-) -> DataFrame:
-    """The MapReduce k-center: coreset per part, then farthest-first on the coreset.
-
-    The coreset has at most L*K rows. When that exceeds ``max_part_rows`` (L chosen for a very
-    large input), the coreset is itself reduced by the same step -- a coreset of coresets -- until
-    it fits one group, so no group ever holds more than ``max_part_rows`` rows.
-    """
-    k = _require_k(k)
-    if parts is None:
-        parts = max(1, math.ceil(points.count() / max_part_rows))
-    core = coreset(points, k, parts, max_part_rows, assign)
-    rows = int(parts) * k
-    while rows > max_part_rows:
-        parts = math.ceil(rows / max_part_rows)
-        core = coreset(core.select("id", "x", "y"), k, parts, max_part_rows, "hash")
-        rows = parts * k
-    return centers_from_coreset(core, k)
+def mr_centers(points: DataFrame, k: int, parts: int | None = None, assign: str = "hash") -> DataFrame:
+    """The MapReduce k-center: coreset per part, then farthest-first on the coreset."""
+    return centers_from_coreset(coreset(points, k, parts, assign), k)
 
 
 def farthest_first(points: DataFrame, k: int) -> DataFrame:
     """``(pick, id, x, y)``: sequential farthest-first traversal over all points, in id order."""
-    k = _require_k(k)
-    spark = points.sparkSession
-    if k > CHECKPOINT_EVERY:
-        checkpoint_root(spark)  # the shared folder named by spark.checkpoint.dir
-    base = points.select("id", "x", "y")
-    first = base.agg(F.min_by(F.struct("id", "x", "y"), F.col("id")).alias("c")).first()
-    if first is None or first.c is None:
-        return spark.createDataFrame([], CENTER_SCHEMA)
-    centers = [(0, first.c.id, first.c.x, first.c.y)]
-    cur = base.withColumn("d", F.lit(FLOAT_MAX).cast("float"))
-    previous = None
-    for rnd in range(1, k):
-        _, _, cx, cy = centers[-1]
-        cur = cur.withColumn(
-            "d", F.least(F.col("d"), distance(F.col("x"), F.col("y"), F.lit(cx).cast("float"), F.lit(cy).cast("float")))
-        )
-        if rnd % CHECKPOINT_EVERY == 0:
-            cur = cur.checkpoint(eager=True)
-        else:
-            cur = cur.persist(StorageLevel.MEMORY_AND_DISK)
-        far = cur.agg(F.max_by(F.struct("id", "x", "y", "d"), F.struct(F.col("d"), -F.col("id"))).alias("c")).first().c
-        if previous is not None:
-            previous.unpersist()
-        previous = cur
-        if far is None or not far.d > 0:
-            break
-        centers.append((rnd, far.id, far.x, far.y))
-    if previous is not None:
-        previous.unpersist()
-    return spark.createDataFrame(centers, CENTER_SCHEMA)
-
-
-def center_rows(centers: DataFrame) -> list[tuple[float, float]]:
-    """The K centers on the driver (K rows, bounded by the parameter)."""
-    return [(r.x, r.y) for r in centers.select("x", "y").collect()]
-
-
-def nearest_center_expr(x: str, y: str, centers: list[tuple[float, float]]) -> Column:
-    """``least`` of the distances to K literal centers: one codegen'd expression per row, built as
-    one SQL expression."""
-    if not centers:
-        return F.lit(None).cast("float")  # no points, no centers: no distance
-    terms = [sql_distance(x, y, sql_float_literal(cx), sql_float_literal(cy)) for cx, cy in centers]
-    return F.expr(terms[0] if len(terms) == 1 else f"least({', '.join(terms)})")
+    return traverse(points.withColumn("part", F.lit(0).cast("bigint")), k, ["id"]).drop("part")
 
 
 def nearest_center_distance(points: DataFrame, centers: DataFrame) -> DataFrame:
-    """``(id, d)``: distance of each point to its nearest center (map-only, no join)."""
-    return points.select("id", nearest_center_expr("x", "y", center_rows(centers)).alias("d"))
+    """``(id, d)``: distance of each point to its nearest center; null without centers."""
+    one = centers.agg(F.collect_list(F.struct("x", "y")).alias("centers")).select("centers").scalar()  # K centers
+    nearest = F.array_min(
+        F.transform("centers", lambda c: distance(F.col("x"), F.col("y"), c["x"], c["y"]))
+    )
+    return points.select("id", "x", "y", one.alias("centers")).select("id", nearest.alias("d"))
 
 
 def radius(points: DataFrame, centers: DataFrame) -> DataFrame:

@@ -12,27 +12,20 @@ partially aggregated shuffle (no join).
 Exact method: a theta self-join (distance <= D) rewritten as an equi-join on a private grid whose
 3x3 block has diameter 0.97*D. All points of the 3x3 block are inside the ball, so they are counted
 wholesale (N3'); only the 40 ring cells of the 7x7 block are joined pair by pair. For outliers, only
-cells with N3' <= M can hold one, so only their points probe the ring. Cells holding more than R
-distinct coordinates are split into ceil(k/R) salt buckets on the build side and the probes aimed
-at them are replicated per bucket, so no join key carries more than R build rows whatever the skew.
+cells with N3' <= M can hold one, so only their points probe the ring. The join is one lazy plan by
+blocks of cells, see ``_ring_counts``: no job runs and nothing is cached while it is built.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.floats import f32, require_positive_finite
-from tessera.functions.geometry import SQRT8, cell_side, cell_side_col, offsets_sql, sql_distance
-from tessera.session import persist_in_scope, release_scope
+from tessera.functions.geometry import SQRT8, cell_side, cell_side_col, sql_distance
 
 # fixed values of the method
 EXACT_GRID_SLACK = 0.97  # private grid: 3x3 block diameter is 0.97*D, 7x7 reach is 1.029*D
-HOT_CELL_ROWS = 1 << 17  # build rows per join key before a cell is split into salt buckets
-HOT_CELL_LIMIT = 1 << 20  # most hot cells broadcast; R grows until the hot list is within it
-BROADCAST_CELLS = 1 << 14  # most cells broadcast as a lookup (about 24 bytes each); beyond, shuffle
 
 
 def _double(v: float) -> str:
@@ -141,17 +134,10 @@ def approx_outlier_counts(points: DataFrame, distance_d: float | Column, m: int)
 def point_labels(points: DataFrame, distance_d: float | Column, m: int) -> DataFrame:
     """``(id, label)``: the class of each point's cell.
 
-    The cell statistics are broadcast when the occupied cells are within ``BROADCAST_CELLS``
-    (checked on the persisted cell counts), so points are labelled map-side without a shuffle.
-    Beyond that the join shuffles points by cell, and a hot cell is split at run time by AQE's
-    skew-join handling (the statistics side has one row per cell).
+    Spark broadcasts the cell statistics when they are small; else the join shuffles points by cell.
     """
-    release_scope("point-labels")
     cells = grid_cells(points, distance_d)
-    counts = persist_in_scope(cells.groupBy("i", "j").agg(F.expr("CAST(sum(w) AS BIGINT) AS n")), "point-labels")
-    regions = cell_regions(counts)
-    if counts.count() <= BROADCAST_CELLS:
-        regions = F.broadcast(regions)
+    regions = cell_regions(cells.groupBy("i", "j").agg(F.expr("CAST(sum(w) AS BIGINT) AS n")))
     return cells.join(regions, ["i", "j"]).select("id", cell_class(F.col("n3"), F.col("n7"), m).alias("label"))
 
 
@@ -178,124 +164,40 @@ def _private_grid(points: DataFrame, distance_d: float) -> DataFrame:
     )
 
 
-RING = offsets_sql(3, 1)  # the 40 cells of the 7x7 block outside the 3x3 block
 PROBE_KEY = ["id", "x", "y", "w", "n3"]
+BLOCK = 4  # cells on a side of a block; a 7x7 neighbourhood lies in 4 to 9 of them, 6.25 on average
 
 
-class _RingJoin:
-    """The exact ring join on the private grid.
+def _ring_counts(grid: DataFrame, probe_cells: DataFrame, distance_d: float) -> DataFrame:
+    """``(id, x, y, w, n3, ring)`` for every point of ``probe_cells (ci, cj, n3)``; ring is the weight
+    of the points of the 40 ring cells within distance D.
 
-    Full data is read twice and shuffled once: ``cells`` (points per private cell, a partial
-    aggregation) is persisted; every other table of cells (regions, probe cells, needed ring cells)
-    derives from it. Probe cells and needed cells are broadcast when bounded by ``BROADCAST_CELLS``;
-    then the build side is filtered map-side to the needed cells and only probe and needed rows
-    reach the one shuffle of the join. Beyond the bound the joins shuffle, with hot cells salted
-    first so that no task receives a hot cell whole.
+    One join by blocks of BLOCK x BLOCK cells: a probe goes to the blocks that its 7x7 neighbourhood
+    meets, a build point to its own block only, and the ring and the distance are conditions of the
+    join. Blocks without probes drop their build points in the join. Both sides are plain shuffles,
+    so Spark splits a block that is hot on either side, and broadcasts the probes when they are few.
     """
+    near = f"{sql_distance('x', 'y', 'qx', 'qy')} <= {_float(distance_d)}"
+    probes = grid.join(probe_cells, ["ci", "cj"]).selectExpr(*PROBE_KEY, "ci", "cj")
+    low, high = f"CAST(floor(({{c}} - 3) / {BLOCK}) AS BIGINT)", f"CAST(floor(({{c}} + 3) / {BLOCK}) AS BIGINT)"
+    sent = probes.selectExpr("*", f"explode(sequence({low.format(c='ci')}, {high.format(c='ci')})) AS bi").selectExpr(
+        "*", f"explode(sequence({low.format(c='cj')}, {high.format(c='cj')})) AS bj"
+    )
+    build = grid.selectExpr(
+        f"CAST(floor(ci / {BLOCK}) AS BIGINT) AS bi", f"CAST(floor(cj / {BLOCK}) AS BIGINT) AS bj",
+        "ci AS ti", "cj AS tj", "x AS qx", "y AS qy", "w AS qw",
+    )
+    ring = "greatest(abs(ci - ti), abs(cj - tj)) BETWEEN 2 AND 3"
+    matched = sent.join(build, ["bi", "bj"]).filter(f"{ring} AND {near}").selectExpr(*PROBE_KEY, "qw AS ring")
+    zero = probes.selectExpr(*PROBE_KEY, "CAST(0 AS BIGINT) AS ring")
+    return matched.unionByName(zero).groupBy(*PROBE_KEY).agg(F.expr("CAST(sum(ring) AS BIGINT) AS ring"))
 
-    def __init__(self, points: DataFrame, distance_d: float):
-        self.d = require_positive_finite("D", distance_d)
-        release_scope("ring-join")
-        self.grid = _private_grid(points, self.d)
-        self.cells = persist_in_scope(
-            self.grid.groupBy("ci", "cj").agg(F.expr("CAST(sum(w) AS BIGINT) AS n"), F.expr("count(1) AS rows")),
-            "ring-join",
-        )
-        self.regions = cell_regions(self.cells.select("ci", "cj", "n"), "ci", "cj", "n", reach=1)
-        self.plan = ""  # which plan ``counts`` chose, for inspection
-
-    @staticmethod
-    def _buckets(rows_per_key: int) -> str:
-        return f"CAST(floor((rows - 1) / {int(rows_per_key)}) + 1 AS BIGINT) AS buckets"
-
-    def counts(self, probe_cells: DataFrame) -> DataFrame:
-        """``(id, x, y, w, n3, ring)`` for every point of ``probe_cells (ci, cj, n3)``; ring is the
-        weight of the points of the 40 ring cells within distance D.
-
-        Probe cells are a subset of the occupied cells, so when the occupied cells are within
-        ``BROADCAST_CELLS`` the probe cells and the occupied cells are broadcast without further
-        counting. Otherwise the probes' ring cells are computed and both tables are counted (small
-        jobs on persisted cell tables) before broadcasting; beyond the bound the joins shuffle.
-        """
-        stats = self.cells.agg(F.expr("count(1) AS n"), F.expr("max(rows) AS top")).first()
-        n_cells, top_rows = int(stats.n), int(stats.top or 0)
-        rows_per_key = HOT_CELL_ROWS
-        salted = top_rows > rows_per_key
-        probe_cells = persist_in_scope(probe_cells, "ring-join")
-        if n_cells <= BROADCAST_CELLS:
-            # few occupied cells: they are the lookup of ring targets and the build filter, no
-            # separate pass over the probes' ring cells
-            self.plan = "broadcast-cells"
-            needed = self.cells.selectExpr("ci", "cj", self._buckets(rows_per_key))
-            return self._broadcast_plan(F.broadcast(probe_cells), F.broadcast(needed), salted)
-        needed = persist_in_scope(
-            probe_cells.selectExpr(f"inline({RING})", "ci", "cj")
-            .selectExpr("ci + di AS ci", "cj + dj AS cj")
-            .distinct()
-            .join(self.cells, ["ci", "cj"])
-            .selectExpr("ci", "cj", self._buckets(rows_per_key)),
-            "ring-join",
-        )
-        if probe_cells.count() <= BROADCAST_CELLS and needed.count() <= BROADCAST_CELLS:
-            # many cells but few candidates: the build side is filtered map-side to their rings
-            self.plan = "broadcast-rings"
-            return self._broadcast_plan(F.broadcast(probe_cells), F.broadcast(needed), salted)
-        self.plan = "shuffle"
-        return self._shuffle_plan(probe_cells, rows_per_key, salted)
-
-    def _pairs(
-        self, probes: DataFrame, build: DataFrame, lookup: DataFrame | None, how: str, salted: bool
-    ) -> DataFrame:
-        """Ring pairs within D, summed per probe. ``lookup (ci, cj, buckets)`` gives the bucket
-        count of target cells: joined inner (needed cells -- unoccupied targets drop out) or left
-        (hot cells only)."""
-        targets = probes.selectExpr(*PROBE_KEY, "ci", "cj", f"inline({RING})").selectExpr(
-            *PROBE_KEY, "ci + di AS ti", "cj + dj AS tj"
-        )
-        if lookup is not None:
-            targets = targets.join(lookup.selectExpr("ci AS ti", "cj AS tj", "buckets"), ["ti", "tj"], how)
-        s = "explode(sequence(CAST(0 AS BIGINT), coalesce(buckets, CAST(1 AS BIGINT)) - 1))" if salted else "CAST(0 AS BIGINT)"
-        targets = targets.selectExpr(*PROBE_KEY, "ti", "tj", f"{s} AS s")
-        near = f"{sql_distance('x', 'y', 'qx', 'qy')} <= {_float(self.d)}"
-        matched = targets.join(build, ["ti", "tj", "s"]).filter(near).selectExpr(*PROBE_KEY, "qw AS ring")
-        zero = probes.selectExpr(*PROBE_KEY, "CAST(0 AS BIGINT) AS ring")
-        return matched.unionByName(zero).groupBy(*PROBE_KEY).agg(F.expr("CAST(sum(ring) AS BIGINT) AS ring"))
-
-    @staticmethod
-    def _salt(salted: bool) -> str:
-        if not salted:
-            return "CAST(0 AS BIGINT) AS s"
-        return "coalesce(pmod(xxhash64(id, x, y), buckets), CAST(0 AS BIGINT)) AS s"
-
-    def _broadcast_plan(self, probe_cells: DataFrame, needed: DataFrame, salted: bool) -> DataFrame:
-        probes = self.grid.join(probe_cells, ["ci", "cj"]).select(*PROBE_KEY, "ci", "cj")
-        build = self.grid.join(needed, ["ci", "cj"]).selectExpr(
-            "ci AS ti", "cj AS tj", self._salt(salted), "x AS qx", "y AS qy", "w AS qw"
-        )
-        return self._pairs(probes, build, needed, "inner", salted)
-
-    def _shuffle_plan(self, probe_cells: DataFrame, rows_per_key: int, any_hot: bool = True) -> DataFrame:
-        # hot cells: at most (rows / rows_per_key) of them; grow the bucket size until they fit
-        n_hot = 0
-        while any_hot:
-            hot = self.cells.filter(f"rows > {rows_per_key}").selectExpr("ci", "cj", self._buckets(rows_per_key))
-            n_hot = hot.count()
-            if n_hot <= HOT_CELL_LIMIT:
-                break
-            rows_per_key *= 2 * math.ceil(n_hot / HOT_CELL_LIMIT)
-        hot_b = F.broadcast(hot) if n_hot else None
-        if hot_b is not None:
-            grid = self.grid.join(hot_b, ["ci", "cj"], "left").selectExpr("*", self._salt(True)).drop("buckets")
-            # a probe cell that is hot (possible for ball counts of all points) meets its rows in every bucket
-            probe_keys = probe_cells.join(hot_b, ["ci", "cj"], "left").selectExpr(
-                "ci", "cj", "n3", "explode(sequence(CAST(0 AS BIGINT), coalesce(buckets, CAST(1 AS BIGINT)) - 1)) AS s"
-            )
-        else:
-            grid = self.grid.selectExpr("*", self._salt(False))
-            probe_keys = probe_cells.selectExpr("*", "CAST(0 AS BIGINT) AS s")
-        probes = grid.join(probe_keys, ["ci", "cj", "s"]).select(*PROBE_KEY, "ci", "cj")
-        build = grid.selectExpr("ci AS ti", "cj AS tj", "s", "x AS qx", "y AS qy", "w AS qw")
-        return self._pairs(probes, build, hot_b, "left", hot_b is not None)
+
+def _grid_regions(points: DataFrame, distance_d: float) -> tuple[DataFrame, DataFrame]:
+    """The points on the private grid, and ``(ci, cj, n, n3)`` of its occupied cells."""
+    grid = _private_grid(points, require_positive_finite("D", distance_d))
+    cells = grid.groupBy("ci", "cj").agg(F.expr("CAST(sum(w) AS BIGINT) AS n"))
+    return grid, cell_regions(cells, "ci", "cj", "n", reach=1)
 
 
 def ball_counts(points: DataFrame, distance_d: float) -> DataFrame:
@@ -303,9 +205,8 @@ def ball_counts(points: DataFrame, distance_d: float) -> DataFrame:
 
     Rows are distinct points (``w`` carries multiplicity). Every cell probes its ring.
     """
-    rj = _RingJoin(points, distance_d)
-    probe_cells = rj.regions.select("ci", "cj", "n3")
-    return rj.counts(probe_cells).selectExpr("id", "x", "y", "CAST(n3 + ring AS BIGINT) AS ball")
+    grid, regions = _grid_regions(points, distance_d)
+    return _ring_counts(grid, regions.select("ci", "cj", "n3"), distance_d).selectExpr("id", "x", "y", "CAST(n3 + ring AS BIGINT) AS ball")
 
 
 def exact_outliers(points: DataFrame, distance_d: float, m: int, keep_weight: bool = False) -> DataFrame:
@@ -314,9 +215,9 @@ def exact_outliers(points: DataFrame, distance_d: float, m: int, keep_weight: bo
     Only points in private cells with N3' <= M probe the ring (a cell with N3' > M holds no
     outlier); such a cell holds at most M points, so the probe side never concentrates.
     """
-    rj = _RingJoin(points, distance_d)
-    probe_cells = rj.regions.filter(f"n3 <= {int(m)}").select("ci", "cj", "n3")
-    out = rj.counts(probe_cells).selectExpr("id", "x", "y", "w", "CAST(n3 + ring AS BIGINT) AS ball")
+    grid, regions = _grid_regions(points, distance_d)
+    probe_cells = regions.filter(f"n3 <= {int(m)}").select("ci", "cj", "n3")
+    out = _ring_counts(grid, probe_cells, distance_d).selectExpr("id", "x", "y", "w", "CAST(n3 + ring AS BIGINT) AS ball")
     out = out.filter(f"ball <= {int(m)}")
     return out if keep_weight else out.drop("w")
 

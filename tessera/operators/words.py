@@ -7,9 +7,12 @@ All four give the same ``(word, n)``; they differ in plan shape:
 * ``word_counts_salted``: two rounds with a salt drawn per (document, word) pair, so the first
   exchange spreads a hot word over K tasks before the second merges at most K partials per word.
 * ``word_counts_salted_pairs``: the same with the salt drawn per (document, word) count after the
-  per-document pre-aggregation.
-* ``word_counts_partitioned``: explicit per-partition partial sums keyed by the partition id, then
-  one merge by word.
+  per-document counts.
+* ``word_counts_partitioned``: partial sums per task, then one merge by word -- which is what Spark's
+  partial aggregation does, so its plan has that one exchange.
+
+A document is one row, so per-document counts are made inside the row (sorted tokens, run lengths by
+array functions) and exchange nothing.
 """
 
 from __future__ import annotations
@@ -25,8 +28,22 @@ def _tokens(lines: DataFrame) -> DataFrame:
 
 
 def doc_word_counts(lines: DataFrame) -> DataFrame:
-    """``(doc_id, line_no, word, n)``: counts of each word inside each document."""
-    return _tokens(lines).groupBy("doc_id", "line_no", "word").agg(F.count(F.lit(1)).alias("n"))
+    """``(doc_id, line_no, word, n)``: counts of each word inside each document, without an exchange.
+
+    The tokens are sorted; a run starts where a token differs from the one before, and its length is
+    the distance to the next start.
+    """
+    tokens = lines.select("doc_id", "line_no", F.array_sort(space_tokens(F.col("line"))).alias("t"))
+    starts = F.filter(
+        F.sequence(F.lit(0), F.size("t")),
+        lambda i: (i == 0) | (i == F.size("t")) | (F.get("t", i) != F.get("t", i - 1)),
+    )
+    runs = tokens.filter(F.size("t") > 0).select("doc_id", "line_no", "t", starts.alias("s"))
+    pairs = F.transform(
+        F.slice("s", 1, F.size("s") - 1),
+        lambda a, k: F.struct(F.get("t", a).alias("word"), (F.get("s", k + 1) - a).cast("bigint").alias("n")),
+    )
+    return runs.select("doc_id", "line_no", F.explode(pairs).alias("p")).select("doc_id", "line_no", "p.word", "p.n")
 
 
 def word_counts(lines: DataFrame) -> DataFrame:
@@ -56,13 +73,8 @@ def word_counts_salted_pairs(lines: DataFrame, k: int, seed: int = 29) -> DataFr
 
 
 def word_counts_partitioned(lines: DataFrame) -> DataFrame:
-    """``(word, n)``: partial sums keyed by Spark partition, then summed by word."""
-    partial = (
-        _tokens(lines)
-        .groupBy(F.spark_partition_id().alias("pid"), "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return partial.groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
+    """``(word, n)``: a sum per task of its documents' counts, then one merge by word."""
+    return doc_word_counts(lines).groupBy("word").agg(F.sum("n").cast("bigint").alias("n"))
 
 
 def doc_count(lines: DataFrame) -> DataFrame:

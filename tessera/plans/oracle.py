@@ -36,7 +36,7 @@ DOCS = (
     f"toks AS (SELECT doc_id, line_no, unnest({SQL_SPACE_TOKENS.format(l='line')}) AS word FROM lines)"
 )
 ITEMS = (
-    "params AS (SELECT p_total, CAST(p_total AS BIGINT) * 4 // 5 AS p_n, CAST(75.0 / p_total AS FLOAT) AS p_phi, "
+    "params AS (SELECT p_total, CAST(p_total AS BIGINT) AS p_n, CAST(75.0 / p_total AS FLOAT) AS p_phi, "
     "CAST(15.0 / p_total AS FLOAT) AS p_eps, CAST(0.1 AS FLOAT) AS p_delta "
     "FROM (SELECT CAST(count(*) AS DOUBLE) AS p_total FROM events)), "
     "derived AS (SELECT *, CAST(ceil(CAST(1 AS FLOAT) / p_phi) AS BIGINT) AS p_m, "
@@ -220,7 +220,7 @@ def oracle_sql() -> dict[str, str]:
         "length(regexp_replace(word, '[^\\x{10000}-\\x{10FFFF}]', '', 'g'))), 0) AS BIGINT) AS total_length "
         "FROM (SELECT DISTINCT word FROM toks))",
         "items_parse": "SELECT event_id AS pos, CAST(trim(CAST(user_id AS VARCHAR)) AS BIGINT) AS item FROM events",
-        "stream_prefix": it + "SELECT pos, item FROM prefix",
+        "stream_prefix": "SELECT event_id AS pos, user_id AS item FROM events WHERE event_id < (SELECT count(*) FROM events) * 4 // 5",
         "distinct_items": it + "SELECT DISTINCT item FROM prefix",
         "distinct_items_summary": it
         + "SELECT CAST(count(*) AS BIGINT) AS n_items, count(DISTINCT item) AS n_distinct, "

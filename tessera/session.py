@@ -47,23 +47,3 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the checkpoint root."""
     return "/".join([checkpoint_root(spark), "tessera", *parts, uuid.uuid4().hex])
-
-
-_SCOPES: dict[str, list] = {}
-
-
-def release_scope(scope: str) -> None:
-    """Unpersist the tables an earlier call of ``scope`` cached. DataFrames built on them stay
-    valid: if used again they recompute from their lineage."""
-    for df in _SCOPES.pop(scope, []):
-        df.unpersist()
-
-
-def persist_in_scope(df, scope: str):
-    """Persist (memory, spilling to disk) and remember ``df`` under ``scope``, so that the next call
-    of the same operator releases it: a long session keeps one generation of cell tables."""
-    from pyspark import StorageLevel
-
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _SCOPES.setdefault(scope, []).append(df)
-    return df

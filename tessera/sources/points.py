@@ -8,7 +8,7 @@ hot repeated point never lands whole in one task). Non-finite coordinates are re
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.floats import f32_col
@@ -21,11 +21,17 @@ def _reject_non_finite(df: DataFrame) -> DataFrame:
     )
 
 
+def _number(text: Column) -> Column:
+    value = F.trim(text).try_cast("float")
+    bad = F.raise_error(F.concat(F.lit("not a number: "), F.coalesce(text, F.lit("null"))))
+    return F.when(value.isNull(), bad.cast("float")).otherwise(value)
+
+
 def parse_points(lines: DataFrame, line_col: str = "value", id_col: str | None = None) -> DataFrame:
     """Parse ``x,y[,...]`` lines to points; fields after the second are ignored.
 
-    A line with fewer than two fields or a field that is not a number fails the job (ANSI cast),
-    as in the reference. Without an id column, ``monotonically_increasing_id`` numbers the lines
+    A line with fewer than two fields or a field that is not a number fails the job, whatever
+    ``spark.sql.ansi.enabled`` says. Without an id column, ``monotonically_increasing_id`` numbers the lines
     (stable for a given input split).
     """
     fields = F.split(F.col(line_col), ",", -1)
@@ -33,8 +39,8 @@ def parse_points(lines: DataFrame, line_col: str = "value", id_col: str | None =
     checked = F.when(F.size(fields) < 2, F.raise_error(F.lit("point line needs two fields"))).otherwise(fields)
     pts = lines.select(
         ident.alias("id"),
-        F.trim(checked.getItem(0)).cast("float").alias("x"),
-        F.trim(checked.getItem(1)).cast("float").alias("y"),
+        _number(F.get(checked, F.lit(0))).alias("x"),
+        _number(F.get(checked, F.lit(1))).alias("y"),
     )
     return _reject_non_finite(pts)
 

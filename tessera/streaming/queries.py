@@ -1,50 +1,81 @@
-"""Streaming twins of the item queries: the events table read as a file stream.
+"""Streaming twins of the item queries: the events table read as a file stream of several batches.
 
-Each query starts a Structured Streaming job over the data folder's ``events.parquet`` with
-``trigger(availableNow=True)``, a fresh checkpoint and sink under ``spark.checkpoint.dir``, waits
-for it, and returns the batch view of the sink. Results equal the batch queries named in
-``STREAM_ORACLE_KEYS``.
+The events are written, by position, as ``SLICES`` slices of a few files each into the shared folder,
+and read back a slice per micro-batch (``trigger(availableNow=True)``), so that state is carried
+across batches. Each query starts its own job with a fresh checkpoint and sink, waits for it, and
+returns the batch view of the sink. Results equal the batch queries in ``STREAM_ORACLE_KEYS``, or the
+SQL in ``STREAM_SQL``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.plans.catalog import item_params
+from tessera.plans.catalog import item_params, prefix_length
+from tessera.session import scratch_path
+from tessera.sources.tables import table
 from tessera.streaming import items as S
 
+SLICES = 6
 
-def _stream(spark: SparkSession, d: str) -> DataFrame:
-    return S.item_stream(spark, d, glob="events.parquet")
+
+def sliced_events(spark: SparkSession, d: str) -> DataFrame:
+    """``(pos, item)``: a stream of the events in SLICES micro-batches by position."""
+    events = table(spark, d, "events")
+    n, files = events.count(), min(8, spark.sparkContext.defaultParallelism)
+    step = max(1, -(-n // SLICES))
+    folder = scratch_path(spark, "events")
+    for k in range(SLICES):  # one after the other: a file stream reads files in the order they were written
+        part = events.filter(F.col("event_id").between(k * step, (k + 1) * step - 1))
+        part.repartition(files, F.pmod("event_id", F.lit(files))).sortWithinPartitions("event_id").write.mode("append").parquet(folder)
+    per_slice = spark.read.parquet(folder).select(F.input_file_name()).distinct().count() // SLICES if n else 1
+    return S.item_stream(spark, folder, max_files_per_trigger=max(1, per_slice))
 
 
 def q_stream_distinct_items(spark: SparkSession, d: str) -> DataFrame:
-    return S.distinct_items(S.StreamRun(spark, "distinct"), _stream(spark, d), item_params(spark, d))
+    return S.distinct_items(S.StreamRun(spark, "distinct"), sliced_events(spark, d))
 
 
 def q_stream_distinct_summary(spark: SparkSession, d: str) -> DataFrame:
-    return S.distinct_summary(S.StreamRun(spark, "summary"), _stream(spark, d), item_params(spark, d))
+    return S.distinct_summary(S.StreamRun(spark, "summary"), sliced_events(spark, d))
 
 
 def q_stream_item_histogram(spark: SparkSession, d: str) -> DataFrame:
-    return S.histogram(S.StreamRun(spark, "histogram"), _stream(spark, d), item_params(spark, d))
+    return S.histogram(S.StreamRun(spark, "histogram"), sliced_events(spark, d))
 
 
 def q_stream_reservoir(spark: SparkSession, d: str) -> DataFrame:
-    return S.reservoir(S.StreamRun(spark, "reservoir"), _stream(spark, d), item_params(spark, d))
+    return S.reservoir(S.StreamRun(spark, "reservoir"), sliced_events(spark, d), item_params(spark, d))
 
 
 def q_stream_sticky(spark: SparkSession, d: str) -> DataFrame:
-    return S.sticky(S.StreamRun(spark, "sticky"), _stream(spark, d), item_params(spark, d))
+    return S.sticky(S.StreamRun(spark, "sticky"), sliced_events(spark, d), item_params(spark, d))
+
+
+def q_stream_frequent_items(spark: SparkSession, d: str) -> DataFrame:
+    return S.frequent_items(S.StreamRun(spark, "frequent"), sliced_events(spark, d), item_params(spark, d))
+
+
+def q_stream_reservoir_frequent_items(spark: SparkSession, d: str) -> DataFrame:
+    return S.reservoir_frequent_items(S.StreamRun(spark, "reservoir-frequent"), sliced_events(spark, d), item_params(spark, d))
+
+
+def q_stream_sticky_frequent_items(spark: SparkSession, d: str) -> DataFrame:
+    return S.sticky_frequent_items(S.StreamRun(spark, "sticky-frequent"), sliced_events(spark, d), item_params(spark, d))
+
+
+def q_stream_frequent_items_summary(spark: SparkSession, d: str) -> DataFrame:
+    return S.frequent_items_summary(S.StreamRun(spark, "methods"), sliced_events(spark, d), item_params(spark, d))
 
 
 def q_stream_prefix_batches(spark: SparkSession, d: str) -> DataFrame:
-    """Micro-batches taken while the length so far is below n; the crossing batch is taken whole."""
-    return S.prefix_whole_batches(S.StreamRun(spark, "prefix"), _stream(spark, d), item_params(spark, d).n)
+    """Micro-batches taken while the length so far is below 0.8 N; the crossing batch is taken whole."""
+    return S.prefix_whole_batches(S.StreamRun(spark, "prefix"), sliced_events(spark, d), prefix_length(spark, d))
 
 
 def q_stream_batch_sizes(spark: SparkSession, d: str) -> DataFrame:
-    return S.batch_sizes(S.StreamRun(spark, "sizes"), _stream(spark, d))
+    return S.batch_sizes(S.StreamRun(spark, "sizes"), sliced_events(spark, d))
 
 
 STREAM_QUERIES = {
@@ -53,6 +84,10 @@ STREAM_QUERIES = {
     "stream_item_histogram": q_stream_item_histogram,
     "stream_reservoir": q_stream_reservoir,
     "stream_sticky": q_stream_sticky,
+    "stream_frequent_items": q_stream_frequent_items,
+    "stream_reservoir_frequent_items": q_stream_reservoir_frequent_items,
+    "stream_sticky_frequent_items": q_stream_sticky_frequent_items,
+    "stream_frequent_items_summary": q_stream_frequent_items_summary,
     "stream_batch_sizes": q_stream_batch_sizes,
     "stream_prefix_batches": q_stream_prefix_batches,
 }
@@ -64,4 +99,20 @@ STREAM_ORACLE_KEYS = {
     "stream_item_histogram": "item_histogram",
     "stream_reservoir": "reservoir_sample",
     "stream_sticky": "sticky_counts",
+    "stream_frequent_items": "frequent_items",
+    "stream_reservoir_frequent_items": "reservoir_frequent_items",
+    "stream_sticky_frequent_items": "sticky_frequent_items",
+    "stream_frequent_items_summary": "frequent_items_summary",
+}
+
+_SLICED = (
+    f"WITH e AS (SELECT *, event_id // greatest(1, ((SELECT count(*) FROM events) + {SLICES - 1}) // {SLICES}) AS batch_id FROM events), "
+    "b AS (SELECT batch_id, count(*) AS n_rows FROM e GROUP BY batch_id), "
+    "r AS (SELECT *, sum(n_rows) OVER (ORDER BY batch_id) - n_rows AS before FROM b) "
+)
+
+STREAM_SQL = {
+    "stream_batch_sizes": _SLICED + "SELECT CAST(batch_id AS BIGINT) AS batch_id, n_rows FROM b",
+    "stream_prefix_batches": _SLICED + "SELECT event_id AS pos, user_id AS item FROM e JOIN r USING (batch_id) "
+    "WHERE before < (SELECT count(*) FROM events) * 4 // 5",
 }

@@ -28,3 +28,9 @@ def n15(spark):
     from tessera.sources.points import parse_points
 
     return parse_points(spark.read.text(N15).coalesce(1)).cache()
+
+
+@pytest.fixture(scope="session")
+def xy15():
+    with open(N15) as f:
+        return [tuple(float(v) for v in line.split(",")) for line in f]

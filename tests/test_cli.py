@@ -1,3 +1,4 @@
+import plain
 import pyarrow.parquet as pq
 
 from tessera import cli
@@ -5,10 +6,11 @@ from tessera import cli
 from conftest import N15, SF0001
 
 
-def test_cli_jobs_run(spark, tmp_path, capsys):
+def test_cli_jobs_run(spark, tmp_path, capsys, xy15):
     cli.main(["outliers", N15, "1", "3", "5", "2"])
     out = capsys.readouterr().out
-    assert "|n_outliers|" in out and "|         9|" in out  # 9 exact outliers of the fixture
+    n = sum(b <= 3 for b in plain.balls(xy15, 1.0))
+    assert f"exact_outliers: n_outliers\n{n}\n" in out
     cli.main(["kcenter", N15, "3", "3", "2"])
     assert "radius" in capsys.readouterr().out
     docs = tmp_path / "docs.txt"
@@ -24,3 +26,17 @@ def test_cli_jobs_run(spark, tmp_path, capsys):
     cli.main(["distinct", "800", str(events)])
     out = capsys.readouterr().out
     assert "n_distinct" in out and "n_rows" in out
+
+
+def test_reports_are_complete(spark, tmp_path, capsys):
+    """More than 20 frequent items, from lines without positions; all of them are reported."""
+    lines = tmp_path / "lines"
+    lines.mkdir()
+    (lines / "a.txt").write_text("".join(f"{i % 40}\n" for i in range(2000)))
+    args = ["frequent", "2000", "0.02", "0.005", "0.1", str(lines), "--lines"]
+    cli.main(args)
+    out = capsys.readouterr().out
+    got = out[out.index("\nfrequent_items:") + 1 : out.index("reservoir_frequent_items:")].splitlines()[1:]
+    assert got == [f"{i}, 50" for i in range(40)]
+    cli.main([*args, "--out", str(tmp_path / "out")])
+    assert spark.read.option("header", True).csv(f"{tmp_path}/out/frequent_items").count() == 40

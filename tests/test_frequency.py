@@ -14,7 +14,7 @@ def test_params_float32():
     p = Q.FrequencyParams(n=1000, phi=0.02, epsilon=0.01, delta=0.1)
     assert p.m == 50
     at_small = Q.FrequencyParams.for_length(1000)
-    assert at_small.true_threshold == pytest.approx(60.000004, abs=1e-6)
+    assert at_small.n == 1000 and at_small.true_threshold == pytest.approx(75.0, abs=1e-5)
 
 
 def _items(spark, d=SF001):
@@ -22,7 +22,7 @@ def _items(spark, d=SF001):
 
 
 def _sequential(pdf, p: Q.FrequencyParams):
-    """The reference's loops over the stream prefix with the same uniforms."""
+    """The sequential loops over the stream prefix with the same uniforms."""
     pdf = pdf[pdf.pos < p.n].sort_values("pos")
     pos, items = pdf.pos.to_numpy(), pdf.item.to_numpy()
     u1 = uniform_numpy(pos, Q.TAG_RESERVOIR_ACCEPT, p.seed)
@@ -96,3 +96,21 @@ def test_approximate_distinct_count_is_close(spark):
     approx = Q.distinct_items_summary(items, approx_rsd=0.02).first()
     assert (approx.n_items, approx.largest_item) == (exact.n_items, exact.largest_item)
     assert abs(approx.n_distinct - exact.n_distinct) <= 0.1 * exact.n_distinct
+
+
+def test_sticky_plan_aggregates_before_it_shuffles(spark):
+    """No window and no sort of raw rows; the flag join carries no broadcast hint."""
+    items = _items(spark)
+    p = Q.FrequencyParams.for_length(items.count())
+    plan = Q.sticky_counts(items, p)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    hinted = Q.sticky_frequent_items(items, p)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in hinted and "UnresolvedHint" not in hinted
+
+
+def test_sticky_on_a_single_hot_item(spark, monkeypatch):
+    monkeypatch.setattr(Q, "STICKY_BLOCK", 64)
+    items = spark.range(5000).selectExpr("id AS pos", "7L AS item")
+    p = Q.FrequencyParams(n=5000, phi=0.02, epsilon=0.01, delta=0.1)
+    _, want = _sequential(items.toPandas(), p)
+    assert {r.item: r.n for r in Q.sticky_counts(items, p).collect()} == want

@@ -1,7 +1,8 @@
 import math
 
+import numpy as np
+import plain
 import pytest
-from pyspark.sql import functions as F
 
 from tessera.operators import outliers as O
 from tessera.sources.points import parse_points, points_from_embeddings
@@ -9,24 +10,24 @@ from tessera.sources.points import parse_points, points_from_embeddings
 from conftest import SF001
 
 
-def test_n15_ball_counts(n15):
+def test_ball_counts_of_15_points(n15, xy15):
     got = {r.id: r.ball for r in O.ball_counts(n15, 1.0).collect()}
-    assert [got[i] for i in range(15)] == [3, 1, 7, 7, 2, 2, 6, 6, 6, 6, 2, 2, 1, 2, 2]
+    assert [got[i] for i in range(15)] == plain.balls(xy15, 1.0)
 
 
-def test_n15_exact_outliers_in_report_order(n15):
-    rows = O.exact_outliers_topk(n15, 1.0, 3, 100).collect()
-    assert [r.id for r in rows] == [1, 12, 4, 5, 10, 11, 13, 14, 0]
-    assert O.exact_outlier_count(n15, 1.0, 3).first().n_outliers == 9
+def test_exact_outliers_in_report_order(n15, xy15):
+    want = sorted((n, i) for i, n in enumerate(plain.balls(xy15, 1.0)) if n <= 3)
+    assert 0 < len(want) < 15
+    assert [(r.ball, r.id) for r in O.exact_outliers_topk(n15, 1.0, 3, 100).collect()] == want
+    assert O.exact_outlier_count(n15, 1.0, 3).first().n_outliers == len(want)
 
 
-def test_n15_approx_counts_and_cells(n15):
+def test_approx_counts_and_cells_of_15_points(n15, xy15):
     r = O.approx_outlier_counts(n15, 1.0, 3).first()
-    assert (r.sure_outliers, r.uncertain_points) == (7, 4)
-    cells = O.cell_counts(n15, 1.0)
-    assert cells.count() == 11
-    small = [(r.i, r.j, r.n) for r in O.smallest_cells(n15, 1.0, 9).collect()]
-    assert small == [(1, 2, 1), (1, 11, 1), (2, 2, 1), (2, 3, 1), (4, 9, 1), (4, 10, 1), (9, 13, 1), (11, 11, 1), (12, 12, 1)]
+    assert (r.sure_outliers, r.uncertain_points) == plain.totals(xy15, 1.0, 3)
+    want = sorted((n, i, j) for (i, j), n in plain.cells(xy15, 1.0).items())
+    assert O.cell_counts(n15, 1.0).count() == len(want)
+    assert [(r.n, r.i, r.j) for r in O.smallest_cells(n15, 1.0, 9).collect()] == want[:9]
 
 
 def test_regions_are_consistent(n15):
@@ -67,38 +68,37 @@ def test_weighted_points_count_multiplicity(spark):
     assert O.exact_outlier_count(pts, 1.0, 2).first().n_outliers == 1
 
 
-@pytest.mark.parametrize(
-    "rows_per_key,hot_limit,limit,plan",
-    [
-        (1 << 17, 1 << 20, "big", "broadcast-cells"),
-        (4, 1 << 20, "big", "broadcast-cells"),
-        (1 << 17, 1 << 20, "between", "broadcast-rings"),
-        (4, 1 << 20, "between", "broadcast-rings"),
-        (1 << 17, 1 << 20, 0, "shuffle"),
-        (4, 1 << 20, 0, "shuffle"),
-        (4, 2, 0, "shuffle"),
-    ],
-    ids=["cells", "cells-salted", "rings", "rings-salted", "shuffle", "shuffle-salted", "shuffle-salted-regrown"],
-)
-def test_every_ring_join_plan_agrees(spark, monkeypatch, rows_per_key, hot_limit, limit, plan):
+@pytest.mark.parametrize("broadcast,skew", [("10m", False), ("-1", False), ("-1", True)])
+def test_ring_join_gives_the_same_balls_however_spark_joins(spark, broadcast, skew):
+    """Broadcast or shuffled, with and without splitting of skewed blocks; a block hot on both sides."""
+    rows = [(i, 0.001 * (i % 60), 0.001 * (i // 60)) for i in range(2400)] + [(5000 + i, float(i), 3.0) for i in range(50)]
+    pts = spark.createDataFrame(rows, "id bigint, x float, y float")
+    xy = np.array([(x, y) for _, x, y in rows], np.float32)
+    apart = (xy[:, None] - xy[None]).astype(float)
+    want = (np.sqrt((apart**2).sum(-1)).astype(np.float32) <= np.float32(0.02)).sum(1)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": broadcast}
+    if skew:
+        conf |= {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.0",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert {r.id: r.ball for r in O.ball_counts(pts, 0.02).collect()} == {r[0]: int(n) for r, n in zip(rows, want)}
+        assert {r.id for r in O.exact_outliers(pts, 0.02, 40).collect()} == {r[0] for r, n in zip(rows, want) if n <= 40}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_nothing_runs_while_the_join_is_built(spark):
+    """One lazy plan: no job, no cached table; a probe goes to 9 blocks at most, not to 40 cells."""
     pts = points_from_embeddings(spark.read.parquet(f"{SF001}/embeddings.parquet"))
-    want_balls = {r.id: r.ball for r in O.ball_counts(pts, 0.05).collect()}
-    want_out = {i for i, b in want_balls.items() if b <= 5}
-    rj = O._RingJoin(pts, 0.05)
-    n_cells = rj.cells.count()
-    probe_cells = rj.regions.filter("n3 <= 5").select("ci", "cj", "n3")
-    if limit == "big":
-        limit = 1 << 20
-    elif limit == "between":  # more cells than the bound, but few enough probe and ring cells
-        limit = n_cells - 1
-    monkeypatch.setattr(O, "HOT_CELL_ROWS", rows_per_key)
-    monkeypatch.setattr(O, "HOT_CELL_LIMIT", hot_limit)
-    monkeypatch.setattr(O, "BROADCAST_CELLS", limit)
-    got = {r.id for r in rj.counts(probe_cells).filter("n3 + ring <= 5").collect()}
-    assert rj.plan == plan
-    assert got == want_out and len(got) == 64
-    if plan != "broadcast-rings":  # ball counts probe every cell: no "few candidates" case
-        assert {r.id: r.ball for r in O.ball_counts(pts, 0.05).collect()} == want_balls
+    spark.sparkContext.setJobGroup("build", "build")
+    df = O.exact_outlier_count(pts, 0.05, 5)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("build") == []
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "InMemoryRelation" not in plan and plan.count("explode(sequence(") >= 2 and "inline" not in plan
 
 
 @pytest.mark.parametrize("d", [0.0, -1.0, float("nan"), float("inf")])
@@ -127,13 +127,6 @@ def test_grid_plan_has_no_join(n15):
     assert "Join" not in plan
 
 
-def test_ring_join_plan_broadcasts_cell_tables(spark):
-    pts = points_from_embeddings(spark.read.parquet(f"{SF001}/embeddings.parquet"))
-    plan = O.exact_outlier_count(pts, 0.05, 5)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("BroadcastExchange") >= 2  # probe cells and needed ring cells
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-
-
 def test_fold_duplicates_gives_multiplicities(spark):
     from tessera.sources.points import fold_duplicates
 

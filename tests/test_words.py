@@ -1,3 +1,5 @@
+import collections
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +66,26 @@ def test_doc_word_counts_sum_to_word_counts(spark):
 def test_salted_plan_has_two_exchanges(spark):
     plan = W.word_counts_salted(_docs(spark), 4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def _exchanges(df):
+    """Exchanges of the plan on an input that balanced() doesn't touch."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    plan = plan.split("== Initial Plan ==")[-1]
+    return plan.count("Exchange ")
+
+
+def test_exchanges_of_the_strategies(spark):
+    lines = spark.range(0, 1000, 1, 16).selectExpr("id AS doc_id", "0 AS line_no", "concat('a b a ', id % 7) AS line")
+    assert _exchanges(W.doc_word_counts(lines)) == 0
+    assert _exchanges(W.word_counts(lines)) == 1
+    assert _exchanges(W.word_counts_partitioned(lines)) == 1
+    assert _exchanges(W.word_counts_salted_pairs(lines, 4)) == 2
+
+
+def test_doc_word_counts_on_hard_lines(spark):
+    rows = [(0, ""), (1, " "), (2, "a"), (3, "b a b  b"), (4, "x x x"), (5, None)]
+    lines = spark.createDataFrame([(i, 0, t) for i, t in rows], "doc_id int, line_no int, line string")
+    got = collections.Counter({(r.doc_id, r.word): r.n for r in W.doc_word_counts(lines).collect()})
+    exploded = W._tokens(lines).groupBy("doc_id", "word").count().collect()
+    assert got == collections.Counter({(r.doc_id, r.word): r["count"] for r in exploded})
