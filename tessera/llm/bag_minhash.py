@@ -37,7 +37,8 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 25, 5  # a pair of similarity 0.8 shares no band with probability 5e-5
 PAIR_BUCKET = 32
-PROBES = 4
+PROBES = 2
+OUT_BLOCK, MEMBER_BLOCK = 128, 512  # texts of the two sides of a block
 BATCH_BYTES = 1 << 21
 
 GOLDEN, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -220,10 +221,9 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
                 left = s.keep(_unreached(left, new, probe + 1))
                 if left.isEmpty():
                     break
-        rest = _across(_labelled(s, big, links)).join(tried, ["a", "b"], "left_anti")
-        rest = s.keep(rest)
-        if not rest.isEmpty():
-            links = s.keep(links.unionByName(verified(rest, texts)))
+        members = s.keep(_labelled(s, big, links))
+        if not members.isEmpty():
+            links = s.keep(links.unionByName(_across(s, members, texts)))
     group = components(s, links, "a", "b")
     per_class = classes.select("key", "c", "text_id", "n").join(group.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "component", F.coalesce("component", "c")
@@ -269,14 +269,56 @@ def _labelled(s: Scratch, big: DataFrame, links: DataFrame) -> DataFrame:
     return rows.join(mains, "bucket")
 
 
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of a large bucket between components, one of them outside the largest: all that could
-    still join components."""
-    out = members.filter("component <> main").select("bucket", F.col("c").alias("x"), F.col("component").alias("cx"))
-    all_ = members.select("bucket", F.col("c").alias("y"), F.col("component").alias("cy"))
-    return (
-        out.join(all_, "bucket").filter("cx <> cy").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+def elements(text: str) -> np.ndarray:
+    """The multiset of a text's shingles as a set: the k-th copy of a shingle is an element of its own."""
+    h, n, _ = shingles(text)
+    if len(n) and n.max() > 1:
+        copy = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        h = np.repeat(h, n)
+        h = np.where(copy > 0, mixed(h + copy.astype(np.uint64) * MIX1), h)
+    return h
+
+
+def block_links(out: pd.DataFrame, members: pd.DataFrame, least: float = SIMILAR) -> pd.DataFrame:
+    """The pairs of ``out`` and ``members`` (c, component, text) between components that have at least
+    that similarity."""
+    found = []
+    if len(out) and len(members):
+        sets = [elements(t) for t in members["text"]]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        held, all_ = np.repeat(np.arange(len(sets)), sizes), np.concatenate(sets)
+        order = np.argsort(all_, kind="stable")
+        held, all_ = held[order], all_[order]
+        c, component = members["c"].to_numpy(), members["component"].to_numpy()
+        for x, own, text in zip(out["c"], out["component"], out["text"]):
+            e = elements(text)
+            lo, hi = np.searchsorted(all_, e, "left"), np.searchsorted(all_, e, "right")
+            n = hi - lo
+            at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            shared = np.bincount(held[at], minlength=len(sets))
+            total = sizes + len(e) - shared
+            near = np.flatnonzero((shared >= least * total) & (total > 0) & (component != own))
+            found += [(min(x, y), max(x, y)) for y in c[near].tolist()]
+    return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+
+def _across(s: Scratch, members: DataFrame, texts: DataFrame) -> DataFrame:
+    """The links of large buckets between components, one end outside the bucket's largest."""
+    out = members.filter("component <> main").select("bucket", "c", "component")
+    sizes = s.keep(
+        members.groupBy("bucket").agg(
+            F.ceil(F.count(F.when(F.col("component") != F.col("main"), True)) / OUT_BLOCK).cast("int").alias("outs"),
+            F.ceil(F.count(F.lit(1)) / MEMBER_BLOCK).cast("int").alias("blocks"),
+        )
     )
+    block = lambda n: F.pmod(F.xxhash64("c"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = out.join(sizes, "bucket").withColumn("i", block("outs")).withColumn("j", every("blocks"))
+    right = members.join(sizes, "bucket").withColumn("j", block("blocks")).withColumn("i", every("outs"))
+    key, columns = ["bucket", "i", "j"], ["bucket", "i", "j", "c", "component", "text"]
+    new = [F.col(x).alias(x) for x in columns]  # both sides come from one table
+    two = [x.select(*columns[:5]).join(texts, "c").select(*new).groupBy(*key) for x in (left, right)]
+    return two[0].cogroup(two[1]).applyInPandas(lambda x, y: block_links(x, y), "a bigint, b bigint").distinct()
 
 
 def distinct_rows(spark, documents: DataFrame) -> DataFrame:
