@@ -43,6 +43,7 @@ LOOKS_LIKE = {
     "а": "a", "в": "b", "е": "e", "і": "i", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c",
     "т": "t", "у": "y", "х": "x", "α": "a", "ε": "e", "ι": "i", "ο": "o", "ρ": "p", "τ": "t", "υ": "u",
 }
+LOOKS = frozenset(LOOKS_LIKE)
 # natural log costs of the channel
 SAME, LOOK, DROP, KEEP, REPEAT, END = 0.0, 1.0, 0.6, 6.0, 0.7, 1.5
 
@@ -143,34 +144,41 @@ class Restorer:
         self.model = model
         self.seen: dict[str, tuple[str, ...]] = {}
 
+    def spell(self, t: str) -> tuple[str, ...]:
+        """The words of a token."""
+        core = t.strip(EDGE)
+        if core.isalpha() and not RUN.search(core) and len(core) > 1 and LOOKS.isdisjoint(core):
+            at = t.index(core)
+            if len(t) > len(core) and not LOOKS.isdisjoint(t[:at] + t[at + len(core) :].rstrip("!")):
+                return (core, *(x for x in restore(self.model, t).split() if x != core))
+            return (core,)
+        if not any(c.isalnum() or c in LOOKS for c in t):
+            return ()
+        return tuple(restore(self.model, t).split())
+
     def token(self, t: str) -> tuple[str, ...]:
         if (w := self.seen.get(t)) is None:
             if len(self.seen) > CACHE_TOKENS:
                 self.seen.clear()
-            core = t.strip(EDGE)
-            if core.isalpha() and not RUN.search(core) and len(core) > 1 and not any(c in LOOKS_LIKE for c in core):
-                w = (core,)
-                if len(t) > len(core) and any(c in LOOKS_LIKE for c in t[: t.index(core)] + t[t.index(core) + len(core) :].rstrip("!")):
-                    w = (core, *(x for x in restore(self.model, t).split() if x != core))
-            elif not any(c.isalnum() or c in LOOKS_LIKE for c in t) or not t:
-                w = ()
-            else:
-                w = tuple(restore(self.model, t).split())
-            self.seen[t] = w
+            w = self.seen[t] = self.spell(t)
         return w
 
-    def spaced(self, text: str) -> list[str]:
-        """Words spelt out in single characters."""
+    def spaced(self, text: str, tokens: list[str]) -> list[str]:
+        """Words spelt out in single characters, over several tokens."""
+        if sum([len(t) == 1 or not t[1].isalnum() for t in tokens]) < 2:
+            return []
         return [x for m in SPACED.finditer(text) for x in restore(self.model, m[0]).split() if len(x) > 2]
 
     def sequence(self, text: str) -> list[str]:
         text = text.lower()
-        return [w for t in text.split() for w in self.token(t)] + self.spaced(text)
+        tokens = text.split()
+        return [w for t in tokens for w in self.token(t)] + self.spaced(text, tokens)
 
     def distinct(self, text: str) -> set[str]:
         text = text.lower()
-        out = set(self.spaced(text))
-        for t in set(text.split()):
+        tokens = text.split()
+        out = set(self.spaced(text, tokens))
+        for t in set(tokens):
             out.update(self.token(t))
         return out
 
@@ -288,18 +296,25 @@ def _evidence(s: Scratch, train: DataFrame, model: CharModel) -> dict[str, float
     return out
 
 
-def _vector(r: Restorer, memo: dict[str, float], evidence: dict[str, float], text: str) -> tuple[float, float, float]:
-    """The strongest, the second strongest and the summed evidence of a text's words."""
-    found = []
-    for w in r.distinct(text):
-        v = memo.get(w)
+def _vector(r: Restorer, memo: dict[str, tuple], evidence: dict[str, float], text: str) -> tuple[float, float, float]:
+    """The strongest, the second strongest and the summed evidence of a text's words. ``memo`` keeps the
+    words with evidence of each token seen."""
+
+    def weighed(words) -> tuple:
+        return tuple((w, v) for w in words if (v := max([evidence.get(f, 0.0) for f in word_features(w)])) > 0)
+
+    text = text.lower()
+    tokens = text.split()
+    if len(memo) > CACHE_TOKENS:
+        memo.clear()
+    words: dict[str, float] = dict(weighed(r.spaced(text, tokens)))
+    for t in set(tokens):
+        v = memo.get(t)
         if v is None:
-            if len(memo) > CACHE_TOKENS:
-                memo.clear()
-            v = memo[w] = max([evidence.get(f, 0.0) for f in word_features(w)])
+            v = memo[t] = weighed(r.spell(t))
         if v:
-            found.append(v)
-    found.sort(reverse=True)
+            words.update(v)
+    found = sorted(words.values(), reverse=True)
     return (found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0, min(sum(found), 30.0))
 
 
