@@ -54,6 +54,36 @@ SELECT doc_id, size, source_size, target, source,
 FROM c
 """
 
+# bytes as hexadecimal digits: two characters a byte, 100 a window
+OP9 = """
+WITH d AS (
+    SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx FROM documents
+), n AS (
+    SELECT *, length(hx) // 2 AS n_bytes FROM d
+), w AS (
+    SELECT doc_id, unnest(range(n_bytes - 49)) AS i, hx FROM n WHERE n_bytes >= 50
+), s AS (
+    SELECT doc_id, i, substr(hx, 2 * i + 1, 100) AS s FROM w
+), f AS (
+    SELECT s, min(doc_id) AS first FROM s GROUP BY s
+), c AS (
+    SELECT s.doc_id, i, lag(i) OVER (PARTITION BY s.doc_id ORDER BY i) AS before FROM s JOIN f USING (s) WHERE first < s.doc_id
+), g AS (
+    SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM c
+), r AS (
+    SELECT doc_id, run, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY doc_id, run
+), q AS (
+    SELECT *, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY run), 0) AS from_b FROM r
+), k AS (
+    SELECT doc_id, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS last_b,
+           string_agg(substr(hx, 2 * from_b + 1, 2 * (a - from_b)), '' ORDER BY run) AS head
+    FROM q JOIN n USING (doc_id) GROUP BY doc_id
+)
+SELECT n.doc_id, n_bytes::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(hx, 2 * coalesce(last_b, 0) + 1))) AS kept_sha256
+FROM n LEFT JOIN k USING (doc_id)
+"""
+
 HASH = "('0x' || substr(md5({}), 1, 8))::BIGINT"
 AT_HASH = HASH.format("'at:' || k || ':' || pattern")
 
@@ -100,4 +130,4 @@ SELECT page_id, host, fetched_at, coalesce(action = 'block', false) AS blocked,
 FROM caps LEFT JOIN best USING (cap)
 """
 
-ORACLE_SQL = {"op1_url_filter": OP1, "op3_radix_dedup": OP3, "op5_mixing": OP5}
+ORACLE_SQL = {"op1_url_filter": OP1, "op3_radix_dedup": OP3, "op5_mixing": OP5, "op9_suffix_dedup": OP9}
