@@ -23,11 +23,6 @@ def f32_col(col: Column) -> Column:
     return col.cast("float")
 
 
-def sql_float(value: float) -> str:
-    """The same float32 literal in SQL text (DuckDB and Spark SQL)."""
-    return f"CAST({f32(value)!r} AS FLOAT)"
-
-
 def require_positive_finite(name: str, value: float) -> float:
     value = f32(value)
     if not math.isfinite(value) or value <= 0.0:

@@ -9,8 +9,6 @@ result rounded to float equals the float32 quotient) followed by ``floor``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
-from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -43,31 +41,9 @@ def distance(x1: Column | str, y1: Column | str, x2: Column | str, y2: Column |
     return F.sqrt(dx * dx + dy * dy).cast("float")
 
 
-def sql_float_literal(v: float) -> str:
-    """An exact float32 literal in Spark SQL text."""
-    return f"CAST(CAST('{f32(v)!r}' AS DOUBLE) AS FLOAT)"
-
-
 def sql_distance(x1: str, y1: str, x2: str, y2: str) -> str:
     """The same distance in SQL text."""
     return (
         f"CAST(sqrt(CAST(({x1}) - ({x2}) AS DOUBLE) * CAST(({x1}) - ({x2}) AS DOUBLE)"
         f" + CAST(({y1}) - ({y2}) AS DOUBLE) * CAST(({y1}) - ({y2}) AS DOUBLE)) AS FLOAT)"
     )
-
-
-def offsets(reach: int) -> Iterator[tuple[int, int]]:
-    """All cell offsets (di, dj) with |di|, |dj| <= reach."""
-    for di in range(-reach, reach + 1):
-        for dj in range(-reach, reach + 1):
-            yield di, dj
-
-
-@lru_cache(maxsize=None)
-def offsets_sql(reach: int, skip_inner: int | None = None) -> str:
-    items = ", ".join(
-        f"named_struct('di', CAST({di} AS BIGINT), 'dj', CAST({dj} AS BIGINT))"
-        for di, dj in offsets(reach)
-        if skip_inner is None or max(abs(di), abs(dj)) > skip_inner
-    )
-    return f"array({items})"

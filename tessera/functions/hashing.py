@@ -22,23 +22,3 @@ def uniform(pos: Column | str, tag: str, seed: int) -> Column:
         )
     key = F.concat(F.lit(f"{tag}:{seed}:"), pos.cast("string"))
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint").cast("double") / F.lit(TWO_32)
-
-
-def sql_uniform(pos: str, tag: str, seed: int) -> str:
-    return (
-        f"(CAST(('0x' || substr(md5('{tag}:{seed}:' || CAST({pos} AS VARCHAR)), 1, 8)) AS BIGINT)"
-        f" / {TWO_32!r})"
-    )
-
-
-def uniform_numpy(pos, tag: str, seed: int):
-    """The same uniform for a numpy array of positions (used inside pandas functions)."""
-    import hashlib
-
-    import numpy as np
-
-    prefix = f"{tag}:{seed}:".encode()
-    out = np.empty(len(pos), dtype=np.float64)
-    for k, p in enumerate(pos):
-        out[k] = int(hashlib.md5(prefix + str(int(p)).encode()).hexdigest()[:8], 16) / TWO_32
-    return out

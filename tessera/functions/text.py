@@ -34,16 +34,3 @@ def space_tokens(line: Column) -> Column:
 def utf16_length(s: Column) -> Column:
     """Length in UTF-16 code units (Java ``String.length``)."""
     return (F.octet_length(F.encode(s, "UTF-16BE")) / 2).cast("bigint")
-
-
-SQL_SPLIT_LINES = (
-    "CASE WHEN {t} = '' THEN CAST([] AS VARCHAR[]) "
-    "WHEN suffix({t}, chr(10)) OR suffix({t}, chr(13)) "
-    "THEN string_split_regex({t}, '\\r\\n|\\n|\\r')[1:-2] "
-    "ELSE string_split_regex({t}, '\\r\\n|\\n|\\r') END"
-)
-
-SQL_SPACE_TOKENS = (
-    "CASE WHEN {l} = '' THEN [''] WHEN rtrim({l}, ' ') = '' THEN CAST([] AS VARCHAR[]) "
-    "ELSE string_split(rtrim({l}, ' '), ' ') END"
-)

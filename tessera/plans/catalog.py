@@ -4,9 +4,9 @@ Bindings (fixed values of the query set):
 
 * PTS  = embeddings: id = vec_id, (x, y) = the first two components; D = 0.05, M = 5, top K = 10;
   k-center with K = 4 centers and L = 3 parts.
-* ORD  = orders: id = o_orderkey, x = totalprice / 1000, y = days since 1992-01-01; D = 5, M = 5.
+* ORD  = orders: id = o_orderkey, x = totalprice / 1000, y = days since 1992-01-01; D = 14, M = 5.
 * LI   = lineitem: x = extendedprice / 1000, y = quantity, folded to weighted distinct points;
-  D = 0.1, M = 7.
+  D = 0.4, M = 7.
 * DOCS = documents.text split to lines; salted word counts with 8 salts.
 * ITEMS = events: pos = event_id, item = user_id; with N rows, n = N, phi = 75/N, epsilon = 15/N,
   delta = 0.1. Only the two prefix queries, whose feature it is, take a prefix: n = 0.8 N.
@@ -38,8 +38,8 @@ from tessera.sources.text import doc_lines
 # fixed values of the query bindings
 PTS_D, PTS_M, PTS_TOPK = 0.05, 5, 10
 KC_K, KC_L = 4, 3
-ORD_D, ORD_M = 5.0, 5
-LI_D, LI_M = 0.1, 7
+ORD_D, ORD_M = 14.0, 5  # a seventh of the points are outliers at 15,000 orders
+LI_D, LI_M = 0.4, 7  # a fifth at 60,000 lines
 WORD_SALTS = 8
 ITEMS_SEED = 42
 

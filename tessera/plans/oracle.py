@@ -7,10 +7,10 @@ an independent check of the Spark plans. Float32 constants are inlined exactly.
 
 from __future__ import annotations
 
-from tessera.functions.floats import f32, sql_float
-from tessera.functions.geometry import SQRT8, cell_side, sql_distance
-from tessera.functions.hashing import sql_uniform
-from tessera.functions.text import SQL_SPACE_TOKENS, SQL_SPLIT_LINES
+import math
+
+import numpy as np
+
 from tessera.operators.frequency import (
     TAG_RESERVOIR_ACCEPT,
     TAG_RESERVOIR_SLOT,
@@ -18,6 +18,44 @@ from tessera.operators.frequency import (
 )
 from tessera.plans import catalog as C
 
+# ---- expressions, written out here and not taken from the engine -------------------------------
+
+SQRT8 = 2.0 * math.sqrt(2.0)
+
+SQL_SPLIT_LINES = (
+    "CASE WHEN {t} = '' THEN CAST([] AS VARCHAR[]) "
+    "WHEN suffix({t}, chr(10)) OR suffix({t}, chr(13)) "
+    "THEN string_split_regex({t}, '\\r\\n|\\n|\\r')[1:-2] "
+    "ELSE string_split_regex({t}, '\\r\\n|\\n|\\r') END"
+)
+
+SQL_SPACE_TOKENS = (
+    "CASE WHEN {l} = '' THEN [''] WHEN rtrim({l}, ' ') = '' THEN CAST([] AS VARCHAR[]) "
+    "ELSE string_split(rtrim({l}, ' '), ' ') END"
+)
+
+
+def f32(value: float) -> float:
+    return float(np.float32(value))
+
+
+def sql_float(value: float) -> str:
+    return f"CAST({f32(value)!r} AS FLOAT)"
+
+
+def cell_side(d: float) -> float:
+    return f32(f32(d) / SQRT8)
+
+
+def sql_distance(x1: str, y1: str, x2: str, y2: str) -> str:
+    return f"CAST(sqrt(pow(CAST({x1} - {x2} AS DOUBLE), 2) + pow(CAST({y1} - {y2} AS DOUBLE), 2)) AS FLOAT)"
+
+
+def sql_uniform(pos: str, tag: str, seed: int) -> str:
+    """The first 32 bits of md5('tag:seed:pos') over 2^32."""
+    return f"(CAST(('0x' || left(md5('{tag}:{seed}:' || {pos}::VARCHAR), 8)) AS BIGINT) / 4294967296.0::DOUBLE)"
+
+
 # ---- inputs ----------------------------------------------------------------------------------
 
 PTS = "pts AS (SELECT vec_id AS id, embedding[1] AS x, embedding[2] AS y, CAST(1 AS BIGINT) AS w FROM embeddings)"

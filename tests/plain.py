@@ -1,5 +1,6 @@
 """Sequential float32 versions of the point operators, for expected values."""
 
+import hashlib
 import math
 from collections import Counter
 
@@ -52,3 +53,8 @@ def three_rounds(points, k, parts):
         own = points[part::parts]
         core += [own[i] for i in farthest_first(own, k)]
     return [core[i] for i in farthest_first(core, k)]
+
+
+def uniforms(positions, tag, seed):
+    digest = lambda p: hashlib.md5(f"{tag}:{seed}:{int(p)}".encode()).hexdigest()
+    return np.array([int(digest(p)[:8], 16) / 2.0**32 for p in positions])

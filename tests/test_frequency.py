@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from tessera.functions.hashing import uniform_numpy
+from plain import uniforms
 from tessera.operators import frequency as Q
 from tessera.sources.items import items_from_events
 
@@ -25,9 +25,9 @@ def _sequential(pdf, p: Q.FrequencyParams):
     """The sequential loops over the stream prefix with the same uniforms."""
     pdf = pdf[pdf.pos < p.n].sort_values("pos")
     pos, items = pdf.pos.to_numpy(), pdf.item.to_numpy()
-    u1 = uniform_numpy(pos, Q.TAG_RESERVOIR_ACCEPT, p.seed)
-    u2 = uniform_numpy(pos, Q.TAG_RESERVOIR_SLOT, p.seed)
-    us = uniform_numpy(pos, Q.TAG_STICKY_ACCEPT, p.seed)
+    u1 = uniforms(pos, Q.TAG_RESERVOIR_ACCEPT, p.seed)
+    u2 = uniforms(pos, Q.TAG_RESERVOIR_SLOT, p.seed)
+    us = uniforms(pos, Q.TAG_STICKY_ACCEPT, p.seed)
     sample, sticky = [], {}
     for k, (t, it) in enumerate(zip(pos, items)):
         if len(sample) < p.m:
