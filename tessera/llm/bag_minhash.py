@@ -209,22 +209,24 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     one, two = small.select("bucket", F.col("c").alias("a")), small.select("bucket", F.col("c").alias("b"))
     pairs = one.join(two, "bucket").filter("a < b").select("a", "b").distinct()
     links = s.keep(verified(pairs, texts))
+    group = None
     if not big.isEmpty():
-        left, tried = big, None
+        left = big
         for probe in range(PROBES):
             asked = left.filter("c <> pivot").select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
-            asked = s.keep(asked if tried is None else asked.join(tried, ["a", "b"], "left_anti"))
-            tried = asked if tried is None else s.keep(tried.unionByName(asked))
             new = s.keep(verified(asked, texts))
-            links = s.keep(links.unionByName(new))
+            links = links.unionByName(new)
             if probe + 1 < PROBES:
                 left = s.keep(_unreached(left, new, probe + 1))
                 if left.isEmpty():
                     break
-        members = s.keep(_labelled(s, big, links))
-        if not members.isEmpty():
-            links = s.keep(links.unionByName(_across(s, members, texts)))
-    group = components(s, links, "a", "b")
+        group = s.keep(components(s, links, "a", "b"))
+        members = s.keep(_labelled(s, big, group))
+        links = s.keep(_across(s, members, texts)) if not members.isEmpty() else None
+        if links is not None and not links.isEmpty():  # join the components found so far
+            group = components(s, links.unionByName(group.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
+    if group is None:
+        group = components(s, links, "a", "b")
     per_class = classes.select("key", "c", "text_id", "n").join(group.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "component", F.coalesce("component", "c")
     )
@@ -256,10 +258,9 @@ def _unreached(left: DataFrame, new: DataFrame, probe: int) -> DataFrame:
     return rest.join(pivots, "bucket")
 
 
-def _labelled(s: Scratch, big: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(s: Scratch, big: DataFrame, group: DataFrame) -> DataFrame:
     """Members of large buckets with their component, and with ``main``, the component that most
     members of the bucket are in; only buckets of several components."""
-    group = s.keep(components(s, links, "a", "b"))
     rows = s.keep(big.join(group.withColumnRenamed("node", "c"), "c", "left").select(
         "bucket", "c", F.coalesce("component", "c").alias("component")))
     count = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
