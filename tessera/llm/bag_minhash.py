@@ -14,10 +14,12 @@ together in numpy.
 
 Search. Texts of equal words are one class, and only classes go on. Signatures are cut into bands;
 classes that agree in a band share a bucket. Buckets of up to ``PAIR_BUCKET`` classes give all their
-pairs. Larger ones are first probed in rounds, each from one of the members that no probe has reached
-yet: what verifies is linked, so a group of thousands of near copies collapses after a few probes of
-linear size. Then each member outside its bucket's largest component is compared with all members of other
-components, so that no link between components is missed. Pairs are verified on the whole texts.
+pairs. Larger ones are first probed from one member each: what verifies is linked, and as near copies
+share many buckets, each with its own probe, linear work makes most of thousands of near copies one
+component. Then each member outside its bucket's largest component is held against all members of
+other components, so that no link between components is missed: in blocks of members, whose shingles'
+postings give the overlaps with a block at once, not pair by pair. All similarities are exact, on the
+whole texts.
 """
 
 from __future__ import annotations
@@ -37,7 +39,6 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 25, 5  # a pair of similarity 0.8 shares no band with probability 5e-5
 PAIR_BUCKET = 32
-PROBES = 2
 OUT_BLOCK, MEMBER_BLOCK = 128, 512  # texts of the two sides of a block
 BATCH_BYTES = 1 << 21
 
@@ -211,15 +212,8 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     links = s.keep(verified(pairs, texts))
     group = None
     if not big.isEmpty():
-        left = big
-        for probe in range(PROBES):
-            asked = left.filter("c <> pivot").select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
-            new = s.keep(verified(asked, texts))
-            links = links.unionByName(new)
-            if probe + 1 < PROBES:
-                left = s.keep(_unreached(left, new, probe + 1))
-                if left.isEmpty():
-                    break
+        asked = big.filter("c <> pivot").select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
+        links = links.unionByName(s.keep(verified(asked, texts)))
         group = s.keep(components(s, links, "a", "b"))
         members = s.keep(_labelled(s, big, group))
         links = s.keep(_across(s, members, texts)) if not members.isEmpty() else None
@@ -249,15 +243,6 @@ def _of_key(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, texts.schema)
 
 
-def _unreached(left: DataFrame, new: DataFrame, probe: int) -> DataFrame:
-    """Members that their bucket's pivot isn't linked to, with a new pivot among them."""
-    ends = new.unionByName(new.select(F.col("b").alias("a"), F.col("a").alias("b"))).select(
-        F.col("a").alias("pivot"), F.col("b").alias("c"), F.lit(True).alias("linked"))
-    rest = left.filter("c <> pivot").join(ends, ["pivot", "c"], "left").filter("linked is null").select("bucket", "c")
-    pivots = rest.groupBy("bucket").agg(F.min_by("c", F.xxhash64("c", F.lit(probe))).alias("pivot"))
-    return rest.join(pivots, "bucket")
-
-
 def _labelled(s: Scratch, big: DataFrame, group: DataFrame) -> DataFrame:
     """Members of large buckets with their component, and with ``main``, the component that most
     members of the bucket are in; only buckets of several components."""
