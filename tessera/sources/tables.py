@@ -17,16 +17,13 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
 
 
-def balanced(df: DataFrame, *keys: str) -> DataFrame:
+def balanced(df: DataFrame) -> DataFrame:
     """Spread rows over the session's cores when the scan yields fewer partitions than cores.
 
     A small input (here a single parquet row group) is read by one task, and every map-side step
     after it -- tokenising, the grid fan-out, hashing -- would run on one core. Large inputs have
-    at least as many splits as cores and pass through unchanged, so this adds no shuffle at scale.
-    With ``keys`` the rows are hash-partitioned by them, so a later aggregation grouped by a
-    superset of the keys needs no exchange of its own.
+    at least as many splits as cores and pass through unchanged, so this adds no shuffle at scale;
+    the rows are the same either way.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() < target:
-        return df.repartition(target, *keys) if keys else df.repartition(target)
-    return df
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
