@@ -195,10 +195,9 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     # whole texts of the classes that share a bucket, one row each; a merge join at every size, as what
     # is wanted grows with the documents
     wanted = shared.select("c").distinct().join(classes.select("c", "key", "text_id"), "c")
-    holders = s.keep(wanted)
     docs = documents.select(F.col("doc_id"), text_column(documents).alias("text"))
     texts = s.keep(
-        docs.join(holders.hint("merge"), F.col("doc_id").eqNullSafe(F.col("text_id"))).select("c", "key", "text")
+        docs.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("text_id"))).select("c", "key", "text")
     )
     # an id may belong to several texts: only the one with the class's words stands for it
     repeated = texts.groupBy("c").count().filter("count > 1").limit(1).count() > 0
@@ -266,8 +265,9 @@ def elements(text: str) -> np.ndarray:
 
 
 def block_links(out: pd.DataFrame, members: pd.DataFrame, least: float = SIMILAR) -> pd.DataFrame:
-    """The pairs of ``out`` and ``members`` (c, component, text) between components that have at least
-    that similarity."""
+    """Links of ``out`` to ``members`` (c, component, text): for each text of ``out`` one link to every
+    other component that has a member of at least that similarity -- further links into the same
+    component join nothing more."""
     found = []
     if len(out) and len(members):
         sets = [elements(t) for t in members["text"]]
@@ -284,7 +284,8 @@ def block_links(out: pd.DataFrame, members: pd.DataFrame, least: float = SIMILAR
             shared = np.bincount(held[at], minlength=len(sets))
             total = sizes + len(e) - shared
             near = np.flatnonzero((shared >= least * total) & (total > 0) & (component != own))
-            found += [(min(x, y), max(x, y)) for y in c[near].tolist()]
+            _, one = np.unique(component[near], return_index=True)
+            found += [(min(x, y), max(x, y)) for y in c[near[one]].tolist()]
     return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 

@@ -38,7 +38,7 @@ def components(s: Scratch, edges: DataFrame, a: str, b: str) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         mins = _minima(s, both)
         large = s.keep(
-            both.filter("v > u").join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+            both.filter("v > u").join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         )
         s.drop(e, mins)
         # small star: u and its smaller neighbours are linked to the least of them
