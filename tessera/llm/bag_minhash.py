@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.components import components
+from tessera.llm.components import TASK_ROWS, components
 from tessera.llm.scratch import Scratch, text_column
 
 WORDS = 5
@@ -188,10 +188,12 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
         signed.groupBy("key").agg(F.min("doc_id").alias("text_id"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
         .withColumn("c", F.monotonically_increasing_id())
     )
-    in_bucket = s.keep(classes.select("c", F.explode("bands").alias("bucket")))
-    sizes = s.keep(in_bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("pivot")).filter("size > 1"))
-    shared = s.keep(in_bucket.join(sizes, "bucket"))
-    s.drop(in_bucket, sizes)
+    n = classes.count()
+    few = n // TASK_ROWS + 1  # tasks that write a table of at most a row per class; files stay of some size
+    in_bucket = classes.select("c", F.explode("bands").alias("bucket"))
+    sizes = s.keep(in_bucket.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("c").alias("pivot")).filter("size > 1").coalesce(few * 4))
+    shared = s.keep(in_bucket.join(sizes, "bucket").coalesce(few * 4))
+    s.drop(sizes)
     # whole texts of the classes that share a bucket, one row each; a merge join at every size, as what
     # is wanted grows with the documents
     wanted = shared.select("c").distinct().join(classes.select("c", "key", "text_id"), "c")
@@ -205,7 +207,7 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
         texts = s.keep(_of_key(texts).dropDuplicates(["c"]).select("c", "text"))
     else:
         texts = texts.select("c", "text")
-    small, big = shared.filter(f"size <= {PAIR_BUCKET}"), s.keep(shared.filter(f"size > {PAIR_BUCKET}").select("bucket", "c", "pivot"))
+    small, big = shared.filter(f"size <= {PAIR_BUCKET}"), s.keep(shared.filter(f"size > {PAIR_BUCKET}").select("bucket", "c", "pivot").coalesce(few))
     one, two = small.select("bucket", F.col("c").alias("a")), small.select("bucket", F.col("c").alias("b"))
     pairs = one.join(two, "bucket").filter("a < b").select("a", "b").distinct()
     links = s.keep(verified(pairs, texts))
@@ -213,8 +215,8 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     if not big.isEmpty():
         asked = big.filter("c <> pivot").select(F.least("c", "pivot").alias("a"), F.greatest("c", "pivot").alias("b")).distinct()
         links = links.unionByName(s.keep(verified(asked, texts)))
-        group = s.keep(components(s, links, "a", "b"))
-        members = s.keep(_labelled(s, big, group))
+        group = s.keep(components(s, links, "a", "b").coalesce(few))
+        members = s.keep(_labelled(s, big, group, few).coalesce(few))
         links = s.keep(_across(s, members, texts)) if not members.isEmpty() else None
         if links is not None and not links.isEmpty():  # join the components found so far
             group = components(s, links.unionByName(group.select(F.col("node").alias("a"), F.col("component").alias("b"))), "a", "b")
@@ -223,9 +225,9 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     per_class = classes.select("key", "c", "text_id", "n").join(group.withColumnRenamed("node", "c"), "c", "left").withColumn(
         "component", F.coalesce("component", "c")
     )
-    per_class = s.keep(per_class)
-    heads = s.keep(per_class.groupBy("component").agg(F.min("text_id").alias("class_id"), F.sum("n").alias("group_size")))
-    known = s.keep(per_class.join(heads, "component").select("key", "text_id", "component", "class_id", "group_size"))
+    per_class = s.keep(per_class.coalesce(few))
+    heads = s.keep(per_class.groupBy("component").agg(F.min("text_id").alias("class_id"), F.sum("n").alias("group_size")).coalesce(few))
+    known = s.keep(per_class.join(heads, "component").select("key", "text_id", "component", "class_id", "group_size").coalesce(few))
     out = signed.select("doc_id", "key").join(known, "key")
     again = Window.partitionBy("doc_id", "component").orderBy("key")
     first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.row_number().over(again) == 1)
@@ -242,14 +244,14 @@ def _of_key(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, texts.schema)
 
 
-def _labelled(s: Scratch, big: DataFrame, group: DataFrame) -> DataFrame:
+def _labelled(s: Scratch, big: DataFrame, group: DataFrame, few: int) -> DataFrame:
     """Members of large buckets with their component, and with ``main``, the component that most
     members of the bucket are in; only buckets of several components."""
     rows = s.keep(big.join(group.withColumnRenamed("node", "c"), "c", "left").select(
-        "bucket", "c", F.coalesce("component", "c").alias("component")))
+        "bucket", "c", F.coalesce("component", "c").alias("component")).coalesce(few))
     count = rows.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     mains = s.keep(
-        count.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+        count.groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").coalesce(few)
     )
     return rows.join(mains, "bucket")
 

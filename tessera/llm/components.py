@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch
 
+TASK_ROWS = 100_000  # rows of a written table that one task holds at least
 
-def _minima(s: Scratch, both: DataFrame) -> DataFrame:
-    return s.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
+
+def _minima(s: Scratch, both: DataFrame, few: int) -> DataFrame:
+    return s.keep(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")).coalesce(few))
 
 
 def _is_forest_of_stars(edges: DataFrame) -> bool:
@@ -33,20 +35,21 @@ def components(s: Scratch, edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     u, v = F.greatest(a, b).cast("bigint"), F.least(a, b).cast("bigint")
     e = s.keep(edges.select(u.alias("u"), v.alias("v")).filter("u <> v").distinct())
+    few = e.count() // TASK_ROWS + 1  # tasks that write a round's tables, which hold about as many rows
     while not _is_forest_of_stars(e):
         # large star: each larger neighbour of u is linked to the least of u's neighbourhood
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        mins = _minima(s, both)
+        mins = _minima(s, both, few)
         large = s.keep(
-            both.filter("v > u").join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            both.filter("v > u").join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(few)
         )
         s.drop(e, mins)
         # small star: u and its smaller neighbours are linked to the least of them
-        mins = _minima(s, large)
+        mins = _minima(s, large, few)
         small = large.join(mins, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             mins.select("u", F.col("m").alias("v"))
         )
-        e = s.keep(small.filter("u <> v").distinct())
+        e = s.keep(small.filter("u <> v").distinct().coalesce(few))
         s.drop(large, mins)
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
