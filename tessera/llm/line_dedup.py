@@ -1,10 +1,13 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
 Documents of equal lines are one class, whose first document stands for it; the others repeat it as a
-whole. Two classes overlap when they share a line. Candidate pairs come from the hashes of lines that
-several classes hold: a rare line (in at most ``RARE`` classes) pairs all its holders; a more frequent
-one pairs each later holder with the first, so that a line that a third of all documents hold gives a
-pair per document, not the square of them, and still every repeated line has a pair that shows it.
+whole. Two classes overlap when they share a line, and every pair that overlaps is judged. A rare line
+(in at most ``RARE`` classes) pairs its holders, and these pairs are aligned as they are. A pair that
+shares frequent lines only is aligned the same way when all other lines are taken out of it: the form
+of a class is its frequent lines, with one mark for each run of other lines. A line that a third of
+all documents hold has many holders and few forms; pairs of forms are aligned, and what a pair of
+forms has in common holds for all their members. Which members are earlier is counted, not paired: by
+(form, slice of the order), and inside a slice by going through its members.
 
 Each pair is aligned by patience diff: common heads and tails first, then the lines that are unique in
 both documents, in the longest order they share, then the same between two such anchors. Aligned runs
@@ -16,12 +19,14 @@ splits, and only the texts that lose lines are rebuilt.
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch, text_column
@@ -29,6 +34,8 @@ from tessera.llm.scratch import Scratch, text_column
 RARE = 16
 MIN_CHARS = 24
 BLANK = 0  # the hash of a line without characters
+OTHER = -1  # in a form: lines that aren't frequent
+SLICE = 2048  # members of forms that one task goes through in order
 
 
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -85,6 +92,21 @@ def common_lines(a: list[int], b: list[int], chars: list[int], least: int = MIN_
     return out
 
 
+def form_of(hashes: list[int], frequent: set[int]) -> list[int]:
+    """Positions of the lines that a class's form keeps, one of each run of other lines negated and
+    less 1. Blank lines between two other lines of a run can't be matched and belong to the run."""
+    out, start = [], 0
+    for end in [*(i for i, h in enumerate(hashes) if h in frequent), len(hashes)]:
+        filled = [i for i in range(start, end) if hashes[i] != BLANK]
+        if filled:
+            out += [*range(start, filled[0]), -filled[0] - 1, *range(filled[-1] + 1, end)]
+        else:
+            out += range(start, end)
+        out += [end] * (end < len(hashes))
+        start = end + 1
+    return out
+
+
 def lines_of(text: str) -> list[str]:
     return text.split("\n")
 
@@ -94,6 +116,98 @@ def _bare(line: Column) -> Column:
     return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
 
 
+def _frequent(s: Scratch, classes: DataFrame, common: DataFrame, pairs: DataFrame, aligned) -> tuple[DataFrame, DataFrame]:
+    """``(b, at)`` and ``(b, n)``: lines lost to, and the number of, earlier classes that share frequent
+    lines only with b. ``common`` has a row per class and frequent line, ``pairs`` the classes that share a
+    rare line; n is less than 0 where their forms have blocks in common, as they count among the others."""
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for hashes, chars, marks in zip(pdf["hashes"], pdf["chars"], pdf["marks"]):
+                places = form_of(h := hashes.tolist(), set(marks.tolist()))
+                form = [h[i] if i >= 0 else OTHER for i in places]
+                rows.append((hashlib.sha256(np.array(form, np.int64).tobytes()).hexdigest(), form, [int(chars[i]) if i >= 0 else 0 for i in places], places))
+            yield pd.DataFrame(rows, columns=["form", "hashes", "chars", "places"]).assign(x=pdf["c"].to_numpy())
+
+    marks = common.groupBy("c").agg(F.collect_list("h").alias("marks"))  # at most as many as the class has lines
+    formed = s.keep(classes.join(marks, "c").select("c", "hashes", "chars", "marks").mapInPandas(
+        reduce, "x bigint, form string, hashes array<bigint>, chars array<int>, places array<int>"))
+    order = [F.col("text_id").isNull(), F.col("text_id"), F.col("x")]
+    slices = max(1, -(-formed.count() // SLICE))
+    ordered = s.keep(
+        formed.select("x", "form", "places").join(classes.select(F.col("c").alias("x"), "text_id"), "x").repartitionByRange(slices, *order).sortWithinPartitions(*order)
+        .select("x", "form", "places", F.monotonically_increasing_id().alias("o"))
+    )
+    forms = s.keep(
+        formed.groupBy("form").agg(F.first("hashes").alias("hashes"), F.first("chars").alias("chars"))
+        .join(ordered.groupBy("form").agg(F.min("o").alias("lo"), F.max("o").alias("hi")), "form").withColumn("c", F.monotonically_increasing_id())
+    )
+    # x: class, f: form, o: place in the order, k: slice of the order
+    members = s.keep(ordered.join(forms.select("form", F.col("c").alias("f")), "form").select("x", "f", "o", F.shiftright("o", 33).alias("k"), "places"))
+    s.drop(formed, ordered)
+    lines = s.keep(forms.select("c", "lo", "hi", F.explode(F.array_distinct("hashes")).alias("h")).filter(~F.col("h").isin(BLANK, OTHER)))
+    of = lambda c: lines.select("h", F.col("c").alias(c), F.col("lo").alias(f"{c}_lo"), F.col("hi").alias(f"{c}_hi"))
+    alike = s.keep(of("a").join(of("b"), "h").filter("a_lo < b_hi").select("a", "b").distinct())
+    both = aligned(alike, forms)
+    s.drop(lines, alike)
+    counts = s.keep(members.groupBy("f", "k").agg(F.count(F.lit(1)).alias("n")))
+
+    # pairs of a rare line are judged by all their lines and don't count here
+    side = lambda c: members.select(F.col("x").alias(c), F.col("f").alias(f"f{c}"))
+    known = s.keep(pairs.join(side("a"), "a").join(side("b"), "b").join(both.select(F.col("a").alias("fa"), F.col("b").alias("fb"), "at"), ["fa", "fb"]))
+    without = s.keep(known.groupBy("b", "fa").agg(F.count(F.lit(1)).alias("r"), F.first("at").alias("at")))
+
+    # lines: of each line of a form, the forms that show it, by their first members; a member takes the
+    # first form that none of its known pairs is in, and of forms with known pairs the first other member
+    shown = both.select(F.col("a").alias("fa"), F.col("b").alias("f"), F.explode("at").alias("p")).join(
+        forms.select(F.col("c").alias("fa"), "lo"), "fa")
+    shown = s.keep(shown.withColumn("j", F.row_number().over(Window.partitionBy("f", "p").orderBy("lo"))))
+    skip = without.groupBy(F.col("b").alias("x")).agg(F.collect_list("fa").alias("skip"))
+    asked = members.join(skip, "x", "left").withColumn("skip", F.coalesce("skip", F.array().cast("array<bigint>")))
+    plain = (
+        asked.withColumn("j", F.explode(F.sequence(F.lit(1), F.size("skip") + 1))).join(shown, ["f", "j"])
+        .filter((F.col("lo") < F.col("o")) & ~F.array_contains("skip", F.col("fa"))).select("x", "p")
+    )
+    before = Window.partitionBy("f").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    start = counts.select("f", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
+    ranks = members.select("f", "k", "o", F.row_number().over(Window.partitionBy("f", "k").orderBy("o")).alias("r")).join(start, ["f", "k"]).select(
+        F.col("f").alias("fa"), F.col("o").alias("ao"), (F.col("r") + F.col("n") - 1).alias("r"))
+    other = (
+        without.join(ranks, ["fa", "r"]).join(members.select(F.col("x").alias("b"), "o"), "b").filter("ao < o")
+        .select(F.col("b").alias("x"), F.explode("at").alias("p"))
+    )
+    lost = plain.unionByName(other).distinct().join(members.select("x", "places"), "x")
+    lost = s.keep(lost.select(F.col("x").alias("b"), F.element_at("places", F.col("p") + 1).alias("at")))
+
+    # partners: members of earlier slices by (form, slice), those of the own slice in order
+    each = both.select(F.col("a").alias("f"), "b").join(counts, "f").select(F.col("b").alias("f"), "k", "n")
+    earlier = each.unionByName(counts.select("f", "k", F.lit(0).cast("bigint").alias("n"))).groupBy("f", "k").agg(F.sum("n").alias("n"))
+    earlier = earlier.select("f", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
+    here = lambda c: counts.select(F.col("f").alias(c), F.col("k").alias(f"k{c}"))
+    inside = both.select("a", "b").join(here("a"), "a").join(here("b"), "b").filter("ka = kb").select("a", "b", F.col("ka").alias("k"))
+
+    def passed(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        left = left.sort_values("o")
+        at, names = pd.factorize(left["f"])
+        index = pd.Index(names)
+        a, b = index.get_indexer(right["a"]), index.get_indexer(right["b"])
+        by = np.argsort(b, kind="stable")
+        ends = np.searchsorted(b[by], np.arange(len(names) + 1))
+        alike, seen, n = [a[by[x:y]] for x, y in zip(ends, ends[1:])], np.zeros(len(names), np.int64), []
+        for f in at.tolist():
+            n.append(int(seen[alike[f]].sum()))
+            seen[f] += 1
+        return pd.DataFrame({"b": left["x"].to_numpy(), "n": n})
+
+    own = members.select("x", "f", "o", "k").groupBy("k").cogroup(inside.groupBy("k")).applyInPandas(passed, "b bigint, n bigint")
+    n = (
+        own.unionByName(members.join(earlier, ["f", "k"]).select(F.col("x").alias("b"), "n"))
+        .unionByName(without.select("b", (-F.col("r")).alias("n"))).groupBy("b").agg(F.sum("n").alias("n"))
+    )
+    return lost, s.keep(n)
+
+
 def dedup_lines(spark, documents: DataFrame, least: int = MIN_CHARS) -> DataFrame:
     """``(doc_id, n_lines, n_removed, n_partners, kept_text)``, one row per document.
 
@@ -129,25 +243,32 @@ def dedup_lines(spark, documents: DataFrame, least: int = MIN_CHARS) -> DataFram
         rare.select("h", F.col("c").alias("a"), F.col("text_id").alias("a_id"))
         .join(rare.select("h", F.col("c").alias("b"), F.col("text_id").alias("b_id")), "h").filter(order("a") < order("b")).select("a", "b")
     )
-    common = shared.filter(f"n > {RARE}")
-    first = s.keep(common.groupBy("h").agg(F.min(F.struct(F.col("text_id").isNull().alias("x"), "text_id", "c")).alias("first")).select(
-        "h", F.col("first.c").alias("a")))
-    stars = common.select("h", F.col("c").alias("b")).join(first, "h").filter("a <> b").select("a", "b")
-    pairs = s.keep(pairs.unionByName(stars).distinct())
-    one = classes.select(F.col("c").alias("a"), F.col("hashes").alias("lines_a"))
-    two = classes.select(F.col("c").alias("b"), F.col("hashes").alias("lines_b"), "chars")
-    both = pairs.join(two, "b").join(one, "a").select("b", "lines_a", "lines_b", "chars")
+    pairs = s.keep(pairs.distinct())
 
     def align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [common_lines(x.tolist(), y.tolist(), z.tolist(), least) for x, y, z in zip(pdf["lines_a"], pdf["lines_b"], pdf["chars"])]
-            out = pd.DataFrame({"b": pdf["b"], "at": found})
+            found = [
+                common_lines([h if h != OTHER else OTHER - 1 for h in x.tolist()], y.tolist(), z.tolist(), least)
+                for x, y, z in zip(pdf["lines_a"], pdf["lines_b"], pdf["chars"])
+            ]
+            out = pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "at": found})
             yield out[out["at"].map(len) > 0]
 
-    aligned = s.keep(both.mapInPandas(align, "b bigint, at array<int>"))
-    partners = s.keep(aligned.groupBy("b").agg(F.count(F.lit(1)).alias("n_partners")))
+    def aligned(pairs: DataFrame, sides: DataFrame) -> DataFrame:
+        one = sides.select(F.col("c").alias("a"), F.col("hashes").alias("lines_a"))
+        two = sides.select(F.col("c").alias("b"), F.col("hashes").alias("lines_b"), "chars")
+        both = pairs.join(two, "b").join(one, "a").select("a", "b", "lines_a", "lines_b", "chars")
+        return s.keep(both.mapInPandas(align, "a bigint, b bigint, at array<int>"))
+
+    near = aligned(pairs, classes)
+    far_lines, far_partners = _frequent(s, classes, shared.filter(f"n > {RARE}"), pairs, aligned)
+    partners = s.keep(
+        near.groupBy("b").agg(F.count(F.lit(1)).alias("n")).unionByName(far_partners)
+        .groupBy("b").agg(F.sum("n").alias("n_partners"))
+    )
     removed = s.keep(
-        aligned.select("b", F.explode("at").alias("at")).distinct().groupBy("b").agg(F.sort_array(F.collect_list("at")).alias("at"))
+        near.select("b", F.explode("at").alias("at")).unionByName(far_lines).distinct()
+        .groupBy("b").agg(F.sort_array(F.collect_list("at")).alias("at"))
     )  # a list is at most as long as the document
     per_class = s.keep(
         classes.select("key", "c", "text_id", F.aggregate("chars", F.lit(0).cast("bigint"), lambda x, y: x + y).alias("all_chars"))
