@@ -49,7 +49,7 @@ SAME, LOOK, DROP, KEEP, REPEAT, END = 0.0, 1.0, 0.6, 6.0, 0.7, 1.5
 
 EDGE = ".,;:!?\"'()[]{}<>*_~#%&|/\\-–—…“”‘’«»¿¡`^=+$@​‌‍﻿"
 SPACED = re.compile(r"(?<!\w)(?:[\w@$!|+][ \t.\-_*·​]{1,3}){2,}[\w@$!|+](?!\w)")
-RUN = re.compile(r"(.)\1\1")
+DOUBLED = re.compile(r"(.)\1")
 PREFIXES = (4, 5, 6, 7)
 
 
@@ -147,10 +147,12 @@ class Restorer:
     def spell(self, t: str) -> tuple[str, ...]:
         """The words of a token."""
         core = t.strip(EDGE)
-        if core.isalpha() and not RUN.search(core) and len(core) > 1 and LOOKS.isdisjoint(core):
+        if core.isalpha() and len(core) > 1 and LOOKS.isdisjoint(core):
             at = t.index(core)
-            if len(t) > len(core) and not LOOKS.isdisjoint(t[:at] + t[at + len(core) :].rstrip("!")):
-                return (core, *(x for x in restore(self.model, t).split() if x != core))
+            edged = len(t) > len(core) and not LOOKS.isdisjoint(t[:at] + t[at + len(core) :].rstrip("!"))
+            if edged or DOUBLED.search(core) or not core.isascii():
+                # written as it is spelt, or not: both are words of the token
+                return (core, *(x for x in restore(self.model, t if edged else core).split() if x != core))
             return (core,)
         if not any(c.isalnum() or c in LOOKS for c in t):
             return ()

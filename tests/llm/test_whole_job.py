@@ -1,8 +1,11 @@
 """Cases of which an operator once did less than the whole job."""
 
+import collections
 import random
 
-from tessera.llm import line_dedup
+import numpy as np
+
+from tessera.llm import line_dedup, toxicity
 
 
 def all_earlier(rows):
@@ -36,3 +39,21 @@ def test_line_dedup_tries_all_earlier_holders_of_frequent_lines(spark, monkeypat
         monkeypatch.setattr(line_dedup, "SLICE", slice_)
         got = line_dedup.dedup_lines(spark, spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).collect()
         assert {x.doc_id: (x.n_removed, x.n_partners) for x in got} == all_earlier(rows)
+
+
+def restorer():
+    counts = collections.Counter()
+    for w in "you are such an idiot and a moron they say what a stupid loser is that the one we all know".split() * 50:
+        a = b = 0
+        for ch in w + " ":
+            c = 0 if ch == " " else ord(ch)
+            counts[(a << 22) | (b << 11) | c] += 1
+            a, b = b, c
+    return toxicity.Restorer(toxicity.CharModel(np.array(list(counts), np.int64), np.array(list(counts.values()), float)))
+
+
+def test_toxicity_decodes_doubled_and_accented_letters():
+    r = restorer()
+    for noisy, clean in (("stuupid", "stupid"), ("morron", "moron"), ("iidiot", "idiot"), ("st\u00fap\u00efd", "stupid"), ("(loserr)", "loser")):
+        assert {clean, noisy.strip("()")} <= r.distinct(f"you {noisy} all"), noisy
+    assert r.distinct("all such") == {"all", "such"}
