@@ -165,21 +165,19 @@ class Restorer:
             w = self.seen[t] = self.spell(t)
         return w
 
-    def spaced(self, text: str, tokens: list[str]) -> list[str]:
+    def spaced(self, text: str) -> list[str]:
         """Words spelt out in single characters, over several tokens."""
-        if sum([len(t) == 1 or not t[1].isalnum() for t in tokens]) < 2:
-            return []
         return [x for m in SPACED.finditer(text) for x in restore(self.model, m[0]).split() if len(x) > 2]
 
     def sequence(self, text: str) -> list[str]:
         text = text.lower()
         tokens = text.split()
-        return [w for t in tokens for w in self.token(t)] + self.spaced(text, tokens)
+        return [w for t in tokens for w in self.token(t)] + self.spaced(text)
 
     def distinct(self, text: str) -> set[str]:
         text = text.lower()
         tokens = text.split()
-        out = set(self.spaced(text, tokens))
+        out = set(self.spaced(text))
         for t in set(tokens):
             out.update(self.token(t))
         return out
@@ -309,7 +307,7 @@ def _vector(r: Restorer, memo: dict[str, tuple], evidence: dict[str, float], tex
     tokens = text.split()
     if len(memo) > CACHE_TOKENS:
         memo.clear()
-    words: dict[str, float] = dict(weighed(r.spaced(text, tokens)))
+    words: dict[str, float] = dict(weighed(r.spaced(text)))
     for t in set(tokens):
         v = memo.get(t)
         if v is None:

@@ -57,3 +57,9 @@ def test_toxicity_decodes_doubled_and_accented_letters():
     for noisy, clean in (("stuupid", "stupid"), ("morron", "moron"), ("iidiot", "idiot"), ("st\u00fap\u00efd", "stupid"), ("(loserr)", "loser")):
         assert {clean, noisy.strip("()")} <= r.distinct(f"you {noisy} all"), noisy
     assert r.distinct("all such") == {"all", "such"}
+
+
+def test_toxicity_finds_letters_with_separators_before_them():
+    r = restorer()
+    for noisy in ("i .d .i .o .t", "i -d -i -o -t", "all,i d i.o.t"):
+        assert "idiot" in r.distinct(f"you {noisy}") and "idiot" in r.sequence(f"you {noisy}"), noisy
