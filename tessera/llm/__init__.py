@@ -10,7 +10,7 @@ from pyspark import cloudpickle
 
 MODULES = (
     "scratch", "components", "url_filter", "kd_shards", "radix_dedup", "bpe", "mixing", "multi_index",
-    "line_dedup", "bag_minhash", "suffix_dedup", "toxicity",
+    "line_dedup", "bag_minhash", "suffix_dedup", "toxicity", "pii", "prefix_trie", "spelling",
 )
 
 for _name in MODULES:

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bag_minhash, bpe, kd_shards, line_dedup, mixing, multi_index, radix_dedup, suffix_dedup, toxicity, url_filter
+from tessera.llm import (
+    bag_minhash, bpe, kd_shards, line_dedup, mixing, multi_index, pii, prefix_trie, radix_dedup, spelling, suffix_dedup, toxicity,
+    url_filter,
+)
 from tessera.sources.tables import table
 
 SHARDS = 16
@@ -66,6 +69,18 @@ def op10_toxicity(spark: SparkSession, d: str) -> DataFrame:
     return toxicity.score_documents(spark, table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op11_pii(spark: SparkSession, d: str) -> DataFrame:
+    return pii.summaries(pii.find_spans(table(spark, d, "documents")))
+
+
+def op12_prefix_trie(spark: SparkSession, d: str) -> DataFrame:
+    return prefix_trie.build_trie(spark, table(spark, d, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.group_variants(spark, table(spark, d, "documents"))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_kd_shards": op2_kd_shards,
@@ -77,4 +92,7 @@ QUERIES = {
     "op8_bag_minhash": op8_bag_minhash,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_pii": op11_pii,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_spelling": op13_spelling,
 }

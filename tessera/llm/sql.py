@@ -130,4 +130,83 @@ SELECT page_id, host, fetched_at, coalesce(action = 'block', false) AS blocked,
 FROM caps LEFT JOIN best USING (cap)
 """
 
-ORACLE_SQL = {"op1_url_filter": OP1, "op3_radix_dedup": OP3, "op5_mixing": OP5, "op9_suffix_dedup": OP9}
+# crc32 of a string, byte by byte over the table of its polynomial
+CRC_TABLE = """crc AS (
+    SELECT list(v ORDER BY i) AS tab FROM (
+        SELECT i, list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, b: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+        FROM range(256) r(i)
+    )
+)"""
+
+
+def crc32(s: str) -> str:
+    """SQL of the unsigned crc32 of ``s``, where ``tab`` of ``CRC_TABLE`` is in scope."""
+    code = f"hex(encode({s}))"
+    at = f"list_transform(range(1, length({code}), 2), lambda i: ('0x' || substr({code}, i, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {at}), lambda c, b: xor(c // 256, tab[xor(c % 256, b) + 1])), 4294967295::BIGINT)"
+
+
+OP12 = f"""
+WITH {CRC_TABLE}, t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), o AS (
+    SELECT conv_id, list({{'d': sha256(length(role) || ':' || role || text), 'b': strlen(text)}}
+                         ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS own FROM t GROUP BY conv_id
+), h AS (
+    SELECT conv_id, own, {crc32("conv_id::VARCHAR")} % 9 AS starts FROM o, crc
+), r AS (
+    SELECT h.conv_id, list_concat(list_slice(coalesce(b.own, []), 1, starts), list_slice(h.own, starts + 1, len(h.own))) AS turns
+    FROM h LEFT JOIN o b ON b.conv_id = h.conv_id - h.conv_id % 5
+), p AS (
+    SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM r
+), q AS (
+    SELECT conv_id, depth, depth = len(turns) AS ends, CASE WHEN depth = 0 THEN 0 ELSE turns[depth].b END AS b,
+           array_to_string(list_transform(list_slice(turns, 1, depth), lambda x: x.d), '') AS id,
+           CASE WHEN depth > 0 THEN array_to_string(list_transform(list_slice(turns, 1, depth - 1), lambda x: x.d), '') END AS parent FROM p
+), n AS (
+    SELECT id, parent, depth, b, min(conv_id) AS conv_id, count(*) AS n_convs, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends) AS ends
+    FROM q GROUP BY id, parent, depth, b
+), c AS (
+    SELECT parent AS id, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent
+), below AS (
+    -- every node and what stands below it
+    SELECT u.id, sum((v.n_convs - 1) * v.b) AS saved, count(*) FILTER (WHERE c.n_children IS NULL) AS n_leaves
+    FROM n u JOIN n v ON v.depth >= u.depth AND substr(v.id, 1, 64 * u.depth::INT) = u.id LEFT JOIN c ON c.id = v.id GROUP BY u.id
+)
+SELECT n.conv_id, n.depth, m.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n_children, 0) AS n_children, n_leaves::BIGINT AS n_leaves,
+       saved::BIGINT AS saved_tokens, sha256(coalesce(n.ends, '')) AS ends_sha256, c.n_children IS NULL AS is_leaf
+FROM n JOIN below USING (id) LEFT JOIN c ON c.id = n.id LEFT JOIN n m ON m.id = n.parent
+"""
+
+_RUN = "[A-Za-z\u00C0-\u00FF]"
+OP13 = f"""
+WITH RECURSIVE {CRC_TABLE}, r AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, n FROM (
+        SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '{_RUN}+')) AS run FROM documents)
+        WHERE length(run) >= 7 GROUP BY doc_id, run)
+), k AS (
+    SELECT run, n, {crc32("doc_id || ':' || run")} AS h FROM r, crc
+), w AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM k)
+    WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), d AS (
+    SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS less FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)
+), e AS (
+    SELECT x.word, y.word AS near FROM d x JOIN d y ON x.i = y.i AND x.less = y.less AND x.word <> y.word
+    UNION SELECT d.word, w.word FROM d JOIN w ON d.less = w.word
+    UNION SELECT w.word, d.word FROM d JOIN w ON d.less = w.word
+), f AS (
+    SELECT e.word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS near_n FROM e JOIN w ON w.word = e.near GROUP BY e.word
+), g AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+    FROM w LEFT JOIN f USING (word)
+), s AS (
+    SELECT word, word AS at FROM g UNION ALL SELECT s.word, g.form FROM s JOIN g ON g.word = s.at WHERE g.form IS NOT NULL
+), z AS (
+    SELECT s.word, s.at AS root FROM s JOIN g ON g.word = s.at WHERE g.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM g JOIN z USING (word)
+"""
+
+ORACLE_SQL = {"op1_url_filter": OP1, "op3_radix_dedup": OP3, "op5_mixing": OP5, "op9_suffix_dedup": OP9, "op12_prefix_trie": OP12, "op13_spelling": OP13}
