@@ -1,11 +1,12 @@
 """Spelling variants: words one edit apart, found through pivotal grams.
 
-All bigrams of the vocabulary have a global order, the rarest first. A word's gram prefix is its
-``GRAM * EDITS + 1`` rarest positional bigrams (with all further occurrences of the last one's bigram);
-its pivots are ``EDITS + 1`` bigrams of the prefix that don't overlap, chosen by dynamic programming so
-that the words holding them are fewest. One edit leaves one of two disjoint pivots whole. Of two
-near words, take the one whose prefix ends first in the global order: its surviving pivot is in the
-other one's prefix. So pivots are looked up among prefixes only, and both are few and rare.
+All bigrams of the vocabulary have a global order, the rarest first, and those of a word are ordered by
+it and then by place. A word's gram prefix is the first ``GRAM * EDITS + 1`` of them; its pivots are
+``EDITS + 1`` bigrams of the prefix that don't overlap, chosen by dynamic programming so that the words
+holding them are fewest. One edit leaves one of two disjoint pivots whole, and moves it by one place at
+most. Of two near words, take the one whose prefix ends first in the order: its surviving pivot is in
+the other one's prefix, or one place behind the end of it. So pivots are looked up among prefixes (with
+that next place) only, and both are few and rare, however long a word is.
 
 Position limits: one edit lies before or after the surviving bigram. After it, the bigram has the same
 place in both words and everything before it is equal; before it, the same holds counted from the end.
@@ -84,11 +85,13 @@ def gram_counts(words: DataFrame) -> dict[str, int]:
     return {r["gram"]: r["n"] for r in rows.collect()}
 
 
-def gram_prefix(word: str, counts: dict[str, int]) -> list[tuple[int, str]]:
-    """``(place, bigram)`` of a word's gram prefix, by place."""
+def gram_prefix(word: str, counts: dict[str, int]) -> tuple[list[tuple[int, str]], list[tuple[int, str]]]:
+    """``(place, bigram)`` of a word's gram prefix, by place, and of what it is found by: the prefix and
+    up to ``EDITS`` further places of its last bigram."""
     grams = sorted([(counts[g], g, i) for i in range(len(word) - GRAM + 1) for g in [word[i : i + GRAM]]])
-    last = grams[: GRAM * EDITS + 1][-1][:2]
-    return sorted([(i, g) for n, g, i in grams if (n, g) <= last])
+    most = GRAM * EDITS + 1
+    n, g, i = grams[most - 1]
+    return sorted([x[:0:-1] for x in grams[:most]]), [x[:0:-1] for x in grams[: most + EDITS] if x <= (n, g, i + EDITS)]
 
 
 def pivots(prefix: list[tuple[int, str]], counts: dict[str, int]) -> list[tuple[int, str]]:
@@ -115,9 +118,9 @@ def _key(side: str, gram: str, place: int, length: int, part: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{side}{gram}{place},{length},{part}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def index_keys(word: str, prefix: list[tuple[int, str]]) -> Iterator[int]:
-    """Where a word is found by its prefix: per bigram, what stands before and what stands after it."""
-    for p, g in prefix:
+def index_keys(word: str, places: list[tuple[int, str]]) -> Iterator[int]:
+    """Where a word is found: per bigram, what stands before and what stands after it."""
+    for p, g in places:
         yield _key("<", g, p, len(word), word[:p])
         yield _key(">", g, p, len(word), word[p + GRAM :])
 
@@ -142,8 +145,8 @@ def near_pairs(s: Scratch, words: DataFrame) -> DataFrame:
         out = []
         for pdf in batches:
             for w, n in zip(pdf["word"], pdf["n"].tolist()):
-                prefix = gram_prefix(w, counts)
-                out += [(k, w, n, False) for k in index_keys(w, prefix)]
+                prefix, places = gram_prefix(w, counts)
+                out += [(k, w, n, False) for k in index_keys(w, places)]
                 out += [(k, w, n, True) for k in probe_keys(w, pivots(prefix, counts))]
                 if len(out) >= BATCH_ROWS:
                     yield pd.DataFrame(out, columns=["k", "word", "n", "probe"])
