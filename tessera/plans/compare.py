@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import time
 
+import numpy as np
 import pandas as pd
 
 from tessera.sources.tables import TABLES
@@ -19,12 +20,15 @@ def duckdb_connection(data_dir: str):
     return con
 
 
+def _is_null(v) -> bool:
+    return v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v))
+
+
 def _normalise(df: pd.DataFrame) -> list[tuple]:
     cols = sorted(df.columns)
     rows = []
     for rec in df[cols].itertuples(index=False, name=None):
-        rows.append(tuple(None if (isinstance(v, float) and math.isnan(v)) else (float(v) if isinstance(v, float) else v)
-                          for v in rec))
+        rows.append(tuple(None if _is_null(v) else (float(v) if isinstance(v, float) else int(v) if isinstance(v, np.integer) else v) for v in rec))
     return sorted(rows, key=lambda r: tuple((v is None, str(type(v)), v if v is not None else 0) for v in r))
 
 
@@ -44,6 +48,10 @@ def compare(spark, con, name: str, query, sql: str | None, data_dir: str) -> dic
         res["match"] = False
         res["detail"] = f"{sorted(got.columns)} vs {sorted(want.columns)}"
         return res
+    # a column of whole numbers and nulls comes as floats from one side or the other
+    for c in got.columns:
+        if dict(sdf.dtypes)[c] == "bigint":
+            got[c], want[c] = got[c].astype("Int64"), want[c].astype("Int64")
     a, b = _normalise(got), _normalise(want)
     res["match"] = a == b
     if not res["match"]:
