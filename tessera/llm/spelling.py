@@ -11,7 +11,9 @@ that next place) only, and both are few and rare, however long a word is.
 Position limits: one edit lies before or after the surviving bigram. After it, the bigram has the same
 place in both words and everything before it is equal; before it, the same holds counted from the end.
 Both give an equality key (side, bigram, place, length, hash of the equal part), so the lookup is an
-equi-join whose candidates are almost all near; each is verified by its edit distance in the join.
+equi-join whose candidates are almost all near where that part is long. Each candidate is verified by
+its edit distance in the join, after a look at its letters: a 64-bit signature holds which letters stand
+in a word an odd number of times, and one edit changes at most two of them.
 """
 
 from __future__ import annotations
@@ -137,6 +139,14 @@ def probe_keys(word: str, pivots_: list[tuple[int, str]]) -> Iterator[int]:
                 yield _key(">", g, p + by, n + by, word[p + GRAM :])
 
 
+def signature(word: str) -> int:
+    """The letters that stand in a word an odd number of times, as bits of a signed 64-bit integer."""
+    bits = 0
+    for c in word:
+        bits ^= 1 << (ord(c) & 63)
+    return bits - (1 << 64) if bits >> 63 else bits
+
+
 def near_pairs(s: Scratch, words: DataFrame) -> DataFrame:
     """``(word, near, near_n)``: all ordered pairs of words one edit apart, each once."""
     counts = gram_counts(words)
@@ -146,18 +156,20 @@ def near_pairs(s: Scratch, words: DataFrame) -> DataFrame:
         for pdf in batches:
             for w, n in zip(pdf["word"], pdf["n"].tolist()):
                 prefix, places = gram_prefix(w, counts)
-                out += [(k, w, n, False) for k in index_keys(w, places)]
-                out += [(k, w, n, True) for k in probe_keys(w, pivots(prefix, counts))]
+                letters = signature(w)
+                out += [(k, w, n, letters, False) for k in index_keys(w, places)]
+                out += [(k, w, n, letters, True) for k in probe_keys(w, pivots(prefix, counts))]
                 if len(out) >= BATCH_ROWS:
-                    yield pd.DataFrame(out, columns=["k", "word", "n", "probe"])
+                    yield pd.DataFrame(out, columns=["k", "word", "n", "letters", "probe"])
                     out = []
         if out:
-            yield pd.DataFrame(out, columns=["k", "word", "n", "probe"])
+            yield pd.DataFrame(out, columns=["k", "word", "n", "letters", "probe"])
 
-    keyed = s.keep(words.mapInPandas(rows, "k bigint, word string, n bigint, probe boolean"))
-    a = keyed.filter("probe").select("k", F.col("word").alias("a"), F.col("n").alias("a_n"))
-    b = keyed.filter("not probe").select("k", F.col("word").alias("b"), F.col("n").alias("b_n"))
-    found = s.keep(a.join(b, (a["k"] == b["k"]) & (F.levenshtein("a", "b", 1) == 1)).select("a", "a_n", "b", "b_n"))
+    keyed = s.keep(words.mapInPandas(rows, "k bigint, word string, n bigint, letters bigint, probe boolean"))
+    a = keyed.filter("probe").select("k", F.col("word").alias("a"), F.col("n").alias("a_n"), F.col("letters").alias("a_l"))
+    b = keyed.filter("not probe").select("k", F.col("word").alias("b"), F.col("n").alias("b_n"), F.col("letters").alias("b_l"))
+    alike = F.bit_count(F.col("a_l").bitwiseXOR(F.col("b_l"))) <= 2 * EDITS
+    found = s.keep(a.join(b, (a["k"] == b["k"]) & alike & (F.levenshtein("a", "b", EDITS) == EDITS)).select("a", "a_n", "b", "b_n"))
     s.drop(keyed)
     both = found.select(F.col("a").alias("word"), F.col("b").alias("near"), F.col("b_n").alias("near_n")).unionByName(
         found.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("a_n").alias("near_n"))
