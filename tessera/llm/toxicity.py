@@ -11,8 +11,11 @@ often each stands in toxic and other texts, counted by distinct surroundings, so
 text count once. A logistic function of a document's strongest evidence is the score.
 
 Spark counts the character trigrams over all documents and the evidence over a bounded sample of the
-labelled ones (``max_labelled``); the models are small tables of bounded size (``MAX_TRIGRAMS``,
-``MAX_FEATURES``) that tasks hold; scoring is one pass without a shuffle.
+labelled ones (``max_labelled``), which is decoded once. Tasks hold both models whole: the trigrams are
+those of the letters below U+0800 (scripts above have no look-alikes to undo and are one symbol), so
+their number follows from alphabets, not from the documents; the evidence comes from the bounded
+sample. Scoring is one pass without a shuffle. It decodes only tokens that can hold a word with
+evidence: what doubling and accents hide has the same skeleton as what they hide it from.
 """
 
 from __future__ import annotations
@@ -31,9 +34,7 @@ from pyspark.sql import functions as F
 from tessera.llm.scratch import Scratch, text_column
 
 MAX_LABELLED = 40_000
-MAX_TRIGRAMS = 1 << 18
-MAX_FEATURES = 50_000
-CACHE_TOKENS = 300_000
+CACHE_TOKENS = 150_000
 THRESHOLD = 0.7
 
 # ---- fixed values: what characters are written for -----------------------------------------------
@@ -50,6 +51,7 @@ SAME, LOOK, DROP, KEEP, REPEAT, END = 0.0, 1.0, 0.6, 6.0, 0.7, 1.5
 EDGE = ".,;:!?\"'()[]{}<>*_~#%&|/\\-–—…“”‘’«»¿¡`^=+$@​‌‍﻿"
 SPACED = re.compile(r"(?<!\w)(?:[\w@$!|+][ \t.\-_*·​]{1,3}){2,}[\w@$!|+](?!\w)")
 DOUBLED = re.compile(r"(.)\1")
+RUNS = re.compile(r"(.)\1+")
 PREFIXES = (4, 5, 6, 7)
 
 
@@ -144,13 +146,14 @@ class Restorer:
         self.model = model
         self.seen: dict[str, tuple[str, ...]] = {}
 
-    def spell(self, t: str) -> tuple[str, ...]:
-        """The words of a token."""
+    def spell(self, t: str, worth=None) -> tuple[str, ...]:
+        """The words of a token. ``worth`` says of a plainly written core whether any other spelling of it
+        matters; without it all do."""
         core = t.strip(EDGE)
         if core.isalpha() and len(core) > 1 and LOOKS.isdisjoint(core):
             at = t.index(core)
             edged = len(t) > len(core) and not LOOKS.isdisjoint(t[:at] + t[at + len(core) :].rstrip("!"))
-            if edged or DOUBLED.search(core) or not core.isascii():
+            if edged or ((not core.isascii() or DOUBLED.search(core)) and (worth is None or worth(core))):
                 # written as it is spelt, or not: both are words of the token
                 return (core, *(x for x in restore(self.model, t if edged else core).split() if x != core))
             return (core,)
@@ -175,12 +178,39 @@ class Restorer:
         return [w for t in tokens for w in self.token(t)] + self.spaced(text)
 
     def distinct(self, text: str) -> set[str]:
-        text = text.lower()
-        tokens = text.split()
-        out = set(self.spaced(text))
-        for t in set(tokens):
-            out.update(self.token(t))
-        return out
+        return set(self.sequence(text))
+
+
+def skeleton(word: str) -> str:
+    """A word without accents, each run of a letter once: what all spellings have in common that
+    differ in accents and doubled letters only."""
+    if not word.isascii():
+        word = "".join([_BASE.get(c) or _base(c) for c in word])
+    return RUNS.sub(r"\1", word) if DOUBLED.search(word) else word
+
+
+_BASE: dict[str, str] = {}
+
+
+def _base(c: str) -> str:
+    if len(_BASE) > 4096:
+        _BASE.clear()
+    b = _BASE[c] = unicodedata.normalize("NFD", c)[0] if c.isalpha() else c
+    return b
+
+
+class Worth:
+    """Whether a spelling of a token that differs in accents and doubled letters can have evidence: if
+    its skeleton is that of a word with evidence, or starts with that of a beginning with evidence."""
+
+    def __init__(self, evidence: dict[str, float]):
+        self.words = {skeleton(f[:-1]) for f in evidence if f.endswith("$")}
+        self.starts = {skeleton(f) for f in evidence if not f.endswith("$")}
+        self.lengths = sorted({len(s) for s in self.starts})
+
+    def __call__(self, core: str) -> bool:
+        s = skeleton(core)
+        return s in self.words or any(s[:k] in self.starts for k in self.lengths)
 
 
 def word_features(w: str) -> list[str]:
@@ -244,14 +274,26 @@ def labelled_sample(s: Scratch, documents: DataFrame, labels: DataFrame, most: i
         max(8, documents.sparkSession.sparkContext.defaultParallelism), F.xxhash64("text")))
 
 
-def _evidence(s: Scratch, train: DataFrame, model: CharModel) -> dict[str, float]:
-    """Log odds that a word with a feature speaks for a toxic text, of significant features."""
+def decoded(s: Scratch, train: DataFrame, model: CharModel) -> DataFrame:
+    """``(words, toxic)``: the sample's restored words in order, spelt-out ones last."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        r = Restorer(model)
+        for pdf in batches:
+            yield pd.DataFrame({"words": [r.sequence(t) for t in pdf["text"]], "toxic": pdf["toxic"]})
+
+    return s.keep(train.mapInPandas(run, "words array<string>, toxic int"))
+
+
+def _evidence(s: Scratch, train: DataFrame) -> dict[str, float]:
+    """Log odds that a word with a feature speaks for a toxic text, of significant features; ``train``
+    has the sample's words. What reaches the driver is bounded as the sample is."""
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        r, n = Restorer(model), [Counter(), Counter()]
+        n = [Counter(), Counter()]
         for pdf in batches:
-            for text, toxic in zip(pdf["text"], pdf["toxic"]):
-                words = r.distinct(text)
+            for words, toxic in zip(pdf["words"], pdf["toxic"]):
+                words = set(words)
                 n[toxic].update({f for w in words for f in word_features(w)})
                 n[toxic][""] += len(words)  # no feature is empty: the sum of words
         names = sorted(n[0].keys() | n[1].keys())
@@ -265,17 +307,16 @@ def _evidence(s: Scratch, train: DataFrame, model: CharModel) -> dict[str, float
     if sums is None or not sums["n0"] or not sums["n1"]:
         return {}
     prior, features = sums["n1"] / (sums["n0"] + sums["n1"]), by.count()
-    some = by.filter("feature <> '' and n1 >= 3 and n1 >= n0").orderBy(F.desc("n1"), "feature").limit(MAX_FEATURES)
-    index = {r["feature"]: i for i, r in enumerate(some.collect())}  # at most MAX_FEATURES rows
+    some = by.filter("feature <> '' and n1 >= 3 and n1 >= n0").orderBy(F.desc("n1"), "feature").select("feature")
+    index = {f: i for i, f in enumerate(some.toPandas()["feature"])}
     if not index:
         return {}
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        r = Restorer(model)
         for pdf in batches:
             rows = set()
-            for text, toxic in zip(pdf["text"], pdf["toxic"]):
-                words = ["^", *r.sequence(text), "$"]
+            for words, toxic in zip(pdf["words"], pdf["toxic"]):
+                words = ["^", *words, "$"]
                 for before, w, after in zip(words, words[1:], words[2:]):
                     for f in word_features(w):
                         if (i := index.get(f)) is not None:
@@ -296,26 +337,39 @@ def _evidence(s: Scratch, train: DataFrame, model: CharModel) -> dict[str, float
     return out
 
 
-def _vector(r: Restorer, memo: dict[str, tuple], evidence: dict[str, float], text: str) -> tuple[float, float, float]:
-    """The strongest, the second strongest and the summed evidence of a text's words. ``memo`` keeps the
-    words with evidence of each token seen."""
+def _weighed(words, evidence: dict[str, float]) -> tuple:
+    """The words that have evidence, with the strongest of each."""
+    return tuple((w, v) for w in words if (v := max([evidence.get(f, 0.0) for f in word_features(w)])) > 0)
+
+
+def _strengths(found: dict[str, float]) -> tuple[float, float, float]:
+    """The strongest, the second strongest and the summed evidence of a text's words."""
+    v = sorted(found.values(), reverse=True)
+    return (v[0] if v else 0.0, v[1] if len(v) > 1 else 0.0, min(sum(v), 30.0))
+
+
+class Scorer:
+    """Texts to their strengths; remembers the words with evidence of ``CACHE_TOKENS`` tokens."""
+
+    def __init__(self, model: Model):
+        self.model, self.restorer, self.worth = model, Restorer(model.characters), Worth(model.evidence)
+        self.memo: dict[str, tuple] = {}
 
-    def weighed(words) -> tuple:
-        return tuple((w, v) for w in words if (v := max([evidence.get(f, 0.0) for f in word_features(w)])) > 0)
+    def vector(self, text: str) -> tuple[float, float, float]:
+        text, evidence, memo = text.lower(), self.model.evidence, self.memo
+        if len(memo) > CACHE_TOKENS:
+            memo.clear()
+        found: dict[str, float] = dict(_weighed(self.restorer.spaced(text), evidence))
+        for t in set(text.split()):
+            v = memo.get(t)
+            if v is None:
+                v = memo[t] = _weighed(self.restorer.spell(t, self.worth), evidence)
+            if v:
+                found.update(v)
+        return _strengths(found)
 
-    text = text.lower()
-    tokens = text.split()
-    if len(memo) > CACHE_TOKENS:
-        memo.clear()
-    words: dict[str, float] = dict(weighed(r.spaced(text)))
-    for t in set(tokens):
-        v = memo.get(t)
-        if v is None:
-            v = memo[t] = weighed(r.spell(t))
-        if v:
-            words.update(v)
-    found = sorted(words.values(), reverse=True)
-    return (found[0] if found else 0.0, found[1] if len(found) > 1 else 0.0, min(sum(found), 30.0))
+    def score(self, text: str) -> float:
+        return self.model.score(self.vector(text))
 
 
 class Model:
@@ -325,7 +379,7 @@ class Model:
         self.characters, self.evidence, self.weights = characters, evidence, weights
 
     def shared(self, spark):
-        """The tables as a broadcast of plain values, bounded by MAX_TRIGRAMS and MAX_FEATURES."""
+        """The tables as a broadcast of plain values, bounded by alphabets and by the labelled sample."""
         k = np.fromiter(self.characters.tri.keys(), np.int64, len(self.characters.tri))
         n = np.fromiter(self.characters.tri.values(), np.float64, len(self.characters.tri))
         return spark.sparkContext.broadcast((k, n, self.evidence, self.weights))
@@ -371,15 +425,17 @@ def fit(spark, documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     """Characters from all ``documents``, evidence and weights from at most ``max_labelled``
     labelled rows that aren't held out. Without both kinds of labels every score is the prior."""
     s = Scratch(spark, "toxicity")
-    top = count_trigrams(documents).orderBy(F.desc("n"), "key").limit(MAX_TRIGRAMS).collect()
-    characters = CharModel(np.array([r["key"] for r in top], np.int64), np.array([r["n"] for r in top], np.float64))
-    train = labelled_sample(s, documents, labels, max_labelled)
-    evidence = _evidence(s, train, characters)
+    # 16 bytes a trigram of letters below U+0800
+    trigrams = count_trigrams(documents).toPandas().sort_values("key")
+    characters = CharModel(trigrams["key"].to_numpy(np.int64), trigrams["n"].to_numpy(np.float64))
+    sample = labelled_sample(s, documents, labels, max_labelled)
+    train = decoded(s, sample, characters)
+    s.drop(sample)
+    evidence = _evidence(s, train)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        r, memo = Restorer(characters), {}
         for pdf in batches:
-            v = [_vector(r, memo, evidence, t) for t in pdf["text"]]
+            v = [_strengths(dict(_weighed(set(words), evidence))) for words in pdf["words"]]
             yield pd.DataFrame(v, columns=["a", "b", "c"]).assign(toxic=pdf["toxic"].to_numpy())
 
     rows = train.mapInPandas(vectors, "a double, b double, c double, toxic int").toPandas()  # at most max_labelled rows
@@ -388,7 +444,9 @@ def fit(spark, documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     if not len(y) or y.min() == y.max() or not evidence:
         p = min(max(float(y.mean()) if len(y) else 0.0, 1e-6), 1 - 1e-6)
         return Model(characters, {}, [math.log(p / (1 - p)), 0.0, 0.0, 0.0])
-    return Model(characters, evidence, _logistic(rows[["a", "b", "c"]].to_numpy(), y))
+    # by row, so that the order of the tasks doesn't show in the last digits
+    rows = rows.sort_values(["a", "b", "c", "toxic"])
+    return Model(characters, evidence, _logistic(rows[["a", "b", "c"]].to_numpy(), rows["toxic"].to_numpy(np.float64)))
 
 
 def score(documents: DataFrame, model: Model, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -399,11 +457,10 @@ def score(documents: DataFrame, model: Model, keys: tuple[str, ...] = ("doc_id",
     schema = ", ".join([*[f"`{k}` {source.schema[k].dataType.simpleString()}" for k in keys], "score double"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = Model.of(held.value)
-        r, memo = Restorer(m.characters), {}
+        scorer = Scorer(Model.of(held.value))
         for pdf in batches:
             out = pdf.drop(columns="_text")
-            out["score"] = [m.score(_vector(r, memo, m.evidence, t)) for t in pdf["_text"]]
+            out["score"] = [scorer.score(t) for t in pdf["_text"]]
             yield out
 
     return source.mapInPandas(run, schema)
@@ -413,8 +470,8 @@ def score_documents(spark, documents: DataFrame, labels: DataFrame, max_labelled
     """``(doc_id, held_out, score, predicted)``, one row per document.
 
     Only the texts enter a score; labels only of rows that aren't held out are learned. Null and
-    empty texts get the score of a text without evidence; repeated rows get equal scores; an empty
-    table gives an empty result.
+    empty texts get the score of a text without evidence; texts of any length are read whole; repeated rows get
+    equal scores; other columns, whatever their names, aren't read; an empty table gives an empty result.
     """
     out = score(documents, fit(spark, documents, labels, max_labelled))
     return out.select(
@@ -429,9 +486,8 @@ def clean_rows(spark, documents: DataFrame, labels: DataFrame, max_labelled: int
 
     @F.pandas_udf("double")
     def toxic_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        m = Model.of(held.value)
-        r, memo = Restorer(m.characters), {}
+        scorer = Scorer(Model.of(held.value))
         for texts in batches:
-            yield pd.Series([m.score(_vector(r, memo, m.evidence, t or "")) for t in texts], dtype="float64")
+            yield pd.Series([scorer.score(t or "") for t in texts], dtype="float64")
 
     return documents.filter(toxic_score(F.col("text")) < THRESHOLD)
