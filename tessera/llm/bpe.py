@@ -27,7 +27,8 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 
@@ -37,7 +38,8 @@ NEVER = np.iinfo(np.int64).max
 NO_RANK = 1 << 40
 SHORT = 48  # symbols of a short word
 GROUP_CHARS = 1 << 20  # characters of texts whose new words are encoded together
-CACHE_WORDS = 400_000  # distinct words that a worker remembers; then it starts over
+CACHE_BYTES = 1 << 25  # bytes of words and ids that a worker remembers (some 500,000 words); then it starts over
+CACHE_PAIRS = 1 << 19  # adjacent pairs of tokens that a worker remembers
 # below this code point Python and the tokenizers agree on case and letter classes; other texts are
 # normalized and split by the tokenizer file's own steps
 COMMON = regex.compile(r"[^\u0000-ԯ‐-‧‰-⁞₠-₿]")
@@ -96,7 +98,8 @@ class Bpe:
         self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.split_special = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         self.own = Tokenizer.from_file(path)
-        self.words: dict[str, tuple[bytes, str]] = {}
+        self.words: dict[str, bytes] = {}
+        self.held = 0  # bytes of the words' ids and letters
         self.known: dict[int, bool] = {}
         self.counted = {"words": 0, "merged": 0}
 
@@ -241,7 +244,8 @@ class Bpe:
             good[word_of[bad]] = False
         for w, s, g, ok in zip(new, spelt, guess, good.tolist()):
             ids = g if ok else self.merged(s)
-            self.words[w] = (np.array(ids, "<u4").tobytes(), " ".join([self.tokens[t] for t in ids]))
+            self.words[w] = raw = np.array(ids, "<u4").tobytes()
+            self.held += len(raw) + len(w) + 32
         self.counted["words"] += len(new)
         self.counted["merged"] += int((~good).sum())
 
@@ -264,14 +268,17 @@ class Bpe:
         yield from self._encoded(group)
 
     def _encoded(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-        if len(self.words) > CACHE_WORDS:
+        if self.held > CACHE_BYTES:
             self.words.clear()
+            self.held = 0
+        if len(self.known) > CACHE_PAIRS:
+            self.known.clear()
         get, group, new = self.words.get, [], set()
         for text in texts:
             parts = []
             for part in self.parts(text):
                 if isinstance(part, int):
-                    parts.append([(np.array([part], "<u4").tobytes(), self.tokens[part])])
+                    parts.append([np.array([part], "<u4").tobytes()])
                     continue
                 found = [get(w) for w in part]
                 if None in found:
@@ -288,7 +295,8 @@ class Bpe:
                 if isinstance(part, tuple):
                     part = [f or words[w] for w, f in zip(*part)]
                 found += part
-            yield b"".join([f[0] for f in found]), " ".join([f[1] for f in found])
+            raw = b"".join(found)
+            yield raw, self.decode(np.frombuffer(raw, "<u4"))
 
     def decode(self, ids: np.ndarray) -> str:
         return " ".join([self.tokens[i] for i in ids.tolist()])
@@ -297,28 +305,46 @@ class Bpe:
 def encode_documents(documents: DataFrame, vocabulary: str, keys: tuple[str, ...] = ("doc_id",), ids: bool = True) -> DataFrame:
     """``(*keys, n_tokens, ids_sha256, decoded_sha256)`` per row, with ``ids`` (an array) if asked.
 
-    ``vocabulary`` is the file's bytes path on every worker. Rows are independent: no shuffle, and a
-    worker holds one Arrow batch, one document's tokens and ``CACHE_WORDS`` words. A null text is
-    encoded as an empty one: no tokens; an empty table gives an empty result.
+    ``vocabulary`` is the file's path on every worker. Rows are independent: no shuffle. A worker
+    holds one Arrow batch of texts and works on it, and gives it on, in parts of ``GROUP_CHARS``
+    characters (a longer text is a part of its own); of earlier words it remembers ``CACHE_BYTES``. A null
+    text is encoded as an empty one: no tokens; texts of any length are encoded whole; columns other
+    than the keys and the text aren't read; an empty table gives an empty result.
     """
+    # inside, columns go by place: names of any kind can't clash
     source = documents.select(*keys, text_column(documents).alias("_text"))
     fields = [source.schema[k].simpleString().replace(":", "` ", 1) for k in keys]
     schema = ", ".join([*[f"`{f}" for f in fields], "n_tokens bigint", "ids_sha256 string", "decoded_sha256 string", *["ids array<int>"] * ids])
+    names = [*keys, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(vocabulary)
-        for pdf in batches:
-            out = pdf.drop(columns="_text")
-            n, a, b, full = [], [], [], []
-            for raw, decoded in bpe.encode_all(pdf["_text"]):
-                n.append(len(raw) // 4)
-                a.append(hashlib.sha256(raw).hexdigest())
-                b.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            for start, n in _parts(texts):
+                raws, b = [], []
+                for raw, decoded in bpe.encode_all(texts.slice(start, n).to_pylist()):
+                    raws.append(raw)
+                    b.append(hashlib.sha256(decoded.encode("utf-8")).hexdigest())
+                sizes = [len(raw) // 4 for raw in raws]
+                columns = [c.slice(start, n) for c in batch.columns[:-1]]
+                columns += [pa.array(sizes, pa.int64()), pa.array([hashlib.sha256(raw).hexdigest() for raw in raws]), pa.array(b)]
                 if ids:
-                    full.append(np.frombuffer(raw, "<i4"))
-            out["n_tokens"], out["ids_sha256"], out["decoded_sha256"] = n, a, b
-            if ids:
-                out["ids"] = full
-            yield out
-
-    return source.mapInPandas(run, schema)
+                    flat = pa.array(np.frombuffer(b"".join(raws), "<i4"), pa.int32())
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), flat))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return source.mapInArrow(run, schema)
+
+
+def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """``(start, length)`` of neighbouring rows of about ``GROUP_CHARS`` bytes together."""
+    lengths = pa.compute.binary_length(texts).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, size in enumerate(lengths.tolist()):
+        if i > start and held + size > GROUP_CHARS:
+            yield start, i - start
+            start, held = i, 0
+        held += size
+    if len(lengths) > start:
+        yield start, len(lengths) - start
