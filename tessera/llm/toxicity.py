@@ -139,6 +139,26 @@ def restore(model: CharModel, token: str) -> str:
     return "".join(reversed(parts))
 
 
+def _kinds() -> np.ndarray:
+    """Bits of the code points below 2^16: 1, a character that ``SPACED`` takes as a letter; 2, one that may
+    stand beside it (no letter or digit, or a separator)."""
+    chars = [chr(i) for i in range(1 << 16)]
+    word = np.array([c.isalnum() or c in "_@$!|+" for c in chars])
+    beside = np.array([not (c.isalnum() or c == "_") or c == "_" for c in chars])
+    return word * np.uint8(1) + beside * np.uint8(2)
+
+
+KINDS = _kinds()
+
+
+def may_be_spaced(text: str) -> bool:
+    """False only if ``SPACED`` matches nowhere: its first three letters stand by themselves, within 8 places."""
+    kinds = KINDS[np.minimum(np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32), 0xFFFF)]
+    beside = np.concatenate([[True], kinds & 2 != 0, [True]])
+    at = np.flatnonzero((kinds & 1 != 0) & beside[:-2] & beside[2:])
+    return len(at) > 2 and bool((at[2:] - at[:-2] <= 8).any())
+
+
 class Restorer:
     """Texts to restored words; remembers ``CACHE_TOKENS`` tokens."""
 
@@ -170,6 +190,8 @@ class Restorer:
 
     def spaced(self, text: str) -> list[str]:
         """Words spelt out in single characters, over several tokens."""
+        if not may_be_spaced(text):
+            return []
         return [x for m in SPACED.finditer(text) for x in restore(self.model, m[0]).split() if len(x) > 2]
 
     def sequence(self, text: str) -> list[str]:
@@ -311,6 +333,7 @@ def _evidence(s: Scratch, train: DataFrame) -> dict[str, float]:
     index = {f: i for i, f in enumerate(some.toPandas()["feature"])}
     if not index:
         return {}
+    heads, first = heads_of(index), PREFIXES[0]
 
     def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -318,7 +341,7 @@ def _evidence(s: Scratch, train: DataFrame) -> dict[str, float]:
             for words, toxic in zip(pdf["words"], pdf["toxic"]):
                 words = ["^", *words, "$"]
                 for before, w, after in zip(words, words[1:], words[2:]):
-                    for f in word_features(w):
+                    for f in word_features(w) if w[:first] in heads else ():
                         if (i := index.get(f)) is not None:
                             rows.add((i, f"{before} {w[-1:]} {after}", toxic))
             yield pd.DataFrame(sorted(rows), columns=["i", "context", "toxic"])
@@ -337,9 +360,15 @@ def _evidence(s: Scratch, train: DataFrame) -> dict[str, float]:
     return out
 
 
-def _weighed(words, evidence: dict[str, float]) -> tuple:
+def heads_of(features) -> frozenset[str]:
+    """The first letters that a word with one of the features has."""
+    return frozenset(f.removesuffix("$")[: PREFIXES[0]] for f in features)
+
+
+def _weighed(words, evidence: dict[str, float], heads: frozenset[str]) -> tuple:
     """The words that have evidence, with the strongest of each."""
-    return tuple((w, v) for w in words if (v := max([evidence.get(f, 0.0) for f in word_features(w)])) > 0)
+    first = PREFIXES[0]
+    return tuple((w, v) for w in words if w[:first] in heads and (v := max([evidence.get(f, 0.0) for f in word_features(w)])) > 0)
 
 
 def _strengths(found: dict[str, float]) -> tuple[float, float, float]:
@@ -353,17 +382,17 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model, self.restorer, self.worth = model, Restorer(model.characters), Worth(model.evidence)
-        self.memo: dict[str, tuple] = {}
+        self.heads, self.memo = heads_of(model.evidence), {}
 
     def vector(self, text: str) -> tuple[float, float, float]:
-        text, evidence, memo = text.lower(), self.model.evidence, self.memo
+        text, evidence, heads, memo = text.lower(), self.model.evidence, self.heads, self.memo
         if len(memo) > CACHE_TOKENS:
             memo.clear()
-        found: dict[str, float] = dict(_weighed(self.restorer.spaced(text), evidence))
+        found: dict[str, float] = dict(_weighed(self.restorer.spaced(text), evidence, heads))
         for t in set(text.split()):
             v = memo.get(t)
             if v is None:
-                v = memo[t] = _weighed(self.restorer.spell(t, self.worth), evidence)
+                v = memo[t] = _weighed(self.restorer.spell(t, self.worth), evidence, heads)
             if v:
                 found.update(v)
         return _strengths(found)
@@ -433,9 +462,11 @@ def fit(spark, documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_
     s.drop(sample)
     evidence = _evidence(s, train)
 
+    heads = heads_of(evidence)
+
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            v = [_strengths(dict(_weighed(set(words), evidence))) for words in pdf["words"]]
+            v = [_strengths(dict(_weighed(set(words), evidence, heads))) for words in pdf["words"]]
             yield pd.DataFrame(v, columns=["a", "b", "c"]).assign(toxic=pdf["toxic"].to_numpy())
 
     rows = train.mapInPandas(vectors, "a double, b double, c double, toxic int").toPandas()  # at most max_labelled rows

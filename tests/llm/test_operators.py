@@ -324,7 +324,7 @@ def lines_removed(rows, least=line_dedup.MIN_CHARS):
     gone = [set() for _ in reps]
     for held in holders.values():
         for x, b in enumerate(held):
-            for a in held[:x] if len(held) <= line_dedup.RARE else held[: min(x, 1)]:
+            for a in held[:x]:
                 gone[b].update(line_dedup.common_lines(reps[a][1], reps[b][1], reps[b][2], least))
     for (i, h, _), g in zip(reps, gone):
         n = sum(1 for j, hj, _ in docs if j == i and hj == h)

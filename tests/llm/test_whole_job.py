@@ -1,6 +1,7 @@
 """Cases of which an operator once did less than the whole job."""
 
 import collections
+import itertools
 import random
 
 import numpy as np
@@ -63,3 +64,59 @@ def test_toxicity_finds_letters_with_separators_before_them():
     r = restorer()
     for noisy in ("i .d .i .o .t", "i -d -i -o -t", "all,i d i.o.t"):
         assert "idiot" in r.distinct(f"you {noisy}") and "idiot" in r.sequence(f"you {noisy}"), noisy
+
+
+def spellings(token):
+    """Every path through a token's lattice, with its cost under the model, by trying them all."""
+    model, out = restorer().model, {}
+    for path in itertools.product(*toxicity.lattice(token)):
+        text, cost, a, b, ok = "".join(x for x, _ in path), sum(c for _, c in path), 0, 0, True
+        for ch in text:
+            c = 0 if ch == " " else ord(ch)
+            if c == 0 and b == 0:
+                ok = False
+                break
+            cost += model.cost(a, b, c)
+            a, b = (0, 0) if c == 0 else (b, c)
+        if ok:
+            cost += model.cost(a, b, 0) if b else 0.0
+            out[text] = min(out.get(text, 1e9), cost)
+    return out
+
+
+def test_viterbi_finds_the_best_of_all_spellings():
+    r = random.Random(2)
+    m = restorer().model
+    tokens = ["1d10t", "m0r0n", "stuupid", "i.d.i", "l-o-5", "$tup1", "st\u00fap\u00efd", "loo0o5", "a!!b", "1.1"]
+    tokens += ["".join(r.choice("idot10.-$\u00e9") for _ in range(r.randrange(1, 7))) for _ in range(150)]
+    for t in tokens:
+        every = spellings(t)
+        got = toxicity.restore(m, t)
+        assert abs(every[got] - min(every.values())) < 1e-9, t
+
+
+def test_only_worthless_tokens_are_spared():
+    """Whatever spelling the lattice allows: if it has evidence, the skeleton says so."""
+    r = random.Random(5)
+    evidence = {"moron$": 1.0, "idio": 2.0, "stupi": 1.0, "\u00e9tait$": 1.0, "loss": 1.0}
+    worth, heads, seen = toxicity.Worth(evidence), toxicity.heads_of(evidence), 0
+    for _ in range(1500):
+        w = r.choice(["moron", "idiots", "stupid", "\u00e9tait", "losses", "most", "idea"])
+        w = "".join(r.choice([c, c + c, c, {"o": "\u00f6", "i": "\u00ef", "e": "\u00e9", "s": "\u015b"}.get(c, c)]) for c in w)
+        words = {"".join(x for x, _ in p) for p in itertools.product(*toxicity.lattice(w))}
+        found = toxicity._weighed(words, evidence, heads)
+        assert set(found) == {(x, v) for x in words if (v := max(evidence.get(f, 0.0) for f in toxicity.word_features(x))) > 0}
+        seen += bool(found)
+        assert worth(w) or not found, w
+    assert seen > 300
+
+
+def test_spaced_letters_are_never_passed_over():
+    r = random.Random(6)
+    found = 0
+    for _ in range(20000):
+        t = "".join(r.choice("ab1 _.-*\u00b7\u200b\t@$!+|,\u00e9\u4e00\U0001f600") for _ in range(r.randrange(14)))
+        match = toxicity.SPACED.search(t) is not None
+        found += match
+        assert toxicity.may_be_spaced(t) or not match, t
+    assert found > 200
