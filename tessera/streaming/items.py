@@ -232,11 +232,14 @@ def distinct_summary(run: StreamRun, stream: DataFrame, params: FrequencyParams
     )
 
 
-def histogram(run: StreamRun, stream: DataFrame, params: FrequencyParams | int | None = None) -> DataFrame:
-    """``(item, n)``: exact counts, a streaming aggregation in update mode."""
+def histogram(
+    run: StreamRun, stream: DataFrame, params: FrequencyParams | int | None = None, drive: Callable = run_until_caught_up
+) -> DataFrame:
+    """``(item, n)``: exact counts, a streaming aggregation in update mode. ``drive`` runs the query:
+    until it has caught up, or as ``live.live_driver`` says; a later call goes on where it stopped."""
     log = LatestLog(run.spark, run.sink("histogram"), COUNT_SCHEMA, ["item"])
     counts = _prefix(stream, params).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
-    run_until_caught_up(counts, "histogram", "update", log.write, run.checkpoint("histogram"))
+    drive(counts, "histogram", "update", log.write, run.checkpoint("histogram"))
     return log.latest()
 
 
