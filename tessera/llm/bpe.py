@@ -32,7 +32,7 @@ import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.scratch import text_column
+from tessera.llm.scratch import releasing, text_column
 
 NEVER = np.iinfo(np.int64).max
 NO_RANK = 1 << 40
@@ -334,7 +334,7 @@ def encode_documents(documents: DataFrame, vocabulary: str, keys: tuple[str, ...
                     columns.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), flat))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(releasing(run), schema)
 
 
 def _parts(texts: pa.Array) -> Iterator[tuple[int, int]]:

@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.scratch import Scratch
 
-__all__ = ["Scratch", "broadcast_up_to", "text_column"]
+__all__ = ["Scratch", "broadcast_up_to", "releasing", "text_column"]
+
+
+def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task's function that gives its memory back to the system when the task ends. Python workers
+    live on between stages; what they had remembered would count against the executor all along."""
+
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+            if trim is not None:
+                trim(0)
+
+    return task
 
 
 def text_column(df: DataFrame, name: str = "text"):

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import Scratch, text_column
+from tessera.llm.scratch import Scratch, releasing, text_column
 
 MAX_LABELLED = 40_000
 CACHE_TOKENS = 150_000
@@ -275,7 +275,7 @@ def count_trigrams(documents: DataFrame) -> DataFrame:
         if len(keys):
             yield pd.DataFrame({"key": keys, "n": sums})
 
-    return source.mapInPandas(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    return source.mapInPandas(releasing(run), "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -297,14 +297,14 @@ def labelled_sample(s: Scratch, documents: DataFrame, labels: DataFrame, most: i
 
 
 def decoded(s: Scratch, train: DataFrame, model: CharModel) -> DataFrame:
-    """``(words, toxic)``: the sample's restored words in order, spelt-out ones last."""
+    """``(words, toxic)``: the sample's restored words in order, spelt-out ones last, with blanks between."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         r = Restorer(model)
         for pdf in batches:
-            yield pd.DataFrame({"words": [r.sequence(t) for t in pdf["text"]], "toxic": pdf["toxic"]})
+            yield pd.DataFrame({"words": [" ".join(r.sequence(t)) for t in pdf["text"]], "toxic": pdf["toxic"]})
 
-    return s.keep(train.mapInPandas(run, "words array<string>, toxic int"))
+    return s.keep(train.mapInPandas(releasing(run), "words string, toxic int"))
 
 
 def _evidence(s: Scratch, train: DataFrame) -> dict[str, float]:
@@ -315,7 +315,7 @@ def _evidence(s: Scratch, train: DataFrame) -> dict[str, float]:
         n = [Counter(), Counter()]
         for pdf in batches:
             for words, toxic in zip(pdf["words"], pdf["toxic"]):
-                words = set(words)
+                words = set(words.split())
                 n[toxic].update({f for w in words for f in word_features(w)})
                 n[toxic][""] += len(words)  # no feature is empty: the sum of words
         names = sorted(n[0].keys() | n[1].keys())
@@ -323,7 +323,7 @@ def _evidence(s: Scratch, train: DataFrame) -> dict[str, float]:
             part = names[i : i + 50_000]
             yield pd.DataFrame({"feature": part, "n0": [n[0][f] for f in part], "n1": [n[1][f] for f in part]})
 
-    by = s.keep(train.mapInPandas(counts, "feature string, n0 bigint, n1 bigint").groupBy("feature").agg(
+    by = s.keep(train.mapInPandas(releasing(counts), "feature string, n0 bigint, n1 bigint").groupBy("feature").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     sums = by.filter("feature = ''").first()
     if sums is None or not sums["n0"] or not sums["n1"]:
@@ -339,14 +339,14 @@ def _evidence(s: Scratch, train: DataFrame) -> dict[str, float]:
         for pdf in batches:
             rows = set()
             for words, toxic in zip(pdf["words"], pdf["toxic"]):
-                words = ["^", *words, "$"]
+                words = ["^", *words.split(), "$"]
                 for before, w, after in zip(words, words[1:], words[2:]):
                     for f in word_features(w) if w[:first] in heads else ():
                         if (i := index.get(f)) is not None:
                             rows.add((i, f"{before} {w[-1:]} {after}", toxic))
             yield pd.DataFrame(sorted(rows), columns=["i", "context", "toxic"])
 
-    around = train.mapInPandas(contexts, "i int, context string, toxic int")
+    around = train.mapInPandas(releasing(contexts), "i int, context string, toxic int")
     once = around.groupBy("i", "context").agg(F.min("toxic").alias("lo"), F.max("toxic").alias("hi")).filter("lo = hi")
     seen = once.groupBy("i").agg(F.sum("hi").alias("k1"), F.sum(1 - F.col("hi")).alias("k0")).collect()
     need, out, names = 2 * math.log(features), {}, list(index)
@@ -466,10 +466,10 @@ def fit(spark, documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            v = [_strengths(dict(_weighed(set(words), evidence, heads))) for words in pdf["words"]]
+            v = [_strengths(dict(_weighed(set(words.split()), evidence, heads))) for words in pdf["words"]]
             yield pd.DataFrame(v, columns=["a", "b", "c"]).assign(toxic=pdf["toxic"].to_numpy())
 
-    rows = train.mapInPandas(vectors, "a double, b double, c double, toxic int").toPandas()  # at most max_labelled rows
+    rows = train.mapInPandas(releasing(vectors), "a double, b double, c double, toxic int").toPandas()  # at most max_labelled rows
     s.drop(train)
     y = rows["toxic"].to_numpy(np.float64)
     if not len(y) or y.min() == y.max() or not evidence:
@@ -494,7 +494,7 @@ def score(documents: DataFrame, model: Model, keys: tuple[str, ...] = ("doc_id",
             out["score"] = [scorer.score(t) for t in pdf["_text"]]
             yield out
 
-    return source.mapInPandas(run, schema)
+    return source.mapInPandas(releasing(run), schema)
 
 
 def score_documents(spark, documents: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -515,10 +515,13 @@ def clean_rows(spark, documents: DataFrame, labels: DataFrame, max_labelled: int
     model = fit(spark, documents, labels, max_labelled)
     held = model.shared(spark)
 
-    @F.pandas_udf("double")
-    def toxic_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         scorer = Scorer(Model.of(held.value))
         for texts in batches:
             yield pd.Series([scorer.score(t or "") for t in texts], dtype="float64")
 
+    @F.pandas_udf("double")
+    def toxic_score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        yield from releasing(scores)(batches)
+
     return documents.filter(toxic_score(F.col("text")) < THRESHOLD)
