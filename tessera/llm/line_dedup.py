@@ -1,13 +1,17 @@
 """Line dedup by pairwise alignment of overlapping documents.
 
 Documents of equal lines are one class, whose first document stands for it; the others repeat it as a
-whole. Two classes overlap when they share a line, and every pair that overlaps is judged. A rare line
-(in at most ``RARE`` classes) pairs its holders, and these pairs are aligned as they are. A pair that
-shares frequent lines only is aligned the same way when all other lines are taken out of it: the form
-of a class is its frequent lines, with one mark for each run of other lines. A line that a third of
-all documents hold has many holders and few forms; pairs of forms are aligned, and what a pair of
-forms has in common holds for all their members. Which members are earlier is counted, not paired: by
-(form, slice of the order), and inside a slice by going through its members.
+whole. Two classes overlap when they share a line. A rare line (in at most ``RARE`` classes) pairs its
+holders, and all these pairs are aligned as they are. A pair that shares frequent lines only is aligned
+the same way when all other lines are taken out of it: the form of a class is its frequent lines, with
+one mark for each run of other lines. A line that a third of all documents hold has many holders and few
+forms, and what a pair of forms has in common holds for all their members.
+
+Pairs of forms are not all aligned. A block that goes has a run of neighbouring lines of ``MIN_CHARS``
+characters around each of its lines, which the earlier form holds too. Forms that hold a run are numbered
+by their first members, and rounds try the next ones (1, 2, 4, ...) for the lines still in place only: once
+a form takes a line, later ones can't take more. A line that no holder of its runs takes has met all of
+them in the end, so the result is that of all pairs.
 
 Each pair is aligned by patience diff: common heads and tails first, then the lines that are unique in
 both documents, in the longest order they share, then the same between two such anchors. Aligned runs
@@ -19,10 +23,12 @@ splits, and only the texts that lose lines are rebuilt.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -116,10 +122,61 @@ def _bare(line: Column) -> Column:
     return F.regexp_replace(line, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
 
 
-def _frequent(s: Scratch, classes: DataFrame, common: DataFrame, pairs: DataFrame, aligned) -> tuple[DataFrame, DataFrame]:
-    """``(b, at)`` and ``(b, n)``: lines lost to, and the number of, earlier classes that share frequent
-    lines only with b. ``common`` has a row per class and frequent line, ``pairs`` the classes that share a
-    rare line; n is less than 0 where their forms have blocks in common, as they count among the others."""
+def runs_of(hashes: list[int], chars: list[int], least: int) -> list[tuple[int, int, int]]:
+    """``(p, i, e)``: the shortest runs i..e of a form's lines that hold line p and have ``least`` characters.
+    Whatever common block holds p holds one of them, in both forms."""
+    out, start = [], 0
+    for end in [*(i for i, h in enumerate(hashes) if h == OTHER), len(hashes)]:
+        sums = list(accumulate(chars[start:end]))
+        filled = [i for i in range(len(sums)) if chars[start + i]]
+        for p in range(len(sums) if sums and sums[-1] >= least else 0):
+            i, k, last = p, bisect_left(filled, p), len(sums)
+            while True:
+                e = max(p, bisect_left(sums, sums[i] - chars[start + i] + least))
+                if e < last:
+                    out.append((start + p, start + i, start + e))
+                    last = e
+                if e == p or k == 0:
+                    break
+                k -= 1
+                i = filled[k]
+        start = end + 1
+    return out
+
+
+def _places(s: Scratch, forms: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """``(f, p, key)``: the runs around each line of each form, and ``(key, f, lo, r)``: the forms that hold a
+    run, numbered from 0 by their first members; both of runs that at least two members hold."""
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for c, hashes, chars in zip(pdf["c"], pdf["hashes"], pdf["chars"]):
+                found, keys = runs_of(hashes.tolist(), chars.tolist(), least), {}
+                for _, i, e in found:
+                    if (i, e) not in keys:
+                        digest = hashlib.blake2b(hashes[i : e + 1].astype(np.int64).tobytes(), digest_size=8).digest()
+                        keys[i, e] = int.from_bytes(digest, "little", signed=True)
+                yield pd.DataFrame({"f": c, "p": [p for p, _, _ in found], "key": [keys[i, e] for _, i, e in found]}).astype("int64")
+
+    spots = s.keep(forms.select("c", "hashes", "chars").mapInPandas(cut, "f bigint, p bigint, key bigint").distinct())
+    held = spots.select("key", "f").distinct().join(forms.select(F.col("c").alias("f"), "lo", "hi"), "f")
+    several = held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("lo") < F.col("hi")).alias("repeated")).filter("n > 1 OR repeated").select("key")
+    sorted_ = s.keep(
+        held.join(several, "key").select("key", "f", "lo").repartitionByRange("key", "lo").sortWithinPartitions("key", "lo")
+        .withColumn("g", F.monotonically_increasing_id()).withColumn("part", F.shiftright("g", 33))
+    )
+    before = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sorted_.groupBy("key", "part").agg(F.min("g").alias("g0"), F.count(F.lit(1)).alias("n")).select(
+        "key", "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("g0")).alias("shift"))
+    holders = s.keep(sorted_.join(starts, ["key", "part"]).select("key", "f", "lo", (F.col("g") + F.col("shift")).alias("r")))
+    kept = s.keep(spots.join(several, "key"))
+    s.drop(spots, sorted_)
+    return kept, holders
+
+
+def _frequent(s: Scratch, classes: DataFrame, common: DataFrame, pairs: DataFrame, aligned, least: int) -> DataFrame:
+    """``(b, at)``: lines lost to earlier classes that share frequent lines only with b. ``common`` has a row
+    per class and frequent line, ``pairs`` the classes that share a rare line, which are judged elsewhere."""
 
     def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -146,78 +203,77 @@ def _frequent(s: Scratch, classes: DataFrame, common: DataFrame, pairs: DataFram
     # x: class, f: form, o: place in the order, k: slice of the order
     members = s.keep(ordered.join(forms.select("form", F.col("c").alias("f")), "form").select("x", "f", "o", F.shiftright("o", 33).alias("k"), "places"))
     s.drop(formed, ordered)
-    lines = s.keep(forms.select("c", "lo", "hi", F.explode(F.array_distinct("hashes")).alias("h")).filter(~F.col("h").isin(BLANK, OTHER)))
-    of = lambda c: lines.select("h", F.col("c").alias(c), F.col("lo").alias(f"{c}_lo"), F.col("hi").alias(f"{c}_hi"))
-    alike = s.keep(of("a").join(of("b"), "h").filter("a_lo < b_hi").select("a", "b").distinct())
-    both = aligned(alike, forms)
-    s.drop(lines, alike)
-    counts = s.keep(members.groupBy("f", "k").agg(F.count(F.lit(1)).alias("n")))
-
-    # pairs of a rare line are judged by all their lines and don't count here
+    spots, holders = _places(s, forms, least)
+
+    # pairs of a rare line are judged by all their lines and don't count here: of a form with r members
+    # paired so, the member of number r, if it is earlier, shows that another one is
     side = lambda c: members.select(F.col("x").alias(c), F.col("f").alias(f"f{c}"))
-    known = s.keep(pairs.join(side("a"), "a").join(side("b"), "b").join(both.select(F.col("a").alias("fa"), F.col("b").alias("fb"), "at"), ["fa", "fb"]))
-    without = s.keep(known.groupBy("b", "fa").agg(F.count(F.lit(1)).alias("r"), F.first("at").alias("at")))
-
-    # lines: of each line of a form, the forms that show it, by their first members; a member takes the
-    # first form that none of its known pairs is in, and of forms with known pairs the first other member
-    shown = both.select(F.col("a").alias("fa"), F.col("b").alias("f"), F.explode("at").alias("p")).join(
-        forms.select(F.col("c").alias("fa"), "lo"), "fa")
-    shown = s.keep(shown.withColumn("j", F.row_number().over(Window.partitionBy("f", "p").orderBy("lo"))))
-    skip = without.groupBy(F.col("b").alias("x")).agg(F.collect_list("fa").alias("skip"))
-    asked = members.join(skip, "x", "left").withColumn("skip", F.coalesce("skip", F.array().cast("array<bigint>")))
-    plain = (
-        asked.withColumn("j", F.explode(F.sequence(F.lit(1), F.size("skip") + 1))).join(shown, ["f", "j"])
-        .filter((F.col("lo") < F.col("o")) & ~F.array_contains("skip", F.col("fa"))).select("x", "p")
-    )
+    known = s.keep(pairs.join(side("a"), "a").join(side("b"), "b").groupBy(F.col("b").alias("u"), "fa").agg(F.count(F.lit(1)).alias("r")))
+    counts = members.groupBy("f", "k").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("f").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
     start = counts.select("f", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
     ranks = members.select("f", "k", "o", F.row_number().over(Window.partitionBy("f", "k").orderBy("o")).alias("r")).join(start, ["f", "k"]).select(
-        F.col("f").alias("fa"), F.col("o").alias("ao"), (F.col("r") + F.col("n") - 1).alias("r"))
-    other = (
-        without.join(ranks, ["fa", "r"]).join(members.select(F.col("x").alias("b"), "o"), "b").filter("ao < o")
-        .select(F.col("b").alias("x"), F.explode("at").alias("p"))
-    )
-    lost = plain.unionByName(other).distinct().join(members.select("x", "places"), "x")
-    lost = s.keep(lost.select(F.col("x").alias("b"), F.element_at("places", F.col("p") + 1).alias("at")))
-
-    # partners: members of earlier slices by (form, slice), those of the own slice in order
-    each = both.select(F.col("a").alias("f"), "b").join(counts, "f").select(F.col("b").alias("f"), "k", "n")
-    earlier = each.unionByName(counts.select("f", "k", F.lit(0).cast("bigint").alias("n"))).groupBy("f", "k").agg(F.sum("n").alias("n"))
-    earlier = earlier.select("f", "k", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n"))
-    here = lambda c: counts.select(F.col("f").alias(c), F.col("k").alias(f"k{c}"))
-    inside = both.select("a", "b").join(here("a"), "a").join(here("b"), "b").filter("ka = kb").select("a", "b", F.col("ka").alias("k"))
-
-    def passed(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        left = left.sort_values("o")
-        at, names = pd.factorize(left["f"])
-        index = pd.Index(names)
-        a, b = index.get_indexer(right["a"]), index.get_indexer(right["b"])
-        by = np.argsort(b, kind="stable")
-        ends = np.searchsorted(b[by], np.arange(len(names) + 1))
-        alike, seen, n = [a[by[x:y]] for x, y in zip(ends, ends[1:])], np.zeros(len(names), np.int64), []
-        for f in at.tolist():
-            n.append(int(seen[alike[f]].sum()))
-            seen[f] += 1
-        return pd.DataFrame({"b": left["x"].to_numpy(), "n": n})
-
-    own = members.select("x", "f", "o", "k").groupBy("k").cogroup(inside.groupBy("k")).applyInPandas(passed, "b bigint, n bigint")
-    n = (
-        own.unionByName(members.join(earlier, ["f", "k"]).select(F.col("x").alias("b"), "n"))
-        .unionByName(without.select("b", (-F.col("r")).alias("n"))).groupBy("b").agg(F.sum("n").alias("n"))
-    )
-    return lost, s.keep(n)
+        F.col("f").alias("fa"), F.col("o").alias("other"), (F.col("r") + F.col("n") - 1).alias("r"))
+    others = s.keep(known.join(ranks, ["fa", "r"], "left").select("u", "fa", "other"))
+    apart = s.keep(known.select(F.col("u").alias("x")).distinct())
+    s.drop(known)
+
+    # u: all members of a form that have no such pair (-1 - f), or one member that has; a form that comes
+    # before ``until`` can still take line p from it
+    free = members.join(apart, "x", "left_anti")
+    units = free.groupBy("f").agg(F.max("o").alias("until")).select((-1 - F.col("f")).alias("u"), "f", "until").unionByName(
+        members.join(apart, "x").select(F.col("x").alias("u"), "f", F.col("o").alias("until")))
+    following = lambda r: holders.filter(F.col("r") == r).select("key", "lo")
+    places = ["u", "f", "p", "key", "until"]
+    active = s.keep(units.join(spots, "f").join(following(0), "key").filter("lo < until").select(*places))
+    tried, hits, first, width = [], [], 0, 1
+    while not active.isEmpty():
+        # the next holders of the runs still in place; twice as many each round
+        batch = holders.filter(F.col("r").between(first, first + width - 1)).select("key", F.col("f").alias("a"), "lo")
+        asked = active.groupBy(F.col("f").alias("b"), "key").agg(F.max("until").alias("until"))
+        new = asked.join(batch, "key").filter("lo < until").select("a", "b").distinct()
+        for t in tried:
+            new = new.join(t, ["a", "b"], "left_anti")
+        tried.append(s.keep(new))
+        found = aligned(tried[-1], forms)
+        shown = found.select(F.col("a").alias("fa"), F.col("b").alias("f"), F.explode(F.col("at").cast("array<bigint>")).alias("p")).join(
+            forms.select(F.col("c").alias("fa"), "lo"), "fa")
+        hit = (
+            active.select("u", "f", "p", "until").distinct().join(shown, ["f", "p"]).filter("lo < until")
+            .join(others.withColumn("paired", F.lit(True)), ["u", "fa"], "left").filter("paired IS NULL OR other < until")
+            .groupBy("u", "f", "p").agg(F.min("lo").alias("lo"))
+        )
+        hits.append(s.keep(hit))
+        first, width = first + width, 2 * width
+        rest = (
+            active.join(hits[-1].withColumnRenamed("lo", "best"), ["u", "f", "p"], "left").filter("best IS NULL OR u < 0")
+            .withColumn("until", F.least("until", "best")).join(following(first), "key").filter("lo < until").select(*places)
+        )
+        rest = s.keep(rest)
+        s.drop(active, found)
+        active = rest
+    if not hits:
+        return members.select(F.col("x").alias("b"), F.lit(0).alias("at")).limit(0)
+    taken = functools.reduce(DataFrame.unionByName, hits)
+    best = taken.filter("u < 0").groupBy("f", "p").agg(F.min("lo").alias("lo"))
+    of_free = free.select("x", "f", "o").join(best, "f").filter("lo < o").select("x", "p")
+    lost = of_free.unionByName(taken.filter("u >= 0").select(F.col("u").alias("x"), "p").distinct()).join(members.select("x", "places"), "x")
+    return s.keep(lost.select(F.col("x").alias("b"), F.element_at("places", (F.col("p") + 1).cast("int")).alias("at")))
 
 
 def dedup_lines(spark, documents: DataFrame, least: int = MIN_CHARS) -> DataFrame:
-    """``(doc_id, n_lines, n_removed, n_partners, kept_text)``, one row per document.
+    """``(doc_id, n_lines, n_removed, kept_text)``, one row per document; further columns of ``documents``
+    are not read, whatever their names.
 
-    Lines end at line feeds; they are equal when equal without white space around. n_partners counts
-    the earlier texts of which the document loses lines. Earlier means a smaller doc_id (null last;
-    texts of one id in a fixed order). A document of the same lines as an earlier one loses all of
+    Lines end at line feeds; they are equal when equal without white space around. A line goes if it lies
+    in a common block of ``least`` characters (at least 1) with any earlier text. Earlier means a smaller
+    doc_id (null last; texts of one id in a fixed order). A document of the same lines as an earlier one loses all of
     them, if they have ``least`` characters. Null texts count as empty: one blank line, never removed.
     Repeated rows share one decision by their text: of rows with the smallest id of their text none
-    is a copy. An empty table gives an empty result.
+    is a copy. An empty table gives an empty result. A text is one row of its task, whatever its length.
     """
+    if least < 1:
+        raise ValueError("a block has at least one character")
     s = Scratch(spark, "lines")
     text = text_column(documents)
     docs = documents.select("doc_id", F.transform(F.split(text, "\n"), _bare).alias("lines"))
@@ -261,38 +317,32 @@ def dedup_lines(spark, documents: DataFrame, least: int = MIN_CHARS) -> DataFram
         return s.keep(both.mapInPandas(align, "a bigint, b bigint, at array<int>"))
 
     near = aligned(pairs, classes)
-    far_lines, far_partners = _frequent(s, classes, shared.filter(f"n > {RARE}"), pairs, aligned)
-    partners = s.keep(
-        near.groupBy("b").agg(F.count(F.lit(1)).alias("n")).unionByName(far_partners)
-        .groupBy("b").agg(F.sum("n").alias("n_partners"))
-    )
+    far = _frequent(s, classes, shared.filter(f"n > {RARE}"), pairs, aligned, least)
     removed = s.keep(
-        near.select("b", F.explode("at").alias("at")).unionByName(far_lines).distinct()
+        near.select("b", F.explode("at").alias("at")).unionByName(far).distinct()
         .groupBy("b").agg(F.sort_array(F.collect_list("at")).alias("at"))
     )  # a list is at most as long as the document
     per_class = s.keep(
         classes.select("key", "c", "text_id", F.aggregate("chars", F.lit(0).cast("bigint"), lambda x, y: x + y).alias("all_chars"))
-        .join(removed.withColumnRenamed("b", "c"), "c", "left").join(partners.withColumnRenamed("b", "c"), "c", "left")
-        .select("key", "text_id", "all_chars", "at", F.coalesce("n_partners", F.lit(0).cast("bigint")).alias("n_partners"))
+        .join(removed.withColumnRenamed("b", "c"), "c", "left").select("key", "text_id", "all_chars", "at")
     )
     own = documents.select("doc_id", text.alias("text")).withColumn(
         "key", F.sha2(F.concat_ws("\n", F.transform(F.split("text", "\n"), _bare)).cast("binary"), 256)
     )
     copy = ~F.col("doc_id").eqNullSafe(F.col("text_id")) & (F.col("all_chars") >= least)
-    whole = own.join(per_class, "key").select("doc_id", "text", "at", copy.alias("copy"), "n_partners")
+    whole = own.join(per_class, "key").select("doc_id", "text", "at", copy.alias("copy"))
 
     def rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            n, gone, partners_, kept = [], [], [], []
-            for t, at, is_copy, k in zip(pdf["text"], pdf["at"], pdf["copy"], pdf["n_partners"]):
+            n, gone, kept = [], [], []
+            for t, at, is_copy in zip(pdf["text"], pdf["at"], pdf["copy"]):
                 rows = lines_of(t)
                 drop = set(range(len(rows))) if is_copy else set(at.tolist() if at is not None else ())
                 n.append(len(rows))
                 gone.append(len(drop))
-                partners_.append(k + 1 if is_copy else k)
                 kept.append("\n".join([x for i, x in enumerate(rows) if i not in drop]))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_lines": n, "n_removed": gone, "n_partners": partners_, "kept_text": kept})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_lines": n, "n_removed": gone, "kept_text": kept})
 
     kind = whole.schema["doc_id"].dataType.simpleString()
-    return whole.mapInPandas(rebuild, f"doc_id {kind}, n_lines bigint, n_removed bigint, n_partners bigint, kept_text string")
+    return whole.mapInPandas(rebuild, f"doc_id {kind}, n_lines bigint, n_removed bigint, kept_text string")
 
