@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import frequency as FQ
+from tessera.operators import coresets as CS
 from tessera.operators import kcenter as KC
 from tessera.operators import outliers as OL
 from tessera.operators import words as WC
@@ -38,6 +39,7 @@ from tessera.sources.text import doc_lines
 # fixed values of the query bindings
 PTS_D, PTS_M, PTS_TOPK = 0.05, 5, 10
 KC_K, KC_L = 4, 3
+KC_BLOCKS = 4
 ORD_D, ORD_M = 14.0, 5  # a seventh of the points are outliers at 15,000 orders
 LI_D, LI_M = 0.4, 7  # a fifth at 60,000 lines
 WORD_SALTS = 8
@@ -163,6 +165,10 @@ def q_kcenter_coreset(spark, d):
     return KC.coreset(pts(spark, d), KC_K, KC_L)
 
 
+def q_kcenter_coreset_one_pass(spark, d):
+    return CS.one_pass_coreset(pts(spark, d), KC_K, KC_L, KC_BLOCKS)
+
+
 def q_kcenter_centers(spark, d):
     return KC.mr_centers(pts(spark, d), KC_K, KC_L)
 
@@ -294,6 +300,7 @@ QUERIES: dict[str, Query] = {
     "approx_outlier_counts_li": q_approx_outlier_counts_li,
     "exact_outliers_li": q_exact_outliers_li,
     "kcenter_coreset": q_kcenter_coreset,
+    "kcenter_coreset_one_pass": q_kcenter_coreset_one_pass,
     "kcenter_centers": q_kcenter_centers,
     "kcenter_global": q_kcenter_global,
     "nearest_center_distance": q_nearest_center_distance,

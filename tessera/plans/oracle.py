@@ -170,6 +170,13 @@ def _kc_centers() -> str:
     return _with(PTS, core, cen, near)
 
 
+def _one_pass_coreset() -> str:
+    block = f"(CAST(('0x' || substr(md5(CAST(id AS VARCHAR)), 1, 8)) AS BIGINT) % {C.KC_L * C.KC_BLOCKS})"
+    blocks = _fft("pts", C.KC_K, "id, x, y", block, "blk")
+    merged = _fft("(SELECT part AS block, pick AS bpick, id, x, y FROM blk)", C.KC_K, "block, bpick", f"(block % {C.KC_L})", "mrg")
+    return _with(PTS, blocks, merged) + "SELECT CAST(part AS BIGINT) AS part, CAST(pick AS INTEGER) AS pick, id, x, y FROM mrg"
+
+
 def _radius_outliers() -> str:
     lam = f"CAST(CAST((SELECT max(d) FROM ncd) AS DOUBLE) / {SQRT8!r} AS FLOAT)"
     return (
@@ -238,6 +245,7 @@ def oracle_sql() -> dict[str, str]:
         "approx_outlier_counts_li": _with(LI, _cells(C.LI_D)) + _approx_counts(C.LI_M),
         "exact_outliers_li": _with(LI, _balls(C.LI_D)) + f"SELECT x, y, w, ball FROM balls WHERE ball <= {C.LI_M}",
         "kcenter_coreset": _kc_centers() + "SELECT CAST(part AS BIGINT) AS part, CAST(pick AS INTEGER) AS pick, id, x, y FROM core",
+        "kcenter_coreset_one_pass": _one_pass_coreset(),
         "kcenter_centers": _kc_centers() + "SELECT CAST(pick AS INTEGER) AS pick, id, x, y FROM cen",
         "kcenter_global": _with(PTS, _fft("pts", C.KC_K, "id", None, "g"))
         + "SELECT CAST(pick AS INTEGER) AS pick, id, x, y FROM g",
