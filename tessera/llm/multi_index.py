@@ -192,13 +192,15 @@ def search(spark, rows: DataFrame, asked, k: int = 20, id_col: str = "vec_id", v
         "slice", F.pmod(F.xxhash64("q"), F.lit(slices)).cast("int")
     )
     block = F.pmod(F.xxhash64("c"), F.element_at(F.array(*[F.lit(b) for b in blocks]), F.col("c1") + 1).cast("bigint")).cast("int")
-    placed = indexed.withColumn("block", block).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    placed = indexed.select("c1", "c2", "v", "c", F.element_at("ids", 1).alias("least"), block.alias("block")).withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
     width = len(index.books[1])
 
     def ranked(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            e, c2, ids = _matrix(left["v"]), left["c2"].to_numpy(), left["c"].to_numpy()
+            e, c2, ids, least = _matrix(left["v"]), left["c2"].to_numpy(), left["c"].to_numpy(), left["least"].to_numpy()
+            # the product's last bits may differ from the exact score's
+            margin = 4 * e.shape[1] * np.finfo(float).eps * np.sqrt((e * e).sum(axis=1).max())
             for at in range(0, len(right), STEP):
                 part = right.iloc[at : at + STEP]
                 x = _matrix(part["v"])
@@ -206,12 +208,13 @@ def search(spark, rows: DataFrame, asked, k: int = 20, id_col: str = "vec_id", v
                 for i, cells in enumerate(part["cells"]):
                     seen[i, cells] = True
                 near = np.where(seen[:, c2], x @ e.T, -np.inf)
-                most = min(2 * k + 8, near.shape[1])  # more than k + 1, as the product's last bits may differ
-                best = np.argpartition(-near, most - 1, axis=1)[:, :most]
+                last = min(k + 1, near.shape[1])
+                bound = np.partition(-near, last - 1, axis=1)[:, last - 1]
                 for i, q in enumerate(part["q"]):
-                    pick = best[i][near[i, best[i]] > -np.inf]
+                    # all that tie with the (k + 1)-th; of equal scores the entries of smaller ids stay
+                    pick = np.flatnonzero((near[i] > -np.inf) & (near[i] >= -bound[i] - 2 * margin * np.sqrt((x[i] * x[i]).sum())))
                     exact = (e[pick] * x[i]).sum(axis=1)
-                    order = np.lexsort((ids[pick], -exact))[: k + 1]
+                    order = np.lexsort((least[pick], -exact))[: k + 1]
                     out.append((q, ids[pick][order].tolist(), exact[order].tolist()))
         return pd.DataFrame(out, columns=["q", "c", "score"])
 

@@ -440,6 +440,14 @@ def test_multi_index(spark):
     assert multi_index.search(spark, df.limit(0), lambda i: i == 0).collect() == []
 
 
+def test_multi_index_ties_go_to_smaller_ids(spark):
+    """More different vectors of one score than are asked for; the index visits all of so few."""
+    ids = random.Random(4).sample(range(1, 5000), 83) + [5000]
+    rows = [(i, [float(n == at) for n in range(84)]) for at, i in enumerate(ids)]
+    got = multi_index.search(spark, spark.createDataFrame(rows, "vec_id bigint, embedding array<float>"), lambda i: i == 5000, k=20).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank)] == [(n, i, 0.0) for n, i in enumerate(sorted(ids)[:20], 1)]
+
+
 def test_multi_index_walks_cells_in_order():
     r = np.random.default_rng(2)
     a, b, counts = r.normal(size=9), r.normal(size=7), r.integers(0, 4, (9, 7))
