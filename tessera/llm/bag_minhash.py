@@ -127,10 +127,10 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def sign_documents(documents: DataFrame) -> DataFrame:
-    """``(doc_id, key, bands)`` per row: the digest of the word sequence and the band keys (null
-    without words)."""
-    source = documents.select("doc_id", text_column(documents).alias("text"))
-    schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, key binary, bands array<bigint>"
+    """``(doc_id, th, key, bands)`` per row: a hash of the text, the digest of the word sequence and the
+    band keys (null without words)."""
+    source = documents.select("doc_id", text_column(documents).alias("text")).withColumn("th", F.xxhash64("text"))
+    schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, th bigint, key binary, bands array<bigint>"
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -142,7 +142,7 @@ def sign_documents(documents: DataFrame) -> DataFrame:
                     end += 1
                 made = [shingles(t) for t in texts[at:end]]
                 keys = bands(signatures([x[:2] for x in made]))
-                part = pdf.iloc[at:end][["doc_id"]].copy()
+                part = pdf.iloc[at:end][["doc_id", "th"]].copy()
                 part["key"] = [x[2] for x in made]
                 part["bands"] = [k.tolist() if len(x[0]) else None for k, x in zip(keys, made)]
                 yield part
@@ -174,18 +174,20 @@ def verified(pairs: DataFrame, texts: DataFrame, least: float = SIMILAR) -> Data
 
 
 def near_groups(spark, documents: DataFrame) -> DataFrame:
-    """``(doc_id, class_id, text_id, group_size, kept)``, one row per document.
+    """``(doc_id, class_id, text_id, group_size, kept, key, th)``, one row per document.
 
     class_id is the smallest doc_id of the near-duplicate group (groups are connected by verified
     pairs), text_id that of the documents of equal words, whatever their case. Exactly one row per
     group is ``kept``, one with class_id. Null texts count as empty; texts without words are one
     group; texts of under five words are near duplicates only if equal. Ids may repeat or be null: a
     null id is a class_id only if all ids of the group are null. An empty table gives an empty result.
+    ``key`` is the digest of the words, ``th`` a hash of the text, by which rows of one id are told apart.
     """
     s = Scratch(spark, "minhash")
     signed = s.keep(sign_documents(documents))
     classes = s.keep(
-        signed.groupBy("key").agg(F.min("doc_id").alias("text_id"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
+        signed.groupBy("key").agg(F.min("doc_id").alias("text_id"), F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "th"))["th"].alias("th"),
+            F.first("bands").alias("bands"), F.count(F.lit(1)).alias("n"))
         .withColumn("c", F.monotonically_increasing_id())
     )
     n = classes.count()
@@ -196,12 +198,11 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     s.drop(sizes)
     # whole texts of the classes that share a bucket, one row each; a merge join at every size, as what
     # is wanted grows with the documents
-    wanted = shared.select("c").distinct().join(classes.select("c", "key", "text_id"), "c")
+    wanted = shared.select("c").distinct().join(classes.select("c", "key", "text_id", F.col("th").alias("text_th")), "c")
     docs = documents.select(F.col("doc_id"), text_column(documents).alias("text"))
-    texts = s.keep(
-        docs.join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("text_id"))).select("c", "key", "text")
-    )
-    # an id may belong to several texts: only the one with the class's words stands for it
+    of_class = F.col("doc_id").eqNullSafe(F.col("text_id")) & (F.xxhash64("text") == F.col("text_th"))
+    texts = s.keep(docs.join(wanted.hint("merge"), of_class).select("c", "key", "text"))
+    # rows may repeat, or share id and hash: one text with the class's words stands for it
     repeated = texts.groupBy("c").count().filter("count > 1").limit(1).count() > 0
     if repeated:
         texts = s.keep(_of_key(texts).dropDuplicates(["c"]).select("c", "text"))
@@ -228,10 +229,10 @@ def near_groups(spark, documents: DataFrame) -> DataFrame:
     per_class = s.keep(per_class.coalesce(few))
     heads = s.keep(per_class.groupBy("component").agg(F.min("text_id").alias("class_id"), F.sum("n").alias("group_size")).coalesce(few))
     known = s.keep(per_class.join(heads, "component").select("key", "text_id", "component", "class_id", "group_size").coalesce(few))
-    out = signed.select("doc_id", "key").join(known, "key")
-    again = Window.partitionBy("doc_id", "component").orderBy("key")
+    out = signed.select("doc_id", "key", "th").join(known, "key")
+    again = Window.partitionBy("doc_id", "component").orderBy("key", "th")
     first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.row_number().over(again) == 1)
-    return out.select("doc_id", "class_id", "text_id", "group_size", first.alias("kept"), "key")
+    return out.select("doc_id", "class_id", "text_id", "group_size", first.alias("kept"), "key", "th")
 
 
 def _of_key(texts: DataFrame) -> DataFrame:
@@ -312,9 +313,9 @@ def _across(s: Scratch, members: DataFrame, texts: DataFrame) -> DataFrame:
 
 def distinct_rows(spark, documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that stay, one of each near-duplicate group, with all columns."""
-    kept = near_groups(spark, documents).filter("kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    kept = near_groups(spark, documents).filter("kept").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"), F.col("th").alias("_th"))
     repeated = not documents.groupBy("doc_id").count().filter("count > 1").isEmpty()
-    both = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")))
+    both = documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(text_column(documents)) == F.col("_th")))
     if not repeated:
         return both.select(*documents.columns)
     # an id on several rows: hold each text against the words that stay
@@ -325,5 +326,6 @@ def distinct_rows(spark, documents: DataFrame) -> DataFrame:
             yield pd.Series([shingles(x or "")[2] for x in t], dtype=object)
 
     own = both.withColumn("_own", words_key(F.col("text"))).filter("_own = _key")
-    first = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy(F.lit(1)))
+    others = [c for c in documents.columns if c != "doc_id"]  # of rows that repeat an id the least by their columns
+    first = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy(*others))
     return own.withColumn("_first", first).filter("_first = 1").select(*documents.columns)

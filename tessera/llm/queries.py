@@ -58,7 +58,7 @@ def op7_line_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op8_bag_minhash(spark: SparkSession, d: str) -> DataFrame:
-    return bag_minhash.near_groups(spark, table(spark, d, "documents")).drop("key")
+    return bag_minhash.near_groups(spark, table(spark, d, "documents")).drop("key", "th")
 
 
 def op9_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:

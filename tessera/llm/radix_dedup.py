@@ -78,5 +78,6 @@ def distinct_rows(spark, documents: DataFrame) -> DataFrame:
     kept = dedup(spark, documents).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha"))
     docs = documents.withColumn("_own", F.sha2(F.encode(normalised(text_column(documents)), "utf-8"), 256))
     both = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_sha")))
-    first = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy(F.lit(1)))
+    others = [c for c in documents.columns if c != "doc_id"]  # rows that repeat an id: the least by their columns
+    first = F.row_number().over(Window.partitionBy("doc_id", "_own").orderBy(*others))
     return both.withColumn("_first", first).filter("_first = 1").select(*documents.columns)

@@ -6,7 +6,9 @@ has an anchor that its bytes decide, the least hash of its 16-byte substrings, s
 equal anchors. The work is:
 
 * anchors: every text's distinct anchors (one for about 20 bytes) are packed, dealt by hash, and those
-  that two different texts hold are sent back to these texts. Texts of equal bytes count as one;
+  that two different texts hold are sent back to these texts. Texts of equal bytes count as one, and
+  a task packs them once. Anchors that several texts of a task share are dealt by (hash, text) first,
+  where holders are counted, so that no task gets all holders of a frequent anchor;
 * segments: the runs of windows of one shared anchor are cut out of the texts and dealt to shards by
   the anchor;
 * shards: distinct segments are sorted as a suffix array by Larsson-Sadakane refinement in numpy
@@ -24,13 +26,14 @@ least 2^14 and such that at most 2^22 anchors are hot, a proven bound for what t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import xxhash
 from numpy.lib.stride_tricks import as_strided
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.scratch import Scratch, text_column
@@ -42,7 +45,8 @@ GROUP_BYTES = 1 << 20  # bytes of texts worked on together
 PART_BYTES = 4 << 20  # packed anchors dealt to one group
 SHARD_BYTES = 2 << 20  # segments dealt to one group, and in one suffix array
 HOT, MAX_HOT = 1 << 14, 1 << 22
-LAST = (1 << 63) - 1  # the order of a null id
+OFTEN = 4  # texts of GROUP_BYTES that share an anchor: it's dealt in two steps
+LAST = (1 << 63) - 1  # larger than any order
 
 _GOLDEN, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _LOW48 = np.uint64((1 << 48) - 1)
@@ -144,48 +148,85 @@ def _groups(pdf: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
         yield pdf.iloc[at], made
 
 
-def shared_anchors(s: Scratch, texts: DataFrame, parts: int, hot: int) -> DataFrame:
+def _packed(part: int, salt: int, th: np.ndarray, low: np.ndarray, top: np.ndarray) -> tuple:
+    """One row of (text, anchor) pairs, sorted by text: texts, anchors of each, 6 bytes an anchor; and
+    the anchors known to be hot."""
+    first = np.flatnonzero(np.concatenate([[True], th[1:] != th[:-1]])) if len(th) else np.empty(0, np.int64)
+    n = np.diff(np.append(first, len(th))).astype("<u4")
+    six = lambda x: x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return part, salt, th[first].astype("<i8").tobytes(), n.tobytes(), six(low), six(top)
+
+
+def _unpacked(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct (text, anchor) pairs sorted by anchor, and the distinct hot anchors."""
+
+    def eight(column: str) -> np.ndarray:
+        raw = np.frombuffer(b"".join(pdf[column]), np.uint8).reshape(-1, 6)
+        out = np.zeros((len(raw), 8), np.uint8)
+        out[:, :6] = raw
+        return out.view("<u8").ravel()
+
+    th = np.frombuffer(b"".join(pdf["th"]), "<i8")
+    th, low = np.repeat(th, np.frombuffer(b"".join(pdf["n"]), "<u4")), eight("low")
+    order = np.lexsort((th, low))
+    th, low = th[order], low[order]
+    if len(th):
+        new = np.concatenate([[True], (th[1:] != th[:-1]) | (low[1:] != low[:-1])])
+        th, low = th[new], low[new]
+    return th, low, np.unique(eight("top"))
+
+
+def _holders(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted anchors the first place of each, and how many equal it."""
+    begin = np.concatenate([[True], low[1:] != low[:-1]]) if len(low) else np.empty(0, bool)
+    run = np.cumsum(begin) - 1
+    return begin, np.bincount(run)[run] if len(low) else run
+
+
+def shared_anchors(s: Scratch, texts: DataFrame, parts: int, hot: int, salts: int) -> DataFrame:
     """``(th, keys)``: per text the keys of its anchors that another text has too; under a null th the
     anchors that more than ``hot`` texts have, which are in no other list."""
+    schema = "part int, salt int, th binary, n binary, low binary, top binary"
+    columns, none = ["part", "salt", "th", "n", "low", "top"], np.empty(0, np.uint64)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set[int] = set()  # copies of a text of this task have nothing to add
         for pdf in batches:
+            pdf = pdf[[x not in seen and not seen.add(x) for x in pdf["th"].tolist()]]
             for rows, made in _groups(pdf):
                 doc, h = Texts(made).distinct_anchors()
-                part, th = _part(h, parts), rows["th"].to_numpy(np.int64)
-                order = np.argsort(part, kind="stable")
-                part, doc, low = part[order], doc[order], (h[order] & _LOW48).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-                edges = np.append(np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])), len(part))
-                out = []
-                for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-                    d = doc[a:b]
-                    first = np.flatnonzero(np.concatenate([[True], d[1:] != d[:-1]]))
-                    n = np.diff(np.append(first, len(d))).astype("<u4")
-                    out.append((int(part[a]), th[d[first]].astype("<i8").tobytes(), n.tobytes(), low[a:b].tobytes()))
-                yield pd.DataFrame(out, columns=["part", "th", "n", "low"])
+                _, which, n = np.unique(h, return_inverse=True, return_counts=True)
+                part, th, low = _part(h, parts), rows["th"].to_numpy(np.int64)[doc], h & _LOW48
+                salt = np.where(n[which] >= OFTEN, th % salts, -1)
+                order = np.lexsort((th, salt, part))
+                part, salt, th, low = part[order], salt[order], th[order], low[order]
+                edges = np.append(np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (salt[1:] != salt[:-1])])), len(part))
+                out = [_packed(int(part[a]), int(salt[a]), th[a:b], low[a:b], none) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
+                yield pd.DataFrame(out, columns=columns)
+
+    def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        th, low, _ = _unpacked(pdf)
+        begin, n = _holders(low)
+        some, top = n <= hot, low[(n > hot) & begin]
+        th, low = th[some], low[some]
+        order = np.argsort(th, kind="stable")
+        return pd.DataFrame([_packed(int(key[0]), -1, th[order], low[order], top)], columns=columns)
 
     def match(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        th = np.frombuffer(b"".join(pdf["th"]), "<i8")
-        th = np.repeat(th, np.frombuffer(b"".join(pdf["n"]), "<u4"))
-        raw = np.frombuffer(b"".join(pdf["low"]), np.uint8).reshape(-1, 6)
-        low = np.zeros((len(raw), 8), np.uint8)
-        low[:, :6] = raw
-        low = low.view("<u8").ravel()
-        order = np.lexsort((th, low))
-        th, low = th[order], low[order]
-        new = np.concatenate([[True], (th[1:] != th[:-1]) | (low[1:] != low[:-1])])
-        th, low = th[new], low[new]
-        begin = np.concatenate([[True], low[1:] != low[:-1]])
-        run = np.cumsum(begin) - 1
-        n = np.bincount(run)[run]
-        keys = (low | (np.uint64(key[0] & 0xFFFF) << np.uint64(48))).view(np.int64)
-        some, top = (n > 1) & (n <= hot), (n > hot) & begin
-        out = pd.DataFrame({"th": pd.array(th[some], "Int64"), "key": keys[some]})
-        return pd.concat([out, pd.DataFrame({"th": pd.array([None] * int(top.sum()), "Int64"), "key": keys[top]})])
-
-    dealt = texts.select("th", "text").mapInPandas(pack, "part int, th binary, n binary, low binary")
-    found = dealt.groupBy("part").applyInPandas(match, "th bigint, key bigint")
-    return s.keep(found.groupBy("th").agg(F.collect_list("key").alias("keys")))
+        th, low, known = _unpacked(pdf)
+        begin, n = _holders(low)
+        keyed = lambda x: (x | (np.uint64(key[0] & 0xFFFF) << np.uint64(48))).view(np.int64)
+        told = np.isin(low, known)
+        some, top = (n > 1) & (n <= hot) & ~told, np.union1d(known, low[(n > hot) & begin])
+        out = pd.DataFrame({"th": pd.array(th[some], "Int64"), "key": keyed(low[some])})
+        return pd.concat([out, pd.DataFrame({"th": pd.array([None] * len(top), "Int64"), "key": keyed(top)})])
+
+    dealt = s.keep(texts.select("th", "text").mapInPandas(pack, schema))
+    often = dealt.filter("salt >= 0").groupBy("part", "salt").applyInPandas(fold, schema)
+    found = dealt.filter("salt < 0").unionByName(often).groupBy("part").applyInPandas(match, "th bigint, key bigint")
+    out = s.keep(found.groupBy("th").agg(F.collect_list("key").alias("keys")))
+    s.drop(dealt)
+    return out
 
 
 # ---- suffix arrays -------------------------------------------------------------------------------
@@ -362,7 +403,7 @@ def _spans(s: Scratch, docs: DataFrame, reps: DataFrame, shared: DataFrame, part
     """``(th, spans)``: covered ranges of the texts, as start * 128 + length."""
     # what is known of the texts grows with them: a merge join at every size
     lists = reps.join(shared.filter("th is not null"), "th").hint("merge")
-    texts = docs.join(lists, ["th", "doc_id"]).select("th", "ord", "text", "keys")
+    texts = docs.join(lists, ["th", "ord"]).select("th", "ord", "text", "keys")
 
     def segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -410,7 +451,7 @@ def _spans(s: Scratch, docs: DataFrame, reps: DataFrame, shared: DataFrame, part
                     })
 
         every = docs.select("th", "ord", "text").mapInPandas(windows, "digest binary, ord bigint, th bigint, at bigint")
-        found = s.keep(every.join(reps.select("th", F.col("doc_id").cast("bigint").alias("ord")), ["th", "ord"]))
+        found = s.keep(every.join(reps, ["th", "ord"]))
         least = s.keep(found.groupBy("digest").agg(F.min("ord").alias("least")))
         more = found.join(least, "digest").filter("ord > least").select("th", (F.col("at") * 128 + LENGTH).alias("span"))
         spans = spans.unionByName(more)
@@ -433,30 +474,52 @@ def remove_spans(text: bytes, spans: np.ndarray) -> tuple[int, int, bytes]:
     return int((end - begin).sum()), len(begin), b"".join(kept)
 
 
+def text_hash(raw: Column, seed: int) -> Column:
+    return F.xxhash64(raw, F.lit(seed))
+
+
+def identified(s: Scratch, documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents ``(doc_id, ord, th, text)``, their rows without the text, and the texts of at least
+    LENGTH bytes ``(th, o)`` with their smallest id. ``th`` is a 64-bit hash that is told apart by SHA-256:
+    where two texts share one (n^2 / 2^65 are expected among n texts) both get another."""
+    raw = text_column(documents).cast("binary")
+    th, seed = text_hash(raw, 0), 0
+    while True:
+        docs = documents.select("doc_id", F.col("doc_id").cast("bigint").alias("ord"), th.alias("th"), raw.alias("text"))
+        rows = s.keep(docs.select("doc_id", "ord", "th", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("sha")))
+        reps = s.keep(
+            rows.filter(f"n_bytes >= {LENGTH} AND ord IS NOT NULL").groupBy("th")
+            .agg(F.min("ord").alias("o"), (F.min("sha") != F.max("sha")).alias("several"))
+        )
+        taken = [r["th"] for r in reps.filter("several").select("th").collect()]
+        if not taken:
+            return docs, rows, reps.select("th", "o")
+        s.drop(rows, reps)
+        seed += 1
+        th = F.when(th.isin(taken), text_hash(raw, seed)).otherwise(th)
+
+
 def dedup_passages(spark, documents: DataFrame, hot: int | None = None) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)``, one row per document.
 
-    A null text is an empty one. Documents of one id don't cover each other; a null id is larger than
-    any other. Of documents of equal bytes all but those of the smallest id lose everything (if they
-    have 50 bytes). Shorter texts lose nothing; an empty table gives an empty result. Texts are told
-    apart by a 64-bit hash.
+    A null text is an empty one. Documents of one id don't cover each other; a document of a null id
+    loses nothing and covers nothing. Of documents of equal bytes all but those of the smallest id lose
+    everything (if they have 50 bytes). Shorter texts lose nothing; an empty table gives an empty
+    result. Other columns, whatever their names, aren't read.
     """
     s = Scratch(spark, "suffix")
-    raw = text_column(documents).cast("binary")
-    docs = documents.select(
-        "doc_id", F.coalesce(F.col("doc_id").cast("bigint"), F.lit(LAST)).alias("ord"), F.xxhash64(raw).alias("th"), raw.alias("text")
-    )
-    rows = s.keep(docs.select("doc_id", "ord", "th", F.octet_length("text").cast("bigint").alias("n_bytes"), F.sha2("text", 256).alias("sha")))
+    docs, rows, reps = identified(s, documents)
     total = rows.agg(F.sum("n_bytes")).first()[0] or 0
     anchors = total // 20  # about one for 20 bytes
     parts = max(4, -(-anchors * 10 // PART_BYTES))
     most = hot if hot is not None else max(HOT, anchors // MAX_HOT)
-    reps = s.keep(rows.filter(f"n_bytes >= {LENGTH}").groupBy("th").agg(F.min("ord").alias("o"), F.min("doc_id").alias("doc_id")))
-    shared = shared_anchors(s, docs, parts, most)
+    salts = max(4, math.isqrt(reps.count() // max(most, 1) + 1))
+    docs = docs.filter(F.col("ord").isNotNull() & (F.octet_length("text") >= LENGTH))
+    shared = shared_anchors(s, docs, parts, most, salts)
     top = shared.filter("th is null").first()
     n = shared.filter("th is not null").agg(F.sum(F.size("keys"))).first()[0] or 0
     groups = max(4, -(-n * (LENGTH + SPAN) // SHARD_BYTES))
-    known = reps.filter("doc_id is not null").select("th", "doc_id")  # all-null classes can't cover or be told apart
+    known = reps.select("th", F.col("o").alias("ord"))
     spans = _spans(s, docs, known, shared, parts, groups, np.array(top["keys"] if top else [], np.int64))
     s.drop(shared)
 
@@ -468,15 +531,15 @@ def dedup_passages(spark, documents: DataFrame, hot: int | None = None) -> DataF
             })
 
     lost = s.keep(
-        docs.select("th", "doc_id", "text").join(spans.join(known, "th").hint("merge"), ["th", "doc_id"]).select("th", "text", "spans")
+        docs.select("th", "ord", "text").join(spans.join(known, "th").hint("merge"), ["th", "ord"]).select("th", "text", "spans")
         .mapInPandas(rebuild, "th bigint, gone bigint, runs bigint, kept string").dropDuplicates(["th"])
     )
-    out = rows.join(reps.select("th", "o"), "th", "left").join(lost, "th", "left")
-    copy = F.coalesce(F.col("ord") > F.col("o"), F.lit(False))
+    out = rows.join(reps, "th", "left").join(lost, "th", "left")
+    copy, known = F.coalesce(F.col("ord") > F.col("o"), F.lit(False)), F.col("ord").isNotNull()
     nothing = hashlib.sha256(b"").hexdigest()
     return out.select(
         "doc_id", "n_bytes",
-        F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("gone", F.lit(0))).cast("bigint").alias("n_removed"),
-        F.when(copy, F.lit(1)).otherwise(F.coalesce("runs", F.lit(0))).cast("bigint").alias("n_spans"),
-        F.when(copy, F.lit(nothing)).otherwise(F.coalesce("kept", "sha")).alias("kept_sha256"),
+        F.when(copy, F.col("n_bytes")).when(known, F.coalesce("gone", F.lit(0))).otherwise(0).cast("bigint").alias("n_removed"),
+        F.when(copy, F.lit(1)).when(known, F.coalesce("runs", F.lit(0))).otherwise(0).cast("bigint").alias("n_spans"),
+        F.when(copy, F.lit(nothing)).when(known, F.coalesce("kept", "sha")).otherwise(F.col("sha")).alias("kept_sha256"),
     )

@@ -7,12 +7,15 @@ import random
 import re
 import zlib
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import bag_minhash, bpe, kd_shards, line_dedup, mixing, multi_index, radix_dedup, suffix_dedup, toxicity, url_filter
 from tessera.llm.queries import vocabulary_path
+from tessera.llm.sql import OP9
 
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, size int, key string, c int, n int, "
@@ -244,6 +247,23 @@ def test_bag_minhash_is_unbiased():
     assert abs((a == b).mean() - true) < 0.02
 
 
+def test_near_groups_of_a_null_id(spark):
+    r = random.Random(4)
+    text = lambda: " ".join(r.choice(WORDS) + str(r.randrange(40)) for _ in range(30))
+    base = [text() for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(base)] + [(None, t + " more") for t in base[:10]] + [(None, text()) for _ in range(40)]
+    rows += [(None, rows[-1][1]), (None, rows[-1][1].upper()), (3, base[5]), (3, base[3]), (3, base[3])]
+    docs = frame(spark, rows)
+    kept = [r.text for r in bag_minhash.distinct_rows(spark, docs).collect()]
+    # a null-id copy of a text with an id goes; of three rows of one null-id text one stays
+    assert collections.Counter(t.lower() for t in kept) == collections.Counter(base + [t for _, t in rows[30:70]])
+    out = bag_minhash.near_groups(spark, docs).collect()
+    assert len(out) == len(rows) and sum(x.kept for x in out) == len(kept)
+    for module in (bag_minhash, radix_dedup):  # of rows that repeat an id and a text the least by their columns
+        repeated = docs.filter("doc_id is not null").limit(5).withColumn("n", F.explode(F.array(*[F.lit(x) for x in (7, 3, 9)])))
+        assert {x.n for x in module.distinct_rows(spark, repeated).collect()} == {3}
+
+
 def test_suffix_dedup(spark, hard, none):
     for rows, docs, hot in ((hard_texts(), hard, None), (hard_texts(), hard, 1), (many_passages(), frame(spark, many_passages()), 5)):
         got = collections.Counter(tuple(r) for r in suffix_dedup.dedup_passages(spark, docs, hot).collect())
@@ -251,6 +271,51 @@ def test_suffix_dedup(spark, hard, none):
     assert suffix_dedup.dedup_passages(spark, none).collect() == []
 
 
+def test_passages_of_null_ids_and_the_sql(spark, none):
+    made = many_passages()
+    rows = [(None if n % 3 == 0 else i, t) for n, (i, t) in enumerate(made)] + [(None, made[1][1]), (900, made[0][1]), (901, None), (None, None)]
+    want = passages_removed(rows)
+    for hot in (None, 2):
+        assert collections.Counter(tuple(r) for r in suffix_dedup.dedup_passages(spark, frame(spark, rows), hot).collect()) == want
+    db = duckdb.connect()
+    whole = [r for n, r in enumerate(rows) if r[0] is not None or r[1] is None or n % 6 == 0]
+    whole = list({r[0] if r[0] is not None else -1: r for r in whole}.values())  # the SQL takes an id once
+    db.register("documents", pd.DataFrame({"doc_id": pd.array([i for i, _ in whole], "Int64"), "text": [t for _, t in whole]}))
+    sql = collections.Counter((r[0], *r[1:]) for r in db.execute(OP9).fetchall())
+    assert sql == passages_removed(whole)
+    assert suffix_dedup.dedup_passages(spark, none).collect() == []
+
+
+def test_texts_of_one_hash_are_told_apart(spark, monkeypatch):
+    rounds = []
+
+    def poor(raw, seed):
+        rounds.append(seed)
+        return (F.octet_length(raw) % 2).cast("bigint") if seed < 2 else F.xxhash64(raw, F.lit(seed))
+
+    monkeypatch.setattr(suffix_dedup, "text_hash", poor)
+    rows = many_passages()
+    assert collections.Counter(tuple(r) for r in suffix_dedup.dedup_passages(spark, frame(spark, rows)).collect()) == passages_removed(rows)
+    assert rounds == [0, 1, 2]
+
+
+def test_frequent_passages_are_dealt_in_two_steps(spark, monkeypatch):
+    r = random.Random(21)
+    passage = " ".join(r.choice(WORDS) for _ in range(30))
+    rows = [(i, f"{r.random()} {passage} {r.random()}" if i % 3 else "copy of " + passage) for i in range(300)]
+    docs, seen = frame(spark, rows), []
+    real = suffix_dedup.shared_anchors
+    monkeypatch.setattr(suffix_dedup, "shared_anchors", lambda *a: seen.append(real(*a).collect()) or real(*a))
+    for hot in (None, 40, 199, 200):
+        got = collections.Counter(tuple(x) for x in suffix_dedup.dedup_passages(spark, docs, hot).collect())
+        assert got == passages_removed(rows)
+    for found, hot in zip(seen, (1 << 14, 40, 199, 200)):
+        holders = collections.Counter(k for x in found if x.th is not None for k in x["keys"])
+        top = {k for x in found if x.th is None for k in x["keys"]}
+        assert all(1 < n <= hot for n in holders.values()) and not top & set(holders)
+        assert bool(top) == (hot < 201)
+
+
 def many_passages():
     r = random.Random(7)
     p = ["".join(r.choice("abcd \n") for _ in range(r.randrange(40, 90))) for _ in range(6)]
@@ -260,18 +325,17 @@ def many_passages():
 
 
 def passages_removed(rows):
-    order = lambda i: (i is None, i or 0)
     texts = [(i, (t or "").encode()) for i, t in rows]
     first = {}
     for i, t in texts:
-        for k in range(len(t) - 49):
+        for k in range(len(t) - 49 if i is not None else 0):
             w = t[k : k + 50]
-            first[w] = min(first.get(w, order(i)), order(i))
+            first[w] = min(first.get(w, i), i)
     want = collections.Counter()
     for i, t in texts:
         gone = np.zeros(len(t) + 1, bool)
-        for k in range(len(t) - 49):
-            if first[t[k : k + 50]] < order(i):
+        for k in range(len(t) - 49 if i is not None else 0):
+            if first[t[k : k + 50]] < i:
                 gone[k : k + 50] = True
         kept = bytes(c for c, g in zip(t, gone) if not g)
         runs = int((gone[:-1] & ~np.concatenate([[False], gone[:-1]])[: len(t)]).sum()) if len(t) else 0
