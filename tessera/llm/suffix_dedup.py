@@ -19,8 +19,9 @@ equal anchors. The work is:
   rebuilt.
 
 An anchor that more than ``hot`` texts hold (a passage in a third of all documents) isn't sent to one
-shard: its windows are grouped by their digest, with a partial minimum in every task. ``hot`` is at
-least 2^14 and such that at most 2^22 anchors are hot, a proven bound for what tasks are told.
+shard: its distinct segments, with the smallest id of each by partial minima, are cut into windows, and
+equal windows are grouped by their bytes. ``hot`` is at least 2^14 and such that at most 2^22 anchors
+are hot, a proven bound for what tasks are told.
 """
 
 from __future__ import annotations
@@ -31,7 +32,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -189,7 +189,7 @@ def shared_anchors(s: Scratch, texts: DataFrame, parts: int, hot: int, salts: in
     schema = "part int, salt int, th binary, n binary, low binary, top binary"
     columns, none = ["part", "salt", "th", "n", "low", "top"], np.empty(0, np.uint64)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pd.DataFrame], often: bool) -> Iterator[pd.DataFrame]:
         seen: set[int] = set()  # copies of a text of this task have nothing to add
         for pdf in batches:
             pdf = pdf[[x not in seen and not seen.add(x) for x in pdf["th"].tolist()]]
@@ -197,8 +197,11 @@ def shared_anchors(s: Scratch, texts: DataFrame, parts: int, hot: int, salts: in
                 doc, h = Texts(made).distinct_anchors()
                 _, which, n = np.unique(h, return_inverse=True, return_counts=True)
                 part, th, low = _part(h, parts), rows["th"].to_numpy(np.int64)[doc], h & _LOW48
-                salt = np.where(n[which] >= OFTEN, th % salts, -1)
-                order = np.lexsort((th, salt, part))
+                mine = np.flatnonzero((n[which] >= OFTEN) == often)
+                salt = th % salts if often else np.full(len(th), -1)
+                order = mine[np.lexsort((th[mine], salt[mine], part[mine]))]
+                if not len(order):
+                    continue
                 part, salt, th, low = part[order], salt[order], th[order], low[order]
                 edges = np.append(np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (salt[1:] != salt[:-1])])), len(part))
                 out = [_packed(int(part[a]), int(salt[a]), th[a:b], low[a:b], none) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())]
@@ -221,12 +224,11 @@ def shared_anchors(s: Scratch, texts: DataFrame, parts: int, hot: int, salts: in
         out = pd.DataFrame({"th": pd.array(th[some], "Int64"), "key": keyed(low[some])})
         return pd.concat([out, pd.DataFrame({"th": pd.array([None] * len(top), "Int64"), "key": keyed(top)})])
 
-    dealt = s.keep(texts.select("th", "text").mapInPandas(pack, schema))
-    often = dealt.filter("salt >= 0").groupBy("part", "salt").applyInPandas(fold, schema)
-    found = dealt.filter("salt < 0").unionByName(often).groupBy("part").applyInPandas(match, "th bigint, key bigint")
-    out = s.keep(found.groupBy("th").agg(F.collect_list("key").alias("keys")))
-    s.drop(dealt)
-    return out
+    # read twice: a table of the packed anchors would be as large as the texts
+    seldom, often = (texts.select("th", "text").mapInPandas(lambda x, often=o: pack(x, often), schema) for o in (False, True))
+    dealt = seldom.unionByName(often.groupBy("part", "salt").applyInPandas(fold, schema))
+    found = dealt.groupBy("part").applyInPandas(match, "th bigint, key bigint")
+    return s.keep(found.groupBy("th").agg(F.collect_list("key").alias("keys")))
 
 
 # ---- suffix arrays -------------------------------------------------------------------------------
@@ -434,7 +436,7 @@ def _spans(s: Scratch, docs: DataFrame, reps: DataFrame, shared: DataFrame, part
     if len(hot_keys):
         told = docs.sparkSession.sparkContext.broadcast(np.sort(hot_keys))  # at most MAX_HOT
 
-        def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def hot_segments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             top = told.value
             for pdf in batches:
                 for rows, made in _groups(pdf):
@@ -442,19 +444,30 @@ def _spans(s: Scratch, docs: DataFrame, reps: DataFrame, shared: DataFrame, part
                     doc, first, size, h = t.runs()
                     keep = np.isin(_key(h, parts), top)
                     doc, first, size = doc[keep], first[keep], size[keep]
-                    at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-                    doc = np.repeat(doc, size)
                     th, order = rows["th"].to_numpy(np.int64), rows["ord"].to_numpy(np.int64)
                     yield pd.DataFrame({
-                        "digest": [xxhash.xxh3_128_digest(t.data[i : i + LENGTH]) for i in at.tolist()],
-                        "ord": order[doc], "th": th[doc], "at": at - t.starts[doc],
+                        "seg": [t.data[a : a + n + LENGTH - 1] for a, n in zip(first.tolist(), size.tolist())],
+                        "ord": order[doc], "th": th[doc], "at": first - t.starts[doc],
                     })
 
-        every = docs.select("th", "ord", "text").mapInPandas(windows, "digest binary, ord bigint, th bigint, at bigint")
-        found = s.keep(every.join(reps, ["th", "ord"]))
-        least = s.keep(found.groupBy("digest").agg(F.min("ord").alias("least")))
-        more = found.join(least, "digest").filter("ord > least").select("th", (F.col("at") * 128 + LENGTH).alias("span"))
-        spans = spans.unionByName(more)
+        def windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                segments, n = [bytes(x) for x in pdf["seg"]], [len(x) - LENGTH + 1 for x in pdf["seg"]]
+                yield pd.DataFrame({
+                    "window": [x[i : i + LENGTH] for x, k in zip(segments, n) for i in range(k)], "off": [i for k in n for i in range(k)],
+                    "sid": np.repeat(pdf["sid"].to_numpy(np.int64), n), "o": np.repeat(pdf["o"].to_numpy(np.int64), n),
+                })
+
+        held = docs.select("th", "ord", "text").mapInPandas(hot_segments, "seg binary, ord bigint, th bigint, at bigint")
+        held = s.keep(held.join(reps, ["th", "ord"]))
+        owners = s.keep(held.groupBy("seg").agg(F.min("ord").alias("o")).withColumn("sid", F.monotonically_increasing_id()))
+        cut = s.keep(owners.mapInPandas(windows, "window binary, off bigint, sid bigint, o bigint"))
+        lost = cut.join(cut.groupBy("window").agg(F.min("o").alias("least")), "window").filter("o > least").select("sid", "off")
+        held = held.join(owners, "seg").select("th", "ord", "at", "sid", "o", F.octet_length("seg").alias("n"))
+        # holders behind a segment's first lose all of it, the first its windows that have a smaller id
+        later = held.filter("ord > o").select("th", (F.col("at") * 128 + F.col("n")).alias("span"))
+        own = held.filter("ord = o").join(lost, "sid").select("th", ((F.col("at") + F.col("off")) * 128 + LENGTH).alias("span"))
+        spans = spans.unionByName(later).unionByName(own)
     return s.keep(spans.groupBy("th").agg(F.collect_list("span").alias("spans")))  # a list is bounded by its text
 
 
