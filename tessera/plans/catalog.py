@@ -25,6 +25,7 @@ from tessera.operators import frequency as FQ
 from tessera.operators import coresets as CS
 from tessera.operators import kcenter as KC
 from tessera.operators import outliers as OL
+from tessera.operators.ball_tree import ball_counts_adaptive
 from tessera.operators import words as WC
 from tessera.sources.items import items_from_events, parse_items
 from tessera.sources.points import (
@@ -130,6 +131,10 @@ def q_ball_counts(spark, d):
     return OL.ball_counts(pts(spark, d), PTS_D)
 
 
+def q_ball_counts_adaptive(spark, d):
+    return ball_counts_adaptive(pts(spark, d), PTS_D)
+
+
 def q_exact_outliers(spark, d):
     return OL.exact_outliers(pts(spark, d), PTS_D, PTS_M)
 
@@ -292,6 +297,7 @@ QUERIES: dict[str, Query] = {
     "point_labels": q_point_labels,
     "smallest_cells_topk": q_smallest_cells_topk,
     "ball_counts": q_ball_counts,
+    "ball_counts_adaptive": q_ball_counts_adaptive,
     "exact_outliers": q_exact_outliers,
     "exact_outlier_count": q_exact_outlier_count,
     "exact_outliers_topk": q_exact_outliers_topk,

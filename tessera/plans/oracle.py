@@ -236,6 +236,7 @@ def oracle_sql() -> dict[str, str]:
         "FROM cells JOIN regions USING (i, j)",
         "smallest_cells_topk": approx + f"SELECT i, j, n FROM cc ORDER BY n, i, j LIMIT {C.PTS_TOPK}",
         "ball_counts": balls + "SELECT id, x, y, ball FROM balls",
+        "ball_counts_adaptive": balls + "SELECT id, x, y, ball FROM balls",
         "exact_outliers": balls + f"SELECT id, x, y, ball FROM balls WHERE ball <= {m}",
         "exact_outlier_count": balls + f"SELECT count(*) AS n_outliers FROM balls WHERE ball <= {m}",
         "exact_outliers_topk": balls
