@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tessera.scratch import Scratch
 
-__all__ = ["Scratch", "broadcast_up_to", "releasing", "text_column"]
+__all__ = ["Scratch", "broadcast_up_to", "forget_shuffles", "releasing", "text_column"]
 
 
 def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
@@ -32,6 +32,14 @@ def releasing(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Itera
     return task
 
 
+def forget_shuffles(spark) -> None:
+    """Have Spark delete the shuffle files of jobs that are done. It does so once the driver's heap is
+    collected, which a driver with little to remember may not do before the disks are full."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        jvm.System.gc()
+
+
 def text_column(df: DataFrame, name: str = "text"):
     """The text, null as empty."""
     return F.coalesce(F.col(name), F.lit(""))

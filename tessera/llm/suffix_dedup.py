@@ -36,7 +36,7 @@ from numpy.lib.stride_tricks import as_strided
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.scratch import Scratch, text_column
+from tessera.llm.scratch import Scratch, forget_shuffles, text_column
 
 LENGTH = 50  # bytes of a repeated string
 GRAM = 16  # bytes of an anchor
@@ -529,12 +529,14 @@ def dedup_passages(spark, documents: DataFrame, hot: int | None = None) -> DataF
     salts = max(4, math.isqrt(reps.count() // max(most, 1) + 1))
     docs = docs.filter(F.col("ord").isNotNull() & (F.octet_length("text") >= LENGTH))
     shared = shared_anchors(s, docs, parts, most, salts)
+    forget_shuffles(spark)
     top = shared.filter("th is null").first()
     n = shared.filter("th is not null").agg(F.sum(F.size("keys"))).first()[0] or 0
     groups = max(4, -(-n * (LENGTH + SPAN) // SHARD_BYTES))
     known = reps.select("th", F.col("o").alias("ord"))
     spans = _spans(s, docs, known, shared, parts, groups, np.array(top["keys"] if top else [], np.int64))
     s.drop(shared)
+    forget_shuffles(spark)
 
     def rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
