@@ -20,6 +20,7 @@ import sys
 import threading
 import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -28,8 +29,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQueryListener
 
 from tessera.functions.hashing import uniform
 from tessera.operators.frequency import TAG_STICKY_ACCEPT, FrequencyParams
@@ -193,43 +193,89 @@ def prefix_until(run: StreamRun, stream: DataFrame, n: int, interval: str = "200
 
 TRACKED_SCHEMA = "item bigint, n bigint, lo bigint, hi bigint"
 LAST_SCHEMA = T.StructType([T.StructField("total", T.LongType())])
-
-
-def _track(key: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Count a tracked item's rows; start an untracked one at its first accepted position. Only an item
-    with a count gets state. What is held is one micro-batch's positions of an item not tracked before it."""
-    n = state.get[0] if state.exists else 0
-    tracked, lo, hi, held = bool(n), None, None, []
-    for pdf in pdfs:
-        if not len(pdf):
-            continue
-        pos = pdf["pos"].to_numpy()
-        lo, hi = min(pos.min(), lo if lo is not None else pos.min()), max(pos.max(), hi if hi is not None else pos.max())
-        if tracked:
-            n += len(pos)
-        else:
-            held.append((pos, pdf["acc"].to_numpy(bool)))
-    accepted = [p[a].min() for p, a in held if a.any()]
-    if accepted:
-        n = int(sum((p >= min(accepted)).sum() for p, _ in held))
-    if n:
-        state.update((int(n),))
-    yield pd.DataFrame({"item": [key[0]], "n": [int(n) if n else None], "lo": [lo], "hi": [hi]})
+GROUPS = 1024  # groups of items that the state store deals out; a checkpoint goes on with the number it began with
+NO_ITEM = -1  # the group of rows without an item
+STATE_STORE = {  # map state is kept by this store only
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+@contextmanager
+def _set(spark, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the queries started inside: a query keeps those it started with."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+class _Track(StatefulProcessor):
+    """Count the rows of tracked items; start an untracked one at its first accepted position. Only an
+    item with a count gets an entry in its group's map, and only entries of items that come are read. What
+    is held is a micro-batch's positions before the first accepted one so far, of items not tracked before."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.tracked = handle.getMapState("tracked", "item bigint", "n bigint")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        least, most = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+        lo, hi, held, known = most, least, [], self.tracked.exists()
+        n: dict[int, int] = {}
+        first: dict[int, int] = {}  # counted from this position on
+        for pdf in rows:
+            if not len(pdf):
+                continue
+            pos, acc = pdf["pos"].to_numpy(np.int64), pdf["acc"].to_numpy(bool)
+            lo, hi = min(lo, int(pos.min())), max(hi, int(pos.max()))
+            items, at = np.unique(pdf["item"].to_numpy(np.int64), return_inverse=True)
+            own = items.tolist()
+            for i in own:
+                if i not in n:
+                    was = self.tracked.getValue((i,)) if known else None
+                    n[i], first[i] = (was[0], least) if was is not None else (0, most)
+            start = np.array([first[i] for i in own], np.int64)
+            np.minimum.at(start, at[acc], pos[acc])
+            late = (pos >= start[at]) & (start < most)[at]
+            for i, s, c in zip(own, start.tolist(), np.bincount(at[late], minlength=len(own)).tolist(), strict=True):
+                first[i], n[i] = s, n[i] + c
+            if not late.all():
+                held.append((items[at[~late]], pos[~late]))
+        # a later chunk may have brought an earlier accepted position
+        for item, pos in held:
+            items, at = np.unique(item, return_inverse=True)
+            late = pos >= np.array([first[i] for i in items.tolist()], np.int64)[at]
+            for i, c in zip(items.tolist(), np.bincount(at[late], minlength=len(items)).tolist(), strict=True):
+                n[i] += c
+        found = [i for i in n if n[i]]
+        for i in found:
+            self.tracked.updateValue((i,), (n[i],))
+        item = [None] * len(found) if key[0] == NO_ITEM else found
+        out = {"item": item or [None], "n": [n[i] for i in found] or [None]}
+        yield pd.DataFrame({c: pd.array(v, "Int64") for c, v in out.items()}).assign(lo=lo, hi=hi)
 
 
 def sticky_keyed(run: StreamRun, stream: DataFrame, params: FrequencyParams) -> tuple[DataFrame, Progress]:
     """``(item, n)``: sticky-sampling counts from keyed state, and the run's progress.
 
     The state store holds a count per tracked item, about r of them for each factor by which the stream
-    grows, and nothing of the others. Rows may come in any order within a micro-batch; a batch with a
-    position at or before one of an earlier batch fails the query with ``PositionsOutOfOrder`` before
-    any of it reaches the sink. A replayed batch starts from the state before it and rewrites its part.
+    grows, and nothing of the others; items are dealt out in ``GROUPS`` groups, each a map of its tracked
+    items, so that Python is called once per group and micro-batch and not once per item. Rows may come in
+    any order within a micro-batch; a batch with a position at or before one of an earlier batch fails the
+    query with ``PositionsOutOfOrder`` before any of it reaches the sink. A replayed batch starts from the
+    state before it and rewrites its part.
     """
     log = LatestLog(run.spark, run.sink("sticky_keyed"), COUNT_SCHEMA, ["item"])
     last = BatchLog(run.spark, run.sink("sticky_keyed_last"), LAST_SCHEMA)
     accept = uniform("pos", TAG_STICKY_ACCEPT, params.seed) <= F.lit(params.sticky_p)
-    rows = _prefix(stream, params).select("item", "pos", accept.alias("acc"))
-    counts = rows.groupBy("item").applyInPandasWithState(_track, TRACKED_SCHEMA, "n bigint", "update", GroupStateTimeout.NoTimeout)
+    item = F.col("item").cast("bigint")
+    group = F.when(item.isNull(), F.lit(NO_ITEM)).otherwise(F.pmod(F.hash(item), F.lit(GROUPS)))
+    rows = _prefix(stream, params).select(group.alias("g"), F.coalesce(item, F.lit(0)).alias("item"), "pos", accept.alias("acc"))
+    counts = rows.groupBy("g").transformWithStateInPandas(_Track(), TRACKED_SCHEMA, "update", "None")
 
     def on_batch(df: DataFrame, batch_id: int) -> None:
         told = df.persist()
@@ -246,7 +292,8 @@ def sticky_keyed(run: StreamRun, stream: DataFrame, params: FrequencyParams) ->
     checkpoint = run.checkpoint("sticky_keyed")
 
     def start():
-        return counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(on_batch).trigger(availableNow=True).start()
+        with _set(run.spark, STATE_STORE):
+            return counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(on_batch).trigger(availableNow=True).start()
 
     progress = _listened(run.spark, start, _caught_up)
     return log.latest(), progress

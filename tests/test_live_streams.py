@@ -1,10 +1,14 @@
 """Streams that live across batches: stops, restarts, refusals, keyed state, observed metrics, sketches."""
 
+import os
+import random
+
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import uniform
 from tessera.operators import frequency as Q
 from tessera.sources.items import items_from_events
 from tessera.streaming import items as S
@@ -87,6 +91,43 @@ def test_keyed_sticky_refuses_positions_out_of_order(spark, parts, batch, tmp_pa
     assert sorted(S.sticky(S.StreamRun(spark, "any"), stream(spark, folder), p).collect()) == sorted(Q.sticky_counts(items, p).collect())
 
 
+def test_keyed_sticky_calls_python_per_group(spark, tmp_path, monkeypatch):
+    """Many items in few groups: a call per group and batch, not per item, each in many chunks."""
+    n, rnd = 3000, random.Random(5)
+    made = [None if pos % 50 == 7 else 2**60 + rnd.randrange(700) ** 2 for pos in range(n)]
+    rows = list(enumerate(made))
+    for k in range(3):
+        part = rnd.sample(rows[1000 * k : 1000 * (k + 1)], 1000)  # a later chunk brings earlier positions
+        pq.write_table(pa.table({"event_id": [p for p, _ in part], "user_id": pa.array([i for _, i in part], pa.int64())}), tmp_path / f"part-{k}.parquet")
+        os.utime(tmp_path / f"part-{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    calls, plain = tmp_path / "calls", L._Track.handleInputRows
+
+    def counted(self, key, rows, timer):
+        with open(calls, "a") as f:
+            f.write(f"{key[0]}\n")
+        return plain(self, key, rows, timer)
+
+    monkeypatch.setattr(L._Track, "handleInputRows", counted)
+    monkeypatch.setattr(L, "GROUPS", 4)
+    before = {k: spark.conf.get(k, None) for k in L.STATE_STORE}
+    p = Q.FrequencyParams(n=2900, phi=0.02, epsilon=0.015, delta=0.1, seed=3)
+    assert 0.05 < p.sticky_p < 0.3  # items wait for their start
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        got, progress = L.sticky_keyed(S.StreamRun(spark, "groups"), stream(spark, str(tmp_path)), p)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    us = {r.pos: r.u for r in spark.range(n).select(F.col("id").alias("pos")).withColumn("u", uniform("pos", Q.TAG_STICKY_ACCEPT, p.seed)).collect()}
+    want = {}
+    for pos, item in rows[: p.n]:
+        if item in want or us[pos] <= p.sticky_p:
+            want[item] = want.get(item, 0) + 1
+    assert {r.item: r.n for r in got.collect()} == want and None in want
+    assert 100 < len(want) < len(set(made)) and progress.state_rows[2] == len(want)
+    assert sorted(calls.read_text().split()) == sorted(["-1", "0", "1", "2", "3"] * 3)
+    assert {k: spark.conf.get(k, None) for k in L.STATE_STORE} == before
+
+
 def test_stream_stops_itself(spark, parts, tmp_path):
     sizes = [t.num_rows for t in parts]
     n = sizes[0] + sizes[1] + 1  # crossed by the third batch
