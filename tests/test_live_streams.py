@@ -13,7 +13,7 @@ from tessera.operators import frequency as Q
 from tessera.sources.items import items_from_events
 from tessera.streaming import items as S
 from tessera.streaming import live as L
-from tessera.streaming.queries import slice_of
+from tessera.streaming.queries import SLICES, slice_of, sliced_events
 
 from conftest import SF0001
 
@@ -183,3 +183,11 @@ def test_slices_leave_no_event_out(spark):
     found = [[r.event_id for r in events.filter(slice_of(5, k)).collect()] for k in range(6)]
     assert sorted((x is None, x or 0) for part in found for x in part) == sorted((x is None, x or 0) for x in ids)
     assert found[0] == [None, -5, 0, 3, 4] and found[5] == [29, 30, 10**12]
+
+
+@pytest.mark.parametrize("cores", [3, 6, 8])
+def test_a_slice_per_batch_on_any_number_of_cores(spark, tmp_path, monkeypatch, cores):
+    monkeypatch.setattr(type(spark.sparkContext), "defaultParallelism", cores)
+    pq.write_table(pa.table({"event_id": list(range(600)), "user_id": [i % 7 for i in range(600)]}), tmp_path / "events.parquet")
+    got = L.observed_sizes(S.StreamRun(spark, "cores"), sliced_events(spark, str(tmp_path)))
+    assert [tuple(r) for r in got.orderBy("batch_id").collect()] == [(k, 100) for k in range(SLICES)]
